@@ -5,19 +5,73 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import language, packing, repetition
 from .common import table
 from .near_duplicates import near_duplicates
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by models fitted on documents outside fold 2; a null id counts as fold 0."""
+    fold = F.coalesce(language.remainder(F.col("doc_id")), F.lit(0))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", fold.alias("fold"))
+    model = language.train(docs.filter("fold <> 2").select("text", "lang", "fold"))
+    return language.identify(docs.select("doc_id", "text", (F.col("fold") == 2).alias("held_out")), model)
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, line and repetition statistics of every document, and whether it is kept."""
+    return repetition.quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("longest_repeat")
+
+
+OP3_SQL = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d
+), five AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM (
+    SELECT r, i, array_to_string(words[i:i + 4], ' ') AS g FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5))
+), ten AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM (
+    SELECT r, i, array_to_string(words[i:i + 9], ' ') AS g FROM (SELECT r, words, unnest(range(1, len(words) - 8)) AS i FROM w WHERE len(words) >= 10))
+), long AS (
+  SELECT DISTINCT r FROM (SELECT r, md5(array_to_string(words[i:i + 100], ' ')) AS g FROM (SELECT r, words, unnest(range(1, len(words) - 99)) AS i FROM w WHERE len(words) >= 101))
+  GROUP BY r, g HAVING count(*) > 1
+), in_five AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM five WHERE c > 1) GROUP BY r
+), in_ten AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 10)) AS p FROM ten WHERE c > 1) GROUP BY r
+), line AS (
+  SELECT r, count(*) - count(DISTINCT l) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS l FROM w)
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY r
+), s AS (
+  SELECT w.r, doc_id, len(words)::BIGINT AS n_words, coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(line.n, 0)::BIGINT AS n_dup_lines,
+         coalesce(in_five.n, 0)::BIGINT AS n_repeat_words, coalesce(in_ten.n, 0)::BIGINT AS covered_words, long.r IS NOT NULL AS too_long
+  FROM w LEFT JOIN line ON line.r = w.r LEFT JOIN in_five ON in_five.r = w.r LEFT JOIN in_ten ON in_ten.r = w.r LEFT JOIN long ON long.r = w.r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 10 * covered_words <= 3 * n_words AND NOT too_long AS kept
+FROM s
+"""
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a Jaccard similarity of 0.85 of five-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5).drop("tkey")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_near_duplicates,)}
+    return {f.__name__: f for f in (op2_language_id, op3_quality_rules, op8_near_duplicates, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": OP3_SQL}

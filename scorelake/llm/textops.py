@@ -8,15 +8,13 @@ collide with a probability below 10**-5.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-WHITE = np.zeros(256, bool)
-WHITE[[9, 10, 11, 12, 13, 32]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
-_BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+#: Bytes of a word beyond which a digest is taken.
+LONG = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers = np.ones(1, np.uint64)
@@ -46,23 +44,43 @@ def joined(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buffer, np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(texts) else np.zeros(0, np.int64)
 
 
+def is_white(buffer: np.ndarray) -> np.ndarray:
+    return (buffer == 32) | ((buffer >= 9) & (buffer <= 13))
+
+
+def lowered(buffer: np.ndarray) -> np.ndarray:
+    """A-Z as a-z."""
+    return buffer + (((buffer >= 65) & (buffer <= 90)).view(np.uint8) << 5)
+
+
 def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each run of true values."""
-    step = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
-    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[1:-1] = inside[1:] != inside[:-1]
+    if len(inside):
+        edge[0], edge[-1] = inside[0], inside[-1]
+    place = np.flatnonzero(edge)
+    return place[::2], place[1::2]
 
 
 def span_hashes(buffer: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; the spans are ascending, disjoint and not empty."""
-    if not len(begin):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of the bytes of each span; it takes eight bytes at a time, and a digest of a span over LONG bytes."""
     size = end - begin
-    first = np.cumsum(size) - size
-    place = np.arange(int(size.sum()), dtype=np.int64)
-    within = place - np.repeat(first, size)
-    terms = _BYTE[buffer[within + np.repeat(begin, size)]]
-    terms *= powers(int(size.max()))[within]
-    return mix(np.add.reduceat(terms, first) + size.astype(np.uint64))
+    out = mix(size.astype(np.uint64) + _STEP)
+    spare = np.concatenate((buffer, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(buffer) + 1,), "<u8", spare, 0, (1,))
+    todo = np.flatnonzero(size <= LONG)
+    place, rest = begin[todo], size[todo]
+    while len(todo):
+        block = eight[place]
+        short = rest < 8
+        block[short] &= (np.uint64(1) << (rest[short] * 8).astype(np.uint64)) - np.uint64(1)
+        out[todo] = mix(out[todo] * _STEP ^ block)
+        more = rest > 8
+        todo, place, rest = todo[more], place[more] + 8, rest[more] - 8
+    for i in np.flatnonzero(size > LONG):
+        out[i] = int.from_bytes(hashlib.blake2b(buffer[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def words(texts: Sequence[bytes], fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -72,8 +90,8 @@ def words(texts: Sequence[bytes], fold: bool = False) -> tuple[np.ndarray, np.nd
     """
     buffer, places = joined(texts)
     if fold:
-        buffer = LOWER[buffer]
-    begin, end = spans(~WHITE[buffer])
+        buffer = lowered(buffer)
+    begin, end = spans(~is_white(buffer))
     return buffer, begin, end, span_hashes(buffer, begin, end), np.append(np.searchsorted(begin, places), len(begin))
 
 
