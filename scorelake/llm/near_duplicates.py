@@ -28,7 +28,7 @@ from .common import bounded, checkpointed, small_arrow_batches
 #: Hash minima of a band, and bands: a pair of similarity 0.85 shares no band with a probability of 9e-9.
 ROWS, BANDS = 7, 48
 #: Members up to which a bucket's remaining pairs come from a join; larger buckets are compared in blocks of BLOCK.
-JOINED, BLOCK = 64, 512
+JOINED, BLOCK = 12, 512
 _rng = np.random.default_rng(8551)
 _A = _rng.integers(0, 2**31, ROWS * BANDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 2**32, ROWS * BANDS, dtype=np.uint32)
