@@ -7,11 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, repetition
+from . import language, mixing, packing, repetition, secrets, sharding, surrogates, url_filter
 from .common import table
 from .near_duplicates import near_duplicates
 
 
+#: Host, path and action of each rule.
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+OP1_SQL = """
+WITH rules(host, path, action) AS (
+  VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')
+), rest AS (
+  SELECT page_id, row_number() OVER () AS r, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, r, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), fit AS (
+  SELECT p.r, rules.host || rules.path AS rule, action,
+         row_number() OVER (PARTITION BY p.r ORDER BY length(rules.host || rules.path) DESC, length(rules.host) DESC, action DESC) AS k
+  FROM p JOIN rules ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host)) AND starts_with(p.path, rules.path)
+)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN fit ON fit.r = p.r AND fit.k = 1
+"""
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by models fitted on documents outside fold 2; a null id counts as fold 0."""
     fold = F.coalesce(language.remainder(F.col("doc_id")), F.lit(0))
@@ -59,6 +86,22 @@ FROM s
 """
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of all documents with nearly equal bytes."""
+    shards = sharding.kd_shards(table(spark, sf_dir, "documents"), 8)
+    return shards.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with what the whole corpus says about them."""
+    return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources by weights 5, 2, 1 takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, most=3.0).drop("source")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a Jaccard similarity of 0.85 of five-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5).drop("tkey")
@@ -69,9 +112,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key="rotate-this-key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_quality_rules, op8_near_duplicates, op9_packing)}
+    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op8_near_duplicates, op9_packing, op10_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": OP3_SQL}
+    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL}
