@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language, mixing, packing, repetition, secrets, sharding, surrogates, url_filter
 from .common import table
 from .near_duplicates import near_duplicates
+from .neighbours import neighbours
 
 
 #: Host, path and action of each rule.
@@ -102,6 +103,25 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, most=3.0).drop("source")
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors by inner product of every vector whose id is divisible by 20; factor 1 searches exactly."""
+    return neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20, factor=1.0)
+
+
+OP7_SQL = """
+WITH e AS (
+  SELECT vec_id, row_number() OVER () AS r, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), s AS (
+  SELECT q.vec_id AS query_id, q.r AS qr, c.vec_id, c.r, list_inner_product(q.v, c.v) AS score
+  FROM e q JOIN e c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id, r) AS INTEGER) AS rank, vec_id, score FROM s)
+WHERE rank <= 20
+"""
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a Jaccard similarity of 0.85 of five-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5).drop("tkey")
@@ -118,8 +138,8 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op8_near_duplicates, op9_packing, op10_surrogates)}
+    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL}
+    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL, "op7_neighbours": OP7_SQL}
