@@ -13,16 +13,17 @@ ARROW_ROWS = 2000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and cut its lineage.
-
-    The folder is the cluster's ``spark.checkpoint.dir``; a folder of our own is
-    made only where that setting is empty, as in tests on one machine.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is empty, as in tests on one machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scorelake-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write df to the shared folder and cut its lineage; what is written survives the loss of executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -49,48 +49,73 @@ def _digit(level: int) -> Column:
     return F.shiftright(word, 62 - used - width).bitwiseAND((1 << width) - 1).cast("int")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with size, and hash and place as 62-bit numbers; place tells equal rows apart."""
+    low = lambda c: F.shiftright(c, 2).bitwiseAND((1 << 62) - 1)
+    return docs.withColumns({"size": word_count(F.col("text")), "hash": low(F.xxhash64("doc_id", "text")), "place": low(F.xxhash64(F.monotonically_increasing_id()))})
+
+
+def thresholds(rows: DataFrame, weights: tuple[float, ...], share: float, most: float) -> tuple[DataFrame, int, int]:
+    """A row per source: s, source_size, target, whole (times that every row is taken) and the digits of its threshold.
+
+    rows (checkpointed) has source, size, hash and place. Also returns the number of
+    sources and of digits.
+    """
+    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    plan = sources.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
+    plan = checkpointed(plan.withColumn("number", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long")).withColumnRenamed("source", "s"))
+    count = plan.count()
+    inside = rows.filter("size > 0").join(bounded(plan.select("s", "number"), count, 64), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    edge, marks = plan.filter("budget > 0").select("number", F.col("budget").alias("left")), plan  # sources whose boundary bucket is open
+    for level in range(LEVELS):
+        sums = inside.join(bounded(edge, count, 32), "number").groupBy("number", "left", _digit(level).alias("digit")).agg(F.sum("size").alias("held"), F.count("*").alias("n"))
+        sums = sums.withColumn("upto", F.sum("held").over(Window.partitionBy("number").orderBy("digit"))).filter("upto + 0.5 >= left")
+        cut = sums.groupBy("number").agg(F.min(F.struct("digit", "held", "n", F.expr("left - (upto - held)").alias("left"))).alias("c")).select("number", "c.*")
+        last = F.lit(True) if level + 1 == LEVELS else F.col("n") == 1
+        cut = checkpointed(cut.withColumn("up", F.when(last, 2 * F.col("left") >= F.col("held"))))
+        marks = marks.join(bounded(cut.select("number", F.col("digit").alias(f"d{level}"), F.col("up").alias(f"up{level}")), count, 32), "number", "left")
+        open_ends = cut.filter("up is null")
+        if not open_ends.count():
+            break
+        edge = open_ends.select("number", "left")
+        inside = inside.join(bounded(open_ends.select("number", F.col("digit").alias("d")), count, 32), "number").filter(_digit(level) == F.col("d")).drop("d")
+    return checkpointed(marks.drop("number")), count, level + 1
+
+
+def _times(digits: int) -> Column:
+    """How often a row is taken: whole, and once more if its hash lies below the threshold."""
+    more = F.lit(False)
+    for level in range(digits - 1, -1, -1):
+        d, up, at = F.col(f"d{level}"), F.col(f"up{level}"), _digit(level)
+        more = F.when(d.isNull(), F.lit(False)).otherwise((at < d) | ((at == d) & F.when(up.isNull(), more).otherwise(up)))
+    return F.col("whole") + more.cast("long")
+
+
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """How often each row of docs (doc_id, text, source) is taken so that the sources reach their targets.
 
     Returns the columns of `keep` with source, size (words), source_size, target (of
     the source) and taken (words, repeats counted). Every row is taken the whole
     number of times that its source's target holds its size; the rest is taken
-    from the rows of the lowest hashes. A null source is one source, a null text
-    has size 0 and is taken 0 words, equal rows are told apart by their place, and
-    an empty table gives an empty result.
+    from the rows of the lowest hashes, so a source misses its target by half the
+    size of one row at most. A null source is one source, a null text has size 0,
+    equal rows are told apart by their place, and an empty table gives an empty
+    result.
     """
-    light = docs.select(*[F.col(c) for c in keep if c != "source"], "source", word_count(F.col("text")).alias("size"), F.shiftright(F.xxhash64(F.col("doc_id"), F.col("text")), 2).bitwiseAND((1 << 62) - 1).alias("hash"))
-    rows = checkpointed(light.withColumn("place", F.shiftright(F.xxhash64(F.monotonically_increasing_id()), 2).bitwiseAND((1 << 62) - 1)))
-    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    plan = checkpointed(sources.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")).withColumn("number", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long")))
-    n_sources = plan.count()
-    rows = rows.join(bounded(plan.select(F.col("source").alias("s"), "number"), n_sources, 64), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    edge = plan.filter("budget > 0").select("number", F.col("budget").alias("left"))  # sources whose boundary bucket is still open
-    inside, closed, digits = rows.filter("size > 0"), None, []
-    for level in range(LEVELS):
-        sums = inside.join(bounded(edge, n_sources, 32), "number").groupBy("number", "left", _digit(level).alias("digit")).agg(F.sum("size").alias("held"), F.count("*").alias("n"))
-        upto = F.sum("held").over(Window.partitionBy("number").orderBy("digit"))
-        cut = sums.withColumn("upto", upto).filter("upto >= left").groupBy("number").agg(F.min(F.struct("digit", "held", "n", F.expr("left - (upto - held) as left"))).alias("c"))
-        cut = checkpointed(cut.select("number", "c.digit", "c.held", "c.n", "c.left"))
-        done = cut.filter((F.col("n") == 1) if level + 1 < LEVELS else F.lit(True)).select("number", F.lit(level).alias("level"), "digit", (2 * F.col("left") >= F.col("held")).alias("up"))
-        ends = cut.filter((F.col("n") > 1) & F.lit(level + 1 < LEVELS))
-        digits.append(cut.select("number", F.col("digit").alias(f"d{level}"), F.when((F.col("n") == 1) | F.lit(level + 1 == LEVELS), 2 * F.col("left") >= F.col("held")).alias(f"up{level}")))
-        closed = done if closed is None else closed.union(done)
-        if not ends.count():
-            break
-        edge = ends.select("number", "left")
-        inside = inside.join(bounded(ends.select("number", F.col("digit").alias("d")), n_sources, 32), "number").filter(_digit(level) == F.col("d")).drop("d")
-    marks = plan.select("source_size", "target", "whole", "budget", "number")
-    for d in digits:
-        marks = marks.join(d, "number", "left")
-    marks = checkpointed(marks)
-    joined = rows.join(bounded(marks, n_sources, 256), "number")
-    taken = F.lit(False)
-    for level in range(len(digits) - 1, -1, -1):
-        d, end = F.col(f"d{level}"), F.coalesce(F.col(f"up{level}"), F.lit(False))
-        at = _digit(level)
-        deeper = F.when(F.col(f"up{level}").isNull(), taken).otherwise(end)
-        taken = F.when(d.isNull(), F.lit(level == 0) & (F.col("budget") > 0) & F.lit(False)).otherwise((at < d) | ((at == d) & deeper))
-    times = F.col("whole") + taken.cast("long")
-    return joined.select(*[c for c in keep if c != "source"], "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
+    rows = checkpointed(_keyed(docs).select(*[c for c in keep if c != "source"], "source", "size", "hash", "place"))
+    marks, count, digits = thresholds(rows, weights, share, most)
+    joined = rows.join(bounded(marks, count, 256), F.col("source").eqNullSafe(F.col("s")))
+    return joined.select(*[c for c in keep if c != "source"], "source", "size", "source_size", "target", (F.col("size") * _times(digits)).alias("taken"))
+
+
+def repeat(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> DataFrame:
+    """The rows of docs as often as the mix takes them, with their columns; texts without words go."""
+    columns = docs.columns
+    rows = checkpointed(_keyed(docs.select("doc_id", "text", "source")).select("source", "size", "hash", "place"))
+    marks, count, digits = thresholds(rows, weights, share, most)
+    marks = marks.select("s", "whole", *[f"{k}{i}" for i in range(digits) for k in ("d", "up")])
+    keyed = _keyed(docs.select(F.struct(*columns).alias("row"), "doc_id", "text", "source"))
+    joined = keyed.filter("size > 0").join(bounded(marks, count, 256), F.col("source").eqNullSafe(F.col("s")))
+    times = joined.select("row", _times(digits).alias("times")).filter("times > 0")
+    return times.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).select("row.*")

@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 from . import textops
 from .common import bounded, checkpointed, small_arrow_batches
 
-#: Hash minima of a band, and bands: a pair of similarity 0.85 shares no band with a probability of 9e-9.
-ROWS, BANDS = 7, 48
+#: Hash minima of a signature, and the chance at which a pair at the threshold may share no band.
+MINIMA, MISS = 336, 1e-7
 #: Members up to which a bucket's remaining pairs come from a join; larger buckets are compared in blocks of BLOCK.
 JOINED, BLOCK = 12, 512
 _rng = np.random.default_rng(8551)
-_A = _rng.integers(0, 2**31, ROWS * BANDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = _rng.integers(0, 2**32, ROWS * BANDS, dtype=np.uint32)
+_A = _rng.integers(0, 2**31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_B = _rng.integers(0, 2**32, MINIMA, dtype=np.uint32)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -45,12 +45,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
-    parts = low.reshape(-1, BANDS, ROWS).astype(np.uint64)
+def rows_of_band(percent: int) -> int:
+    """The most minima of a band at which a pair at the threshold is missed with a chance of MISS at most."""
+    return max((r for r in range(1, 17) if (1 - (percent / 100) ** r) ** (MINIMA // r) <= MISS), default=1)
+
+
+def band_keys(low: np.ndarray, rows: int) -> np.ndarray:
+    """For each signature (row) a key of each band."""
+    bands = MINIMA // rows
+    parts = low[:, : bands * rows].reshape(-1, bands, rows).astype(np.uint64)
     total = np.zeros(parts.shape[:2], np.uint64)
-    for k in range(ROWS):
+    for k in range(rows):
         total = textops.mix(total * np.uint64(31) + parts[:, :, k] + np.uint64(k + 1))
-    return textops.mix(total + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    return textops.mix(total + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -65,7 +72,7 @@ def _sets(texts: list[bytes | None], width: int) -> Iterator[tuple[int, np.ndarr
             yield low + i, textops.shingles(hashes[first[i] : first[i + 1]], width)
 
 
-def _describe(width: int):
+def _describe(width: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
@@ -78,9 +85,9 @@ def _describe(width: int):
                     nodes[i] = node_of(s)
                     lows.append(signature(s))
                     full.append(i)
-            keys = band_keys(np.array(lows)).ravel() if lows else np.zeros(0, np.int64)
+            keys = band_keys(np.array(lows), rows).ravel() if lows else np.zeros(0, np.int64)
             ends = np.zeros(n + 1, np.int32)
-            ends[np.array(full, int) + 1] = BANDS
+            ends[np.array(full, int) + 1] = MINIMA // rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tkey"), pa.array(nodes, mask=sizes == 0), pa.array(sizes), pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(keys))],
                 names=["doc_id", "tkey", "node", "n_shingles", "bands"],
@@ -187,8 +194,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
     """Components of near-duplicate documents of docs (doc_id, text; other columns are ignored).
 
     Returns one row per input row: doc_id, n_shingles, component_id (the least
-    doc_id of the component), kept (doc_id is component_id) and tkey (xxhash64 of
-    the text). A null or empty text has no shingles and is a component by itself;
+    doc_id of the component), kept (doc_id is component_id), tkey (xxhash64 of the
+    text) and first (whether the text is the one that stands for its component). A null or empty text has no shingles and is a component by itself;
     a repeated row joins its twin; a null doc_id counts as larger than all others
     and is kept only where its component has no other. An empty table gives an
     empty result. Memory: a task holds the sets of one packet of texts, or of the
@@ -198,7 +205,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
     small_arrow_batches(spark)
     source = docs.select("doc_id", "text", F.xxhash64("text").alias("tkey"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    described = checkpointed(source.mapInArrow(_describe(width), f"doc_id {id_type}, tkey long, node long, n_shingles long, bands array<long>"))
+    described = checkpointed(source.mapInArrow(_describe(width, rows_of_band(percent)), f"doc_id {id_type}, tkey long, node long, n_shingles long, bands array<long>"))
 
     classes = described.filter("node is not null").groupBy("node").agg(F.count("*").alias("weight"), F.min("tkey").alias("tkey"), F.first("bands").alias("bands"))
     rows = classes.select("node", "weight", "tkey", F.explode("bands").alias("band"))
@@ -229,8 +236,27 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
     final = checkpointed(connected_components(links.union(more)))
     owners = described.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     known = owners.join(final, "node", "left").select("node", "low", F.coalesce("component", "node").alias("component"))
-    named = known.groupBy("component").agg(F.min("low").alias("component_id"))
-    chosen = known.join(named, "component").select("node", "component_id")
+    named = known.groupBy("component").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "node")).alias("best"))
+    chosen = known.join(named, "component").select("node", F.col("best.low").alias("component_id"), (F.col("node") == F.col("best.node")).alias("first"))
     out = described.select("doc_id", "n_shingles", "node", "tkey").join(chosen, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tkey")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tkey", F.coalesce("first", F.lit(True)).alias("first"))
+
+
+def deduplicate(docs: DataFrame, *, percent: int = 85, width: int = 5) -> DataFrame:
+    """One row of docs for each component: that of its least doc_id; all columns as they were.
+
+    Rows without shingles all stay. Of rows with the same id in a component one
+    text stays, and of repeated rows one. Only what has to go, or what occurs
+    repeatedly, is joined to the texts.
+    """
+    found = checkpointed(near_duplicates(docs, percent=percent, width=width))
+    rows = found.groupBy("doc_id", "tkey").agg(F.max(F.col("kept") & F.col("first")).alias("_stays"), (F.count("*") * F.max(F.when(F.col("n_shingles") > 0, 1).otherwise(0))).alias("_times"))
+    marks = checkpointed(rows.filter("not _stays or _times > 1").withColumnsRenamed({"doc_id": "_id", "tkey": "_at"}))
+    size = marks.agg(F.count("*"), F.max("_times")).first()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_tkey").eqNullSafe(F.col("_at"))
+    stay = docs.withColumn("_tkey", F.xxhash64("text")).join(bounded(marks, size[0], 64), same, "left").filter(F.coalesce("_stays", F.lit(True)))
+    if (size[1] or 0) > 1:
+        once = F.coalesce("_times", F.lit(1)) <= 1
+        stay = stay.filter(once).union(stay.filter(~once).dropDuplicates(["doc_id", "_tkey"]))
+    return stay.select(*docs.columns)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import language, mixing, packing, repetition, secrets, sharding, surrogates, url_filter
 from .common import table
 from .near_duplicates import near_duplicates
@@ -124,7 +126,7 @@ WHERE rank <= 20
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a Jaccard similarity of 0.85 of five-word shingles."""
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5).drop("tkey")
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5).drop("tkey", "first")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,8 +139,13 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key="rotate-this-key")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, applied to the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates)}
+    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

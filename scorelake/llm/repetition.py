@@ -135,20 +135,26 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
 _COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat")
 
 
+def _base_failed(x: dict[str, np.ndarray]) -> np.ndarray:
+    return (x["n_words"] < LEAST_WORDS) | (100 * x["n_repeat_words"] > MAX_REPEATED * x["n_words"])
+
+
+def _kept(x: dict[str, np.ndarray]) -> np.ndarray:
+    return ~_base_failed(x) & (x["covered_words"] <= MAX_COVERED * x["n_words"]) & (x["longest_repeat"] <= MAX_REPEAT)
+
+
 def _judge(with_spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = textops.as_bytes(batch.column("text"))
             for low, high in textops.packets(texts):
                 x = measure([t or b"" for t in texts[low:high]])
-                n = x["n_words"]
-                base_failed = (n < LEAST_WORDS) | (100 * x["n_repeat_words"] > MAX_REPEATED * n)
-                kept = ~base_failed & (x["covered_words"] <= MAX_COVERED * n) & (x["longest_repeat"] <= MAX_REPEAT)
+                base_failed, kept = _base_failed(x), _kept(x)
                 columns = {k: batch.column(k).slice(low, high - low) for k in batch.schema.names if k != "text" or with_spans}
                 columns |= {k: pa.array(x[k].astype(np.int64)) for k in _COLUMNS} | {"base_failed": pa.array(base_failed), "kept": pa.array(kept)}
                 if with_spans:
                     owner = np.searchsorted(x["first"], x["span_lo"], side="right") - 1
-                    ends = np.searchsorted(owner, np.arange(len(n) + 1)).astype(np.int32)
+                    ends = np.searchsorted(owner, np.arange(high - low + 1)).astype(np.int32)
                     pairs = [pa.array((x[k] - x["first"][owner]).astype(np.int64)) for k in ("span_lo", "span_hi")]
                     columns["repeats"] = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(pairs, names=["begin", "end"]))
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -173,3 +179,18 @@ def quality(docs: DataFrame, *, with_spans: bool = False) -> DataFrame:
     kept = [f for f in docs.schema.fields if with_spans or f.name != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{k} long" for k in _COLUMNS] + ["base_failed boolean", "kept boolean"] + ["repeats array<struct<begin: long, end: long>>"] * with_spans)
     return docs.mapInArrow(_judge(with_spans), schema)
+
+
+def _sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, keep = textops.as_bytes(batch.column("text")), []
+        for low, high in textops.packets(texts):
+            keep.append(_kept(measure([t or b"" for t in texts[low:high]])))
+        if keep:
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+
+def keep_sound(docs: DataFrame) -> DataFrame:
+    """The rows of docs that quality() keeps, with all their columns."""
+    small_arrow_batches(docs.sparkSession)
+    return docs.mapInArrow(_sound, docs.schema)
