@@ -59,11 +59,12 @@ def latest_snapshots(manifest: str | Path) -> list[Snapshot]:
     manifest, last = Path(manifest), {}
     with manifest.open() as lines:
         for entry in map(json.loads, filter(str.strip, lines)):
+            if entry.get("status") != "STORED_NEW_VERSION" or not entry.get("file_path"):
+                continue
             path = Path(entry["file_path"])
-            for place in (path, manifest.parent / path, manifest.parent / path.name):
-                if entry.get("status") == "STORED_NEW_VERSION" and place.exists():
-                    last[int(entry["contest_id"])] = (int(entry["contest_id"]), entry["ingest_timestamp"], str(place))
-                    break
+            place = next((p for p in (path, manifest.parent / path, manifest.parent / path.name) if p.exists()), None)
+            if place is not None:
+                last[int(entry["contest_id"])] = (int(entry["contest_id"]), entry["ingest_timestamp"], str(place))
     return [last[k] for k in sorted(last)]
 
 
