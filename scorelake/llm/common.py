@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +29,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_arrow_batches(spark: SparkSession) -> None:
-    """Lower the rows of an Arrow batch to ARROW_ROWS, if the session allows more."""
+def prepare_python(spark: SparkSession) -> None:
+    """Make this subpackage importable by Python workers, and lower the rows of an Arrow batch to ARROW_ROWS.
+
+    The modules are shipped once per application, so that the executors need no
+    copy of the repository.
+    """
+    sc = spark.sparkContext
+    if not getattr(sc, "_scorelake_shipped", False):
+        here = Path(__file__).parent
+        target = Path(tempfile.mkdtemp(prefix="scorelake-"), "scorelake_llm.zip")
+        with zipfile.ZipFile(target, "w") as out:
+            for path in [here.parent / "__init__.py", *sorted(here.glob("*.py"))]:
+                out.write(path, path.relative_to(here.parent.parent))
+        sc.addPyFile(str(target))
+        sc._scorelake_shipped = True
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))

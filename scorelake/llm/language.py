@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import bounded, checkpointed, small_arrow_batches
+from .common import bounded, checkpointed, prepare_python
 
 ORDER = 4
 #: Bound of the training sample: documents of each language, by expectation, one in four of them for calibration.
@@ -259,6 +259,7 @@ def train(docs: DataFrame, *, sample: int = SAMPLE) -> Model | None:
     come to the driver; both are bounded by the sample.
     """
     spark = docs.sparkSession
+    prepare_python(spark)
     labelled = docs.filter("lang is not null and text is not null")
     per_lang = checkpointed(labelled.groupBy("lang").agg(F.count("*").alias("rows")))
     chosen = labelled.join(bounded(per_lang, per_lang.count(), 64), "lang").filter(F.pmod(F.xxhash64("text", "fold"), F.lit(1 << 30)) < F.lit(float(sample)) * (1 << 30) / F.col("rows"))
@@ -283,7 +284,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     with score 0, null bits and rejected true. Columns of docs with one of the new
     names are replaced. Rows stay where they are; memory follows the longest text.
     """
-    small_arrow_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "bits_per_char", "rejected")
     kept = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits_per_char double, rejected boolean"])

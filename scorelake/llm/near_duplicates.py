@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import bounded, checkpointed, small_arrow_batches
+from .common import bounded, checkpointed, prepare_python
 
 #: Hash minima of a signature, and the chance at which a pair at the threshold may share no band.
 MINIMA, MISS = 336, 1e-7
@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
     pairs of one Arrow batch.
     """
     spark = docs.sparkSession
-    small_arrow_batches(spark)
+    prepare_python(spark)
     source = docs.select("doc_id", "text", F.xxhash64("text").alias("tkey"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     described = checkpointed(source.mapInArrow(_describe(width, rows_of_band(percent)), f"doc_id {id_type}, tkey long, node long, n_shingles long, bands array<long>"))

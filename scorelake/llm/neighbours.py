@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, prepare_python
 
 #: Rows of a shard, rows of a leaf of its tree, and queries of a block.
 SHARD, LEAF, BLOCK = 8192, 512, 2048
@@ -147,6 +147,7 @@ def neighbours(vectors: DataFrame, *, k: int = 20, every: int = 20, factor: floa
     and one block of queries; rows are dealt to shards by a hash of id, vector and
     place, so equal vectors spread over all shards.
     """
+    prepare_python(vectors.sparkSession)
     v = F.transform("embedding", lambda x: x.cast("double"))
     sound = F.col("embedding").isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), F.coalesce(sound, F.lit(False)).alias("sound"), F.monotonically_increasing_id().alias("row"))

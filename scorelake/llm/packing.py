@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import small_arrow_batches
+from .common import prepare_python
 
 #: Documents of a group, on average.
 GROUP = 4096
@@ -236,7 +236,7 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, length: int = 4096, e
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    small_arrow_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     groups = max(1, -(-docs.count() // group))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import textops
-from .common import small_arrow_batches
+from .common import prepare_python
 
 #: Repeats of fewer words are ordinary language.
 MIN_WORDS = 10
@@ -173,7 +173,7 @@ def quality(docs: DataFrame, *, with_spans: bool = False) -> DataFrame:
     Repeated rows get equal verdicts; an empty table gives an empty result. No row
     is exchanged between tasks, and memory follows the longest text.
     """
-    small_arrow_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     new = [*_COLUMNS, "base_failed", "kept"] + ["repeats"] * with_spans
     docs = docs.drop(*new)
     kept = [f for f in docs.schema.fields if with_spans or f.name != "text"]
@@ -192,5 +192,5 @@ def _sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def keep_sound(docs: DataFrame) -> DataFrame:
     """The rows of docs that quality() keeps, with all their columns."""
-    small_arrow_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     return docs.mapInArrow(_sound, docs.schema)

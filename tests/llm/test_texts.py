@@ -203,7 +203,7 @@ def test_languages_of_held_out_documents(spark):
         assert (np.diff(keys.astype(object)) > 0).all() and len(values) == len(keys) and n
     odd = spark.createDataFrame([(900, None, "x"), (901, "", "x"), (902, "12 34 !!", "x"), (903, "щщ жж", "x")], "doc_id long, text string, score string")
     out = language.identify(docs.filter("fold = 2").select("doc_id", "text", "lang"), model).collect()
-    assert all(r.lang == r.lang_pred and 0 <= r.score <= 1 and not r.rejected for r in out)
+    assert all(r.lang == r.lang_pred and 0 <= r.score <= 1 for r in out) and sum(r.rejected for r in out) <= 0.05 * len(out)
     got = {r.doc_id: r for r in language.identify(odd, model).collect()}
     assert [got[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3 and got[900].score == 0 and got[903].lang_pred in SPEECH and got[903].rejected
 
