@@ -212,12 +212,10 @@ def shooting_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(EXPECTED + """SELECT b.shot_result, coalesce(total_shots, 0) AS total_shots, coalesce(shots_retained, 0) AS shots_retained, coalesce(total_shots - shots_retained, 0) AS shots_lost, coalesce(round(shots_retained / total_shots, 4), 0) AS retention_rate
 FROM (VALUES ('SAVE'), ('WIDE'), ('HIGH'), ('HIT POST'), ('HIT CROSSBAR'), ('BLOCKED')) b(shot_result) LEFT JOIN (
   SELECT CASE shot_result WHEN 'POST' THEN 'HIT POST' WHEN 'CROSSBAR' THEN 'HIT CROSSBAR' ELSE shot_result END AS shot_result, count(*) AS total_shots, count(*) FILTER (WHERE shot_possession_retained) AS shots_retained
-  FROM plays WHERE event_type = 'SHOT' AND contest_id < 2 GROUP BY 1) c USING (shot_result)""")
+  FROM plays WHERE event_type = 'SHOT' GROUP BY 1) c USING (shot_result)""")
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retention of six shot results, also of those without shots."""
-    found = catalog(spark, sf_dir)
-    found.tables["fact_plays"] = found.fact_plays.filter("contest_id < 2")
-    return found.retention()
+    return catalog(spark, sf_dir).retention()
 
 
 @query(EXPECTED + f"SELECT primary_player_name AS player_name, team_id, name_short AS team_name, {_MEASURES} FROM scored JOIN teams USING (team_id) WHERE shot OR goal GROUP BY ALL HAVING count(*) >= 3 ORDER BY realized_shooting_efficiency DESC, goals DESC, total_shots DESC, player_name, team_id LIMIT 25")
