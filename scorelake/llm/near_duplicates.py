@@ -9,7 +9,7 @@ No bucket is expanded into all its pairs. Texts with equal shingle sets are one
 node from the start. In every bucket the members are first compared with one
 pivot; after the components of these links are known, only members of different
 components of a bucket are compared with each other (large buckets in blocks,
-where only pairs whose signatures agree leave the block).
+which only links that join components leave).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from .common import bounded, checkpointed, prepare_python
 #: Hash minima of a signature, and the chance at which a pair at the threshold may share no band.
 MINIMA, MISS = 336, 1e-7
 #: Members up to which a bucket's remaining pairs come from a join; larger buckets are compared in blocks of BLOCK.
-JOINED, BLOCK = 12, 512
+JOINED, BLOCK = 12, 2048
 _rng = np.random.default_rng(8551)
 _A = _rng.integers(0, 2**31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 2**32, MINIMA, dtype=np.uint32)
@@ -96,16 +96,18 @@ def _describe(width: int, rows: int):
     return run
 
 
-def _full_sets(width: int):
+def _full_sets(width: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sigs, sets = [], [], []
+            nodes, sigs, keys, sets = [], [], [], []
             for _, s in _sets(textops.as_bytes(batch.column("text")), width):
                 if len(s):
                     nodes.append(node_of(s))
-                    sigs.append(signature(s).astype(np.uint8).tobytes())
+                    low = signature(s)
+                    sigs.append(low.astype(np.uint8).tobytes())
+                    keys.append(band_keys(low[None], rows).tobytes())
                     sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())], names=["node", "sig", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["node", "sig", "keys", "shingles"])
 
     return run
 
@@ -116,51 +118,76 @@ def _least_agreement(percent: int) -> float:
     return j - 6 * math.sqrt(j * (1 - j) / len(_A))
 
 
-def _similar(percent: int):
-    """Keep the pairs whose full sets reach the threshold, after a check of the signatures."""
+def _agreeing(percent: int):
+    """Keep the pairs whose signatures agree well enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floor = _least_agreement(percent)
         for batch in batches:
-            sig_a, sig_b, set_a, set_b = (batch.column(k) for k in ("sig_a", "sig_b", "set_a", "set_b"))
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                if np.mean(np.frombuffer(sig_a[i].as_buffer(), np.uint8) == np.frombuffer(sig_b[i].as_buffer(), np.uint8)) < floor:
-                    continue
-                x, y = np.frombuffer(set_a[i].as_buffer(), np.uint64), np.frombuffer(set_b[i].as_buffer(), np.uint64)
-                both = len(x) + len(y)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                common = both - len(np.unique(np.concatenate((x, y))))
-                keep[i] = 100 * common >= percent * (both - common)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"])
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in ("sig_a", "sig_b"))
+                keep = pa.array((x == y).mean(axis=1) >= floor)
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    return run
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two shingle sets reach the threshold."""
+    both = len(x) + len(y)
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = both - len(np.unique(np.concatenate((x, y))))
+    return 100 * common >= percent * (both - common)
+
+
+def _similar(percent: int):
+    """Keep the pairs whose full sets reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("set_a"), batch.column("set_b")
+            keep = pa.array([_linked(np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64), percent) for i in range(batch.num_rows)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     return run
 
 
+def _joined(pairs: DataFrame, sets: DataFrame, column: str, short: str) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col(column).alias(f"{short}_{side}")), side)
+    return pairs.select("a", "b", f"{short}_a", f"{short}_b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links; pairs without repetition."""
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("shingles").alias("set_a")), "a")
-    both = with_a.join(sets.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b")), "b")
-    return checkpointed(both.select("a", "b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(_similar(percent), "a long, b long"))
+    likely = _joined(pairs, sets, "sig", "sig").mapInArrow(_agreeing(percent), "a long, b long")
+    return checkpointed(_joined(likely, sets, "shingles", "set").mapInArrow(_similar(percent), "a long, b long"))
+
 
+def _block_links(percent: int):
+    """Links between two blocks of a bucket (or within one) that join components; at most one for each that is joined.
 
-def _block_pairs(percent: int):
-    """Pairs of a block of a bucket (or of two blocks) whose signatures agree and whose components differ."""
+    A pair is compared in the first bucket that it shares, and nowhere else.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         floor = _least_agreement(percent)
         nodes, comps, block = (group.column(k).to_numpy() for k in ("node", "comp", "block"))
-        sigs = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(nodes), -1)
+        sigs, keys = (np.frombuffer(b"".join(group.column(k).to_pylist()), t).reshape(len(nodes), -1) for k, t in (("sig", np.uint8), ("keys", np.int64)))
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
         lo, hi = int(group.column("lo")[0].as_py()), int(group.column("hi")[0].as_py())
-        left, right, a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi), [], []
+        before = int(np.flatnonzero(keys[0] == group.column("band")[0].as_py())[0])
+        left, right, comps, found = np.flatnonzero(block == lo), np.flatnonzero(block == hi), comps.copy(), []
         for i in left:
-            other = right[(comps[right] != comps[i]) & ((nodes[right] > nodes[i]) | (lo != hi))]
+            other = right[(comps[right] != comps[i]) & ((nodes[right] > nodes[i]) if lo == hi else True)]
+            other = other[~(keys[other, :before] == keys[i, :before]).any(axis=1)]
             if len(other):
-                hit = other[(sigs[other] == sigs[i]).mean(axis=1) >= floor]
-                a += np.minimum(nodes[hit], nodes[i]).tolist()
-                b += np.maximum(nodes[hit], nodes[i]).tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                for j in other[(sigs[other] == sigs[i]).mean(axis=1) >= floor]:
+                    if comps[j] != comps[i] and _linked(sets[i], sets[j], percent):
+                        found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+                        comps[comps == comps[j]] = comps[i]
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
     return run
 
@@ -190,6 +217,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return stars.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _open_rows(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members (band, node, members, comp) of the buckets that hold more than one component of the links."""
+    labels = connected_components(links)
+    placed = members.join(labels, "node", "left").select("band", "node", "members", F.coalesce("component", "node").alias("comp"))
+    mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
+    return checkpointed(placed.join(mixed, "band", "left_semi"))
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> DataFrame:
     """Components of near-duplicate documents of docs (doc_id, text; other columns are ignored).
 
@@ -214,24 +249,20 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
 
     wanted = checkpointed(members.select("tkey").distinct())
     texts = source.join(bounded(wanted, wanted.count(), 16), "tkey", "left_semi").select("text")
-    sets = checkpointed(texts.mapInArrow(_full_sets(width), "node long, sig binary, shingles binary").groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles")))
+    sets = checkpointed(texts.mapInArrow(_full_sets(width, rows_of_band(percent)), "node long, sig binary, keys binary, shingles binary").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sig", "keys", "shingles")]))
 
     stars = members.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     links = _verified(stars, sets, percent)
-    labels = checkpointed(connected_components(links))
-
-    placed = members.join(labels, "node", "left").select("band", "node", "members", F.coalesce("component", "node").alias("comp"))
-    mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    open_rows = checkpointed(placed.join(mixed, "band", "left_semi"))
+    open_rows = _open_rows(members, links)
     few = open_rows.filter(F.col("members") <= JOINED)
     other = few.select("band", F.col("node").alias("node2"), F.col("comp").alias("comp2"))
     pairs = few.join(other, "band").filter("comp <> comp2 and node < node2").select(F.col("node").alias("a"), F.col("node2").alias("b"))
     blocks = open_rows.filter(F.col("members") > JOINED).withColumn("n_blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     blocks = blocks.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).withColumn("pair", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    blocks = blocks.select("band", "node", "comp", "block", F.least("block", "pair").alias("lo"), F.greatest("block", "pair").alias("hi")).join(sets.select("node", "sig"), "node")
-    agreed = blocks.groupBy("band", "lo", "hi").applyInArrow(_block_pairs(percent), "a long, b long")
-    rest = pairs.union(agreed).distinct().join(stars, ["a", "b"], "left_anti")
-    more = _verified(rest, sets, percent)
+    blocks = blocks.select("band", "node", "comp", "block", F.least("block", "pair").alias("lo"), F.greatest("block", "pair").alias("hi")).join(sets, "node")
+    joining = blocks.groupBy("band", "lo", "hi").applyInArrow(_block_links(percent), "a long, b long")
+    rest = pairs.distinct().join(stars, ["a", "b"], "left_anti")
+    more = _verified(rest, sets, percent).union(joining)
 
     final = checkpointed(connected_components(links.union(more)))
     owners = described.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
