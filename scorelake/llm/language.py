@@ -91,7 +91,7 @@ class Model:
     bound: float = 0.0
 
     def entropies(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits per character of each text (row) by language (column), and the number of predicted characters."""
+        """Bits per character of each text (row) by language (column), and the number of predicted characters; both are 0 without a letter."""
         codes, doc, predicted = letters(texts)
         at = np.flatnonzero(predicted)
         bits = np.zeros((len(at), len(self.languages)), np.float32)
@@ -115,9 +115,12 @@ class Model:
         bits[todo] += self.unseen
         owner = doc[at]
         counts = np.bincount(owner, minlength=len(texts))
-        first = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        total = np.add.reduceat(bits, first, axis=0, dtype=np.float64) if len(texts) else np.zeros((0, len(self.languages)))
-        return -total / counts[:, None], counts
+        some = counts > 0
+        total = np.zeros((len(texts), len(self.languages)))
+        if some.any():
+            first = np.cumsum(counts) - counts
+            total[some] = np.add.reduceat(bits, first[some], axis=0, dtype=np.float64)
+        return -total / np.maximum(counts, 1)[:, None], counts
 
     def judge(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Best language, its confidence, its bits per character, and whether the text fits none."""
@@ -255,12 +258,13 @@ def train(docs: DataFrame, *, sample: int = SAMPLE) -> Model | None:
     """A model of all languages of docs (text, lang, and fold: 3 is kept for calibration), or None without any labelled letter.
 
     About `sample` documents of each language are taken by a threshold on a hash
-    of the row. Only counts of n-grams and entropies of the calibration documents
-    come to the driver; both are bounded by the sample.
+    of the row; texts without a letter are not sampled. Only counts of n-grams and
+    entropies of the calibration documents come to the driver; both are bounded by
+    the sample.
     """
     spark = docs.sparkSession
     prepare_python(spark)
-    labelled = docs.filter("lang is not null and text is not null")
+    labelled = docs.filter("lang is not null").filter(F.col("text").rlike(r"\p{L}"))
     per_lang = checkpointed(labelled.groupBy("lang").agg(F.count("*").alias("rows")))
     chosen = labelled.join(bounded(per_lang, per_lang.count(), 64), "lang").filter(F.pmod(F.xxhash64("text", "fold"), F.lit(1 << 30)) < F.lit(float(sample)) * (1 << 30) / F.col("rows"))
     learn, check = chosen.filter("fold <> 3"), chosen.filter("fold = 3").select("text", "lang")
@@ -271,7 +275,7 @@ def train(docs: DataFrame, *, sample: int = SAMPLE) -> Model | None:
     front, back = counts.column("front").to_numpy(), counts.column("back").to_numpy()
     mask = (1 << 21) - 1
     model = fit(names.tolist(), lang, np.column_stack((front >> 21, front & mask, back >> 21, back & mask)), counts.column("n").to_numpy())
-    rows = check.mapInArrow(_entropy(spark.sparkContext.broadcast(model)), "lang string, bits array<double>, n long").filter(F.col("lang").isin(names.tolist())).toArrow()
+    rows = check.mapInArrow(_entropy(spark.sparkContext.broadcast(model)), "lang string, bits array<double>, n long").filter(F.col("lang").isin(names.tolist()) & (F.col("n") > 0)).toArrow()  # Python and Java may differ on new letters
     bits = np.array(rows.column("bits").to_pylist(), float).reshape(-1, len(names))
     model.calibrate(bits, rows.column("n").to_numpy(), np.searchsorted(names, np.array(rows.column("lang").to_pylist(), str)))
     return model

@@ -1,6 +1,7 @@
 """Near duplicates, quality rules, packing and language."""
 
 import collections
+import random
 import re
 import zlib
 
@@ -240,3 +241,23 @@ def test_language_without_labels(docs, empty):
     assert language.train(empty.select("text", "lang", F.lit(0).alias("fold"))) is None
     assert {r.lang_pred for r in language.identify(docs, None).collect()} == {"und"}
     assert language.identify(empty, None).count() == 0
+
+
+def spoken(lang, seed, count=60):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice(SPEECH[lang].split()) for _ in range(rng.randrange(3, 40))) for _ in range(count)]
+
+
+def test_labelled_texts_without_a_letter_do_not_reach_the_calibration(spark):
+    rows = [(t, lang, i % 4) for lang in ("aa", "bb") for i, t in enumerate(spoken(lang, 7))]
+    bare = [(t, lang, fold) for t in ("", "12 34", "!?", " ") for lang in ("aa", "bb", "dd") for fold in (0, 3)]
+    schema = "text string, lang string, fold int"
+    plain = language.train(spark.createDataFrame(rows, schema).coalesce(1))
+    for mixed in (bare + rows, rows[:50] + bare + rows[50:], rows + bare):
+        model = language.train(spark.createDataFrame(mixed, schema).coalesce(1))
+        assert model.languages == ["aa", "bb"] and np.isfinite([*model.mean, *model.spread, model.bound]).all()
+        assert model.temperature == plain.temperature and model.bound == pytest.approx(plain.bound) and model.mean == pytest.approx(plain.mean)
+    texts = [b"", b"lo mi", b"12", b"kret", b"!"]
+    bits, n = plain.entropies(texts)
+    assert n.tolist()[::2] == [0, 0, 0] and np.isfinite(bits).all() and bits[[1, 3]] == pytest.approx(plain.entropies(texts[1::2])[0])
+    assert plain.entropies([b"", b"1"])[0].tolist() == [[0, 0], [0, 0]] and len(plain.entropies([])[0]) == 0
