@@ -4,9 +4,10 @@ Entities are found by one pattern, checked by their type (octets, Luhn digit) an
 replaced by values drawn from a keyed digest of type and canonical value, so one
 person keeps one surrogate in the whole corpus. All different entities of the
 corpus are drawn once; where two draw the same surrogate, or one draws a value
-that occurs as an original, they draw again until all are distinct. Surrogates
-cannot belong to anyone where a reserved range exists: example domains, 9xx
-identity numbers, 240/4 addresses.
+that occurs as an original, they draw again until all are distinct. Later draws
+come from ever larger ranges, so that any number of entities finds its surrogates.
+Surrogates cannot belong to anyone where a reserved range exists and has room:
+example domains, 9xx identity numbers, 240/4 addresses.
 """
 
 from __future__ import annotations
@@ -49,7 +50,10 @@ KINDS = {
     "name": _NAME,
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
-ROUNDS = 40
+#: Draws of the usual size; every later one of an e-mail address, a telephone number or a name is longer by a character, digit or syllable.
+USUAL = 3
+#: Draws from the reserved range of addresses and identity numbers; later ones leave the range or get a further digit each.
+RESERVED = 12
 
 
 def digits(value: Column) -> Column:
@@ -104,18 +108,21 @@ def surrogate(key: str, kind: Column, match: Column, attempt: Column) -> Column:
     hexes = F.concat(_digest(key, kind, value, attempt, 0), _digest(key, kind, value, attempt, 1))
     numbers = F.translate(hexes, "abcdef", "012345")
     byte = lambda i: F.conv(F.substring(hexes, 2 * i + 1, 2), 16, 10).cast("int")
-    email = F.concat(_fill(F.regexp_extract(match, "^([^@]*)@", 1), hexes, numbers), F.lit("@"), F.substring(hexes, 101, 6), F.lit(".example.org"))
-    ip = F.concat_ws(".", (byte(0) % 15 + 240).cast("string"), *[byte(i).cast("string") for i in (1, 2, 3)])
-    ssn = F.concat(F.lit("9"), F.substring(numbers, 1, 2), F.lit("-"), F.substring(numbers, 3, 2), F.lit("-"), F.substring(numbers, 5, 4))
+    beyond = lambda draws: F.greatest(attempt - (draws - 1), F.lit(0))
+    email = F.concat(_fill(F.regexp_extract(match, "^([^@]*)@", 1), hexes, numbers), F.lit("@"), F.substring(hexes, F.lit(101), beyond(USUAL) + 6), F.lit(".example.org"))
+    ip = F.concat_ws(".", F.when(attempt < RESERVED, byte(0) % 15 + 240).otherwise(byte(0) % 255 + 1).cast("string"), *[byte(i).cast("string") for i in (1, 2, 3)])
+    ssn = F.concat(F.lit("9"), F.substring(numbers, 1, 2), F.lit("-"), F.substring(numbers, 3, 2), F.lit("-"), F.substring(numbers, F.lit(5), beyond(RESERVED) + 4))
     country = F.regexp_extract(match, r"^(\+\d{1,3}[ .-]?)", 1)
-    phone = F.concat(country, _digits_by_order(F.substring(match, F.length(country) + 1, F.length(match)), numbers))
+    phone = F.concat(country, _digits_by_order(F.substring(match, F.length(country) + 1, F.length(match)), numbers), F.substring(numbers, F.lit(61), beyond(USUAL)))
     body = F.concat(F.substring(digits(match), 1, 1), F.substring(numbers, F.lit(1), F.length(digits(match)) - 2))
     check = ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
     card = _digits_by_order(match, F.concat(body, check))
     pick = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (byte(i) % len(names) + 1).cast("int"))
     cyrillic, male = match.rlike(r"\p{IsCyrillic}"), gender(match) == "m"
     given = F.when(cyrillic & male, pick(GIVEN["m", "cyrillic"], 0)).when(cyrillic, pick(GIVEN["f", "cyrillic"], 0)).when(male, pick(GIVEN["m", "latin"], 0)).otherwise(pick(GIVEN["f", "latin"], 0))
-    family = F.initcap(F.when(cyrillic, F.concat(*[pick(SYLLABLES["cyrillic"], i) for i in (1, 2, 3, 4)])).otherwise(F.concat(*[pick(SYLLABLES["latin"], i) for i in (1, 2, 3, 4)])))
+    syllable = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (F.conv(F.substring(hexes, 2 * i + 1, F.lit(2)), 16, 10).cast("int") % len(names) + 1).cast("int"))
+    spoken = lambda names: F.array_join(F.transform(F.sequence(F.lit(1), beyond(USUAL) + 4), lambda i: syllable(names, i)), "")
+    family = F.initcap(F.when(cyrillic, spoken(SYLLABLES["cyrillic"])).otherwise(spoken(SYLLABLES["latin"])))
     person = F.concat(F.regexp_extract(match, r"^(\S+ )", 1), F.when(F.size(F.split(match, " ")) > 2, F.concat(given, F.lit(" "), family)).otherwise(family))
     made = {"ip": ip, "ssn": ssn, "phone": phone, "card": card, "name": person}
     return reduce(lambda chain, k: chain.when(kind == k, made[k]), made, F.when(kind == "email", email))
@@ -144,7 +151,7 @@ def _redrawn(entities: DataFrame, key: str) -> DataFrame | None:
     entity that comes before it (fewer draws, then the lesser value) has the same.
     """
     now = checkpointed(entities.withColumn("attempt", F.lit(0)).withColumn("made", surrogate(key, F.col("kind"), F.col("match"), F.lit(0))))
-    for _ in range(ROUNDS):
+    while True:
         drawn = now.withColumn("made_value", canonical(F.col("kind"), F.col("made")))
         first = drawn.groupBy("kind", "made_value").agg(F.min(F.struct("attempt", "value")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("kind", "made_value", "first")
         again = drawn.join(first, ["kind", "made_value"]).filter("value <> first.value").select("kind", "value")
@@ -154,8 +161,6 @@ def _redrawn(entities: DataFrame, key: str) -> DataFrame | None:
             break
         now = now.join(again.withColumn("again", F.lit(1)), ["kind", "value"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again")
         now = checkpointed(now.withColumn("made", surrogate(key, F.col("kind"), F.col("match"), F.col("attempt"))))
-    else:
-        raise RuntimeError(f"surrogates were not distinct after {ROUNDS} draws")
     later = now.filter("attempt > 0").select("kind", "value", "attempt")
     return later if later.count() else None
 

@@ -215,3 +215,12 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
         seen[f"10.0.0.{(r.doc_id + 1) % 40}"].add(b)
         seen["240.0.0.7"].add(c)
     assert all(len(v) == 1 for v in seen.values()) and len({min(v) for v in seen.values()}) == 41 and not any("240.0.0.7" in v for v in seen.values())
+
+
+def test_more_entities_than_short_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "SYLLABLES", {k: v[:2] for k, v in surrogates.SYLLABLES.items()})  # 16 names of four syllables
+    names = ["X" + a + b for a in "abcdefghij" for b in "klmno"]
+    got = surrogates.replace(spark.createDataFrame([(f"Mr {x}",) for x in names], "text string"), key="k").collect()
+    made = [r.text for r in got]
+    assert len(set(made)) == len(names) and all(re.fullmatch("Mr [A-Z][a-z]+", m) for m in made) and not set(made) & {f"Mr {x}" for x in names}
+    assert all(r.n_name == 1 for r in got)
