@@ -39,7 +39,15 @@ SYLLABLES = {
     "latin": ("ba", "ber", "dal", "den", "far", "gen", "hol", "kar", "lan", "mer", "nor", "pel", "ran", "sol", "tam", "ver"),
     "cyrillic": ("ба", "вел", "гор", "дал", "жен", "зор", "кар", "лан", "мир", "нов", "пол", "рас", "сол", "тар", "фил", "чер"),
 }
-_NAME = "(?<!\\p{L})(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?(?!\p{L})"
+_PREFIX = r"\p{L}+(?:\.\h?|\h)(?:(?:Dr|Prof|Rev|Hon|Dipl|Ing|Mag)\.\h?|(?:Doktor|Doctor|Docteur|Professor|Professeur)\h)*"
+#: Small words within a name; they stay as they are.
+PARTICLES = ("von", "vom", "van", "de", "del", "della", "di", "da", "du", "des", "do", "dos", "das", "bin", "ibn", "ten", "ter", "af", "av", "y")
+AFTER_PARTICLES = ("der", "den", "dem", "la", "le", "las", "los", "het", "und", "zu")
+_CORE = r"(?:Ste?\.\h?)?(?:(?:\p{Ll}{1,4}['’ʼ]|(?:al|el)[-‐‑]))?\p{Lu}[\p{L}\p{M}]*+(?:(?:['’ʼ](?!s(?!\p{L}))|[-‐‑])\p{L}[\p{L}\p{M}]*+)*+"
+_WORD = rf"(?:\p{{Lu}}\.(?:-?\p{{Lu}}\.)*+(?:-?{_CORE})?|{_CORE})"
+_SMALL = rf"(?:(?:{'|'.join(PARTICLES)})\h(?:(?:{'|'.join(AFTER_PARTICLES)})\h){{0,2}})"
+#: A title and all capitalised words, initials, compounds and particles behind it; a possessive s is left out.
+_NAME = rf"(?<!\p{{L}})(?:{'|'.join(t for ts in TITLES.values() for t in ts)})(?=[.\h]){_PREFIX.removeprefix(r'\p{L}+')}{_SMALL}{{0,2}}{_WORD}(?:\h{_SMALL}{{0,2}}{_WORD})*+"
 #: Kinds in the order in which a match is tried against them.
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -80,7 +88,7 @@ def gender(match: Column) -> Column:
 
 def canonical(kind: Column, match: Column) -> Column:
     """What makes two mentions the same entity."""
-    person = F.concat(gender(match), F.lit(":"), F.lower(F.regexp_replace(match, r"^\S+ ", "")))
+    person = F.concat(gender(match), F.lit(":"), F.lower(F.translate(F.regexp_replace(F.regexp_replace(match, f"^{_PREFIX}", ""), r"\h", " "), "’ʼ\u2010\u2011.", "''--")))
     return F.when(kind.isin("phone", "card", "ssn"), digits(match)).when(kind == "name", person).otherwise(F.lower(match))
 
 
@@ -117,17 +125,47 @@ def surrogate(key: str, kind: Column, match: Column, attempt: Column) -> Column:
     body = F.concat(F.substring(digits(match), 1, 1), F.substring(numbers, F.lit(1), F.length(digits(match)) - 2))
     check = ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
     card = _digits_by_order(match, F.concat(body, check))
-    pick = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (byte(i) % len(names) + 1).cast("int"))
-    cyrillic, male = match.rlike(r"\p{IsCyrillic}"), gender(match) == "m"
-    given = F.when(cyrillic & male, pick(GIVEN["m", "cyrillic"], 0)).when(cyrillic, pick(GIVEN["f", "cyrillic"], 0)).when(male, pick(GIVEN["m", "latin"], 0)).otherwise(pick(GIVEN["f", "latin"], 0))
-    syllable = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (F.conv(F.substring(hexes, 2 * i + 1, F.lit(2)), 16, 10).cast("int") % len(names) + 1).cast("int"))
-    spoken = lambda names: F.array_join(F.transform(F.sequence(F.lit(1), beyond(USUAL) + 4), lambda i: syllable(names, i)), "")
-    family = F.initcap(F.when(cyrillic, spoken(SYLLABLES["cyrillic"])).otherwise(spoken(SYLLABLES["latin"])))
-    person = F.concat(F.regexp_extract(match, r"^(\S+ )", 1), F.when(F.size(F.split(match, " ")) > 2, F.concat(given, F.lit(" "), family)).otherwise(family))
+    person = F.transform(F.array(hexes), lambda h: _person(h, match, beyond(USUAL)))[0]
     made = {"ip": ip, "ssn": ssn, "phone": phone, "card": card, "name": person}
     return reduce(lambda chain, k: chain.when(kind == k, made[k]), made, F.when(kind == "email", email))
 
 
+def _person(hexes: Column, match: Column, further: Column) -> Column:
+    """A name with every word replaced: given names, and a surname of syllables in the last word, which grows by `further`.
+
+    Titles, particles, and all signs between the words stay; initials become initials.
+    """
+    prefix = F.regexp_extract(match, f"^{_PREFIX}", 0)
+    run = F.substring(match, F.length(prefix) + 1, F.length(match))
+    first = F.regexp_extract(run, r"^(?:.*\h)?", 0)
+    cyrillic, male = run.rlike(r"\p{IsCyrillic}"), gender(match) == "m"
+    number = lambda seed, at: F.conv(F.substring(seed, at * 2 - 1, F.lit(2)), 16, 10).cast("int")
+    pick = lambda names, n: F.element_at(F.array(*map(F.lit, names)), (n % len(names) + 1).cast("int"))
+    other = lambda names, n, piece: F.when(F.lower(pick(names, n)) == F.lower(piece), pick(names, n + 1)).otherwise(pick(names, n))
+    letter = lambda seed, piece: F.when(cyrillic, other("АБВГДЕЖЗИКЛМНОПРСТУФ", number(seed, F.lit(1)), piece)).otherwise(other("ABCDEFGHIJKLMNOPQRSTUVWXYZ", number(seed, F.lit(1)), piece))
+    spoken = lambda seed, n: F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.when(cyrillic, pick(SYLLABLES["cyrillic"], number(seed, i))).otherwise(pick(SYLLABLES["latin"], number(seed, i)))), ""))
+
+    def given(seed: Column, piece: Column) -> Column:
+        by = {k: other(names, number(seed, F.lit(1)), piece) for k, names in GIVEN.items()}
+        return F.when(cyrillic & male, by["m", "cyrillic"]).when(cyrillic, by["f", "cyrillic"]).when(male, by["m", "latin"]).otherwise(by["f", "latin"])
+
+    def one(piece: Column, seed: Column, last: bool) -> Column:
+        if last:
+            short = F.when(further == 0, letter(seed, piece)).otherwise(spoken(seed, further))
+            long = spoken(seed, further + 4)
+        else:
+            short, long = letter(seed, piece), given(seed, piece)
+        capitals = (piece == F.upper(piece)) & (F.length(piece) > 1)
+        word = F.when(F.length(piece) == 1, short).when(capitals, F.upper(long)).otherwise(long)
+        return F.when(piece.rlike(r"^[\p{L}\p{M}]") & ~piece.rlike(f"^(?:{'|'.join((*PARTICLES, *AFTER_PARTICLES, 'al', 'el'))}|[dls]|St|Ste)$"), word).otherwise(piece)
+
+    def each(part: Column, last: bool) -> Column:
+        pieces = F.regexp_extract_all(part, F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
+        return F.array_join(F.transform(pieces, lambda p, i: F.transform(F.array(F.sha2(F.concat_ws(":", hexes, F.lit(int(last)), i.cast("string")), 256)), lambda seed: one(p, seed, last))[0]), "")
+
+    return F.concat(prefix, each(first, False), each(F.substring(run, F.length(first) + 1, F.length(run)), True))
+
+
 def _digits_by_order(pattern: Column, numbers: Column) -> Column:
     """The pattern with its n-th digit replaced by the n-th of numbers."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))

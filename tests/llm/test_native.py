@@ -224,3 +224,24 @@ def test_more_entities_than_short_surrogates(spark, monkeypatch):
     made = [r.text for r in got]
     assert len(set(made)) == len(names) and all(re.fullmatch("Mr [A-Z][a-z]+", m) for m in made) and not set(made) & {f"Mr {x}" for x in names}
     assert all(r.n_name == 1 for r in got)
+
+
+NAMES = [
+    ("Mrs Anna Maria Schmidt", "[A-Z][a-z]+ [A-Z][a-z]+ [A-Z][a-z]+"), ("Mr Jean-Luc Picard", "[A-Z][a-z]+-[A-Z][a-z]+ [A-Z][a-z]+"), ("Mr O'Brien", "[A-Z]'[A-Z][a-z]+"), ("Ms O’Hara", "[A-Z]’[A-Z][a-z]+"),
+    ("Mr. J. Smith", "[A-Z]\\. [A-Z][a-z]+"), ("Mr. J.R. Ewing", "[A-Z]\\.[A-Z]\\. [A-Z][a-z]+"), ("Monsieur J.-P. Dupont-Martin", "[A-Z]\\.-[A-Z]\\. [A-Z][a-z]+-[A-Z][a-z]+"),
+    ("Frau Ursula von der Leyen", "[A-Z][a-z]+ von der [A-Z][a-z]+"), ("Señor de la Cruz", "de la [A-Z][a-z]+"), ("Herr Dr. Schmidt", "Dr\\. [A-Z][a-z]+"), ("Monsieur d'Artagnan", "d'[A-Z][a-z]+"),
+    ("Mr William Henry George Stone", "[A-Z][a-z]+ [A-Z][a-z]+ [A-Z][a-z]+ [A-Z][a-z]+"), ("Mr SMITH", "[A-Z]{5,}"), ("Госпожа Анна Петровна Иванова-Лебедева", "[А-Я][а-я]+ [А-Я][а-я]+ [А-Я][а-я]+-[А-Я][а-я]+"), ("Mr T", "[A-Z][a-z]*"),
+]
+
+
+def test_names_are_replaced_whole(spark):
+    rows = [(i, f"so {name} said, and {name}'s dog; {name}.") for i, (name, _) in enumerate(NAMES)] + [(100, "Mister Smith, Mr smith and Mrs. and Herr der Ringe")]
+    got = {r.doc_id: r for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    for i, (name, form) in enumerate(NAMES):
+        title = name.split(" ")[0]
+        found = re.fullmatch(rf"so ({title} {form}) said, and (.*)'s dog; (.*)\.", got[i].text)
+        assert found and len(set(found.groups())) == 1 and got[i].n_name == 3, got[i].text
+        kept = {title.strip("."), "Dr", "von", "der", "de", "la"}
+        before, after = re.findall(r"\w+", name), re.findall(r"\w+", found[1])
+        assert all(x != y or x in kept or (x, y) == ("d", "d") for x, y in zip(before, after, strict=True)), got[i].text
+    assert got[100].text == rows[-1][1] and got[100].n_name == 0
