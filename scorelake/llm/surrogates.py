@@ -48,12 +48,28 @@ _WORD = rf"(?:\p{{Lu}}\.(?:-?\p{{Lu}}\.)*+(?:-?{_CORE})?|{_CORE})"
 _SMALL = rf"(?:(?:{'|'.join(PARTICLES)})\h(?:(?:{'|'.join(AFTER_PARTICLES)})\h){{0,2}})"
 #: A title and all capitalised words, initials, compounds and particles behind it; a possessive s is left out.
 _NAME = rf"(?<!\p{{L}})(?:{'|'.join(t for ts in TITLES.values() for t in ts)})(?=[.\h]){_PREFIX.removeprefix(r'\p{L}+')}{_SMALL}{{0,2}}{_WORD}(?:\h{_SMALL}{{0,2}}{_WORD})*+"
+#: Country codes of the telephone network; all others have three digits.
+_COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+_SEP = r"[ \u00a0./-]"
+#: A further digit of a number in groups; a separator is none before an address.
+_MORE = rf"(?:{_SEP}(?!{_OCTET}(?:\.{_OCTET}){{3}}(?!\d)))?\d"
+#: A day that looks like the beginning of a national number.
+_DAY = rf"\d\d{_SEP}\d\d{_SEP}(?:(?:19|20)\d\d(?!\d)|\d\d(?!{_SEP}?\d))"
+#: North American numbers, numbers with a country code and up to 15 digits, and national numbers (ten digits as 3-3-4, or a leading 0).
+_PHONE = r"(?=[+(\d])(?<![\p{L}\d+])(?:" + "|".join([
+    rf"(?:\+1{_SEP}?|\+\d{{1,3}}[ .-]?(?=[(]|\d{{3}}[.-]))?(?:\(\d{{3}}\){_SEP}?|\d{{3}}[.-])\d{{3}}[ .-]\d{{4}}(?!\d)",
+    rf"(?:\+1{_SEP}?)?[2-9]\d\d{_SEP}[2-9]\d\d{_SEP}\d{{4}}(?!\d)",
+    r"\+\d{10,15}(?!\d)",
+    rf"(?:\+|00(?=[1-9]\d{{0,2}}{_SEP})){_COUNTRY}{_SEP}?\(\d{{1,5}}\)(?:{_SEP}?\d)(?:{_MORE}){{3,11}}(?!\d)",
+    rf"(?:\+|00(?=[1-9]\d{{0,2}}{_SEP}))\d(?:{_MORE}){{6,14}}(?!\d)",
+    rf"(?<!\d[.,:/-])(?!{_DAY})(?=(?:\D{{0,2}}\d){{9}})(?:\(0[1-9]\d{{0,4}}\){_SEP}?|0[1-9]\d{{0,4}}{_SEP})\d(?:{_MORE}){{3,9}}(?!\d)",
+]) + ")"
 #: Kinds in the order in which a match is tried against them.
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\p{L}\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)|(?<![\p{L}\d+])\+\d{1,3}(?:[ .-]\d{2,4}){3,4}(?!\d)",
+    "phone": _PHONE,
     "card": r"(?<![\p{L}\d])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\d])",
     "name": _NAME,
 }
@@ -89,7 +105,8 @@ def gender(match: Column) -> Column:
 def canonical(kind: Column, match: Column) -> Column:
     """What makes two mentions the same entity."""
     person = F.concat(gender(match), F.lit(":"), F.lower(F.translate(F.regexp_replace(F.regexp_replace(match, f"^{_PREFIX}", ""), r"\h", " "), "’ʼ\u2010\u2011.", "''--")))
-    return F.when(kind.isin("phone", "card", "ssn"), digits(match)).when(kind == "name", person).otherwise(F.lower(match))
+    phone = digits(F.regexp_replace(match, rf"^00|(?<=\d{_SEP}?)\(0\)", ""))  # 0049 is +49, and the 0 of +44 (0)20 isn't dialled
+    return F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits(match)).when(kind == "name", person).otherwise(F.lower(match))
 
 
 def _digest(key: str, kind: Column, value: Column, attempt: Column, part: int) -> Column:
@@ -120,7 +137,7 @@ def surrogate(key: str, kind: Column, match: Column, attempt: Column) -> Column:
     email = F.concat(_fill(F.regexp_extract(match, "^([^@]*)@", 1), hexes, numbers), F.lit("@"), F.substring(hexes, F.lit(101), beyond(USUAL) + 6), F.lit(".example.org"))
     ip = F.concat_ws(".", F.when(attempt < RESERVED, byte(0) % 15 + 240).otherwise(byte(0) % 255 + 1).cast("string"), *[byte(i).cast("string") for i in (1, 2, 3)])
     ssn = F.concat(F.lit("9"), F.substring(numbers, 1, 2), F.lit("-"), F.substring(numbers, 3, 2), F.lit("-"), F.substring(numbers, F.lit(5), beyond(RESERVED) + 4))
-    country = F.regexp_extract(match, r"^(\+\d{1,3}[ .-]?)", 1)
+    country = F.regexp_extract(match, rf"^(?:(?:\+|00){_COUNTRY}(?:{_SEP}?\(0\))?|\(?0)?", 0)
     phone = F.concat(country, _digits_by_order(F.substring(match, F.length(country) + 1, F.length(match)), numbers), F.substring(numbers, F.lit(61), beyond(USUAL)))
     body = F.concat(F.substring(digits(match), 1, 1), F.substring(numbers, F.lit(1), F.length(digits(match)) - 2))
     check = ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")

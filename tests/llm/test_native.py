@@ -245,3 +245,23 @@ def test_names_are_replaced_whole(spark):
         before, after = re.findall(r"\w+", name), re.findall(r"\w+", found[1])
         assert all(x != y or x in kept or (x, y) == ("d", "d") for x, y in zip(before, after, strict=True)), got[i].text
     assert got[100].text == rows[-1][1] and got[100].n_name == 0
+
+
+PHONES = [
+    "+14155552671", "415 555 2671", "+49 170 1234567", "+49\u00a0170\u00a01234567", "+49 30 1234567", "+33 1 23 45 67 89", "0171 1234567", "+1 (275) 555-5927", "(415) 555-2671", "415-555-2671", "+1 415 555 2671", "+44 (0)20 7946 0958", "+49 (30) 1234567",
+    "+4930 1234567", "01 23 45 67 89", "01.23.45.67.89", "030/1234567", "(030) 1234567", "0049 30 1234567", "+351 21 234 5678", "+1234567", "+123456789012345", "+34 912 345 678", "020 7946 0958",
+]
+NO_PHONES = "on 01.02.2026 12:30, 01 02 2026 12 or 2026-01-02 03:04:05, 1 234 567 890 pieces, 0.123456789, 12345, 08.30-12.45, +12 34, id 4155552671, 10.0.0.1 +1234567890123456"
+
+
+def test_telephone_numbers_of_many_formats(spark):
+    rows = [(i, f"call {p}, or {p}. Now") for i, p in enumerate(PHONES)] + [(100, NO_PHONES), (101, "+1 (487) 555-7209 and +14875557209"), (102, "+33 1 23 45 67 89 10.1.2.3"), (103, "+44 (0)20 7946 0958 and +44 20 7946 0958 and 0044 20 7946 0958")]
+    got = {r.doc_id: r for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    for i, p in enumerate(PHONES):
+        a, b = re.fullmatch(r"call (.*), or (.*)\. Now", got[i].text).groups()
+        assert got[i].n_phone == 2 and a == b != p and re.sub(r"\d", "9", a) == re.sub(r"\d", "9", p), (p, got[i].text)
+        assert not p.startswith("+1 ") or a.startswith("+1 ")
+    assert re.sub(r"2\d+\.\d+\.\d+\.\d+", "10.0.0.1", got[100].text) == NO_PHONES and got[100].n_phone == 0
+    for i in (101, 103):  # one number in several forms has one surrogate
+        assert len({re.sub(r"^00|\(0\)|\D", "", x) for x in got[i].text.split(" and ")}) == 1, got[i].text
+    assert (got[102].n_phone, got[102].n_ip) == (1, 1)
