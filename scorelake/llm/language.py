@@ -26,6 +26,8 @@ from .common import bounded, checkpointed, prepare_python
 ORDER = 4
 #: Bound of the training sample: documents of each language, by expectation, one in four of them for calibration.
 SAMPLE = 4000
+#: Languages with fewer sampled documents than this outside the calibration fold learn those of the calibration fold as well, after the calibration.
+FEW = 100
 #: A text is rejected if its cross-entropy lies beyond what this share of the calibration documents show.
 ACCEPTED = 0.999
 _R = np.random.default_rng(77).integers(1, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -208,14 +210,14 @@ def fit(languages: list[str], lang: np.ndarray, chars: np.ndarray, counts: np.nd
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, langs = textops.as_bytes(batch.column("text")), np.array(batch.column("lang").to_pylist(), object)
+        texts, groups = textops.as_bytes(batch.column("text")), list(zip(batch.column("lang").to_pylist(), batch.column("part").to_pylist(), strict=True))
         for low, high in textops.packets(texts):
-            for lang in set(langs[low:high]):
-                codes, _, predicted = letters([texts[i] for i in range(low, high) if langs[i] == lang])
+            for lang, part in set(groups[low:high]):
+                codes, _, predicted = letters([texts[i] for i in range(low, high) if groups[i] == (lang, part)])
                 at = np.flatnonzero(predicted)
                 packed = [(codes[at - j].astype(np.int64) << 21) | codes[at - j + 1] for j in (ORDER - 1, 1)]
                 both, counts = np.unique(np.column_stack(packed), axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(both), pa.string()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts)], names=["lang", "front", "back", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(both), pa.string()), pa.array([part] * len(both), pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts)], names=["lang", "part", "front", "back", "n"])
 
 
 def _entropy(model):
@@ -224,7 +226,7 @@ def _entropy(model):
             texts = textops.as_bytes(batch.column("text"))
             for low, high in textops.packets(texts):
                 bits, n = model.value.entropies(texts[low:high])
-                yield pa.RecordBatch.from_arrays([batch.column("lang").slice(low, high - low), pa.array(list(bits), pa.list_(pa.float64())), pa.array(n)], names=["lang", "bits", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column("lang").slice(low, high - low), batch.column("part").slice(low, high - low), pa.array(list(bits), pa.list_(pa.float64())), pa.array(n)], names=["lang", "part", "bits", "n"])
 
     return run
 
@@ -255,29 +257,48 @@ def remainder(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, *, sample: int = SAMPLE) -> Model | None:
-    """A model of all languages of docs (text, lang, and fold: 3 is kept for calibration), or None without any labelled letter.
+    """A model of all languages of docs (text, lang, and fold: 3 serves for calibration), or None without any labelled letter.
 
     About `sample` documents of each language are taken by a threshold on a hash
     of the row; texts without a letter are not sampled. Only counts of n-grams and
     entropies of the calibration documents come to the driver; both are bounded by
-    the sample.
+    the sample. A language with FEW documents or more learns none of fold 3. A rarer
+    one is calibrated by a model without fold 3 and then learns fold 3 too; if it
+    has no other fold, the calibration's model learns one half of fold 3 and is
+    held against the other.
     """
     spark = docs.sparkSession
     prepare_python(spark)
     labelled = docs.filter("lang is not null").filter(F.col("text").rlike(r"\p{L}"))
-    per_lang = checkpointed(labelled.groupBy("lang").agg(F.count("*").alias("rows")))
-    chosen = labelled.join(bounded(per_lang, per_lang.count(), 64), "lang").filter(F.pmod(F.xxhash64("text", "fold"), F.lit(1 << 30)) < F.lit(float(sample)) * (1 << 30) / F.col("rows"))
-    learn, check = chosen.filter("fold <> 3"), chosen.filter("fold = 3").select("text", "lang")
-    counts = learn.select("text", "lang").mapInArrow(_count, "lang string, front long, back long, n long").groupBy("lang", "front", "back").agg(F.sum("n").alias("n")).toArrow()
+    per_lang = checkpointed(labelled.groupBy("lang").agg(F.count("*").alias("rows"), F.count_if(F.col("fold") != 3).alias("others")))
+    draw, share = F.xxhash64("text", "fold"), F.lit(float(sample)) / F.col("rows")
+    few = F.col("others") * F.least(share, F.lit(1.0)) < FEW
+    # 0 is learnt, 1 and 2 are learnt after the calibration, 3 is never learnt
+    part = F.when(F.col("fold") != 3, 0).when(F.col("fold") == 3, F.when(few, 1 + F.pmod(F.shiftright(draw, 30), F.lit(2))).otherwise(3)).cast("int")
+    chosen = labelled.join(bounded(per_lang, per_lang.count(), 72), "lang").filter(F.pmod(draw, F.lit(1 << 30)) < (1 << 30) * share).select("text", "lang", part.alias("part"))
+    counts = chosen.filter("part < 3").mapInArrow(_count, "lang string, part int, front long, back long, n long").groupBy("lang", "part", "front", "back").agg(F.sum("n").alias("n")).toArrow()
     if not counts.num_rows:
         return None
     names, lang = np.unique(np.array(counts.column("lang").to_pylist(), object).astype(str), return_inverse=True)
+    parts, n = counts.column("part").to_numpy(), counts.column("n").to_numpy()
     front, back = counts.column("front").to_numpy(), counts.column("back").to_numpy()
     mask = (1 << 21) - 1
-    model = fit(names.tolist(), lang, np.column_stack((front >> 21, front & mask, back >> 21, back & mask)), counts.column("n").to_numpy())
-    rows = check.mapInArrow(_entropy(spark.sparkContext.broadcast(model)), "lang string, bits array<double>, n long").filter(F.col("lang").isin(names.tolist()) & (F.col("n") > 0)).toArrow()  # Python and Java may differ on new letters
+    chars = np.column_stack((front >> 21, front & mask, back >> 21, back & mask))
+    learnt = np.full(len(names), 3)
+    np.minimum.at(learnt, lang, parts)
+    early = parts == learnt[lang]
+    model = fit(names.tolist(), lang[early], chars[early], n[early])
+    check = chosen.filter("part > 0").mapInArrow(_entropy(spark.sparkContext.broadcast(model)), "lang string, part int, bits array<double>, n long")
+    rows = check.filter(F.col("lang").isin(names.tolist()) & (F.col("n") > 0)).toArrow()  # Python and Java may differ on new letters
+    label = np.searchsorted(names, np.array(rows.column("lang").to_pylist(), str))
+    unseen = rows.column("part").to_numpy() > learnt[label]
     bits = np.array(rows.column("bits").to_pylist(), float).reshape(-1, len(names))
-    model.calibrate(bits, rows.column("n").to_numpy(), np.searchsorted(names, np.array(rows.column("lang").to_pylist(), str)))
+    model.calibrate(bits[unseen], rows.column("n").to_numpy()[unseen], label[unseen])
+    if not early.all():
+        both, inverse = np.unique(np.column_stack((lang, chars)), axis=0, return_inverse=True)
+        full = fit(names.tolist(), both[:, 0], both[:, 1:], np.bincount(inverse.ravel(), n))
+        full.temperature, full.mean, full.spread, full.bound = model.temperature, model.mean, model.spread, model.bound
+        model = full
     return model
 
 

@@ -261,3 +261,17 @@ def test_labelled_texts_without_a_letter_do_not_reach_the_calibration(spark):
     bits, n = plain.entropies(texts)
     assert n.tolist()[::2] == [0, 0, 0] and np.isfinite(bits).all() and bits[[1, 3]] == pytest.approx(plain.entropies(texts[1::2])[0])
     assert plain.entropies([b"", b"1"])[0].tolist() == [[0, 0], [0, 0]] and len(plain.entropies([])[0]) == 0
+
+
+@pytest.mark.parametrize("folds", [(3,), (3, 3, 3, 3, 3, 3, 3, 3), (0, 3, 3)])
+def test_rare_languages_learn_their_calibration_documents(spark, folds):
+    rows = [(t, lang, i % 4) for lang in ("aa", "bb") for i, t in enumerate(spoken(lang, 7, 600))]
+    rows += [("ñié", "cc", fold) if fold == 0 else (t, "cc", fold) for t, fold in zip(spoken("cc", 5, len(folds)), folds, strict=True)]
+    model = language.train(spark.createDataFrame(rows, "text string, lang string, fold int"))
+    plain = language.train(spark.createDataFrame([r for r in rows if r[1] != "cc"], "text string, lang string, fold int"))
+    assert model.languages == ["aa", "bb", "cc"] and np.isfinite(model.bound)
+    new = [t.encode() for t in spoken("cc", 6, 20)]
+    best, _, bits, odd = model.judge(new)
+    assert (best == 2).all() and np.mean(bits) < 5
+    assert model.mean[:2] == pytest.approx(plain.mean, abs=0.1) and (model.judge([t.encode() for t in spoken("bb", 9)])[0] == 1).all()
+    assert np.isfinite(model.mean[2]) == (len(folds) > 1)
