@@ -185,16 +185,28 @@ def plays_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(EXPECTED + f"SELECT {_PLAYS} FROM plays WHERE event_team_short = 'H3' OR team_id = 1006 OR caused_by_team_id = 1006 ORDER BY play_seq, contest_id, play_id LIMIT 500")
 def plays_of_team_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plays of a team by its code, in either role."""
+    """A page of the plays of a team by its code, in either role."""
     return catalog(spark, sf_dir).plays(team="h3", limit=500).drop("play_text", "color", "name_full")
 
 
 @query(EXPECTED + f"SELECT {_PLAYS} FROM plays JOIN teams USING (team_id) WHERE 'Club ' || name_short ILIKE '%club h1%' OR caused_by_team_id IN (SELECT team_id FROM teams WHERE 'Club ' || name_short ILIKE '%club h1%') ORDER BY play_seq, contest_id, play_id LIMIT 500")
 def plays_of_team_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plays of all teams with a text in their names."""
+    """A page of the plays of all teams with a text in their names."""
     return catalog(spark, sf_dir).plays(team="club h1", limit=500).drop("play_text", "color", "name_full")
 
 
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays WHERE event_team_short = 'H3' OR team_id = 1006 OR caused_by_team_id = 1006 ORDER BY play_seq, contest_id, play_id")
+def all_plays_of_team_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All plays of a team by its code, in either role."""
+    return catalog(spark, sf_dir).plays(team="h3", limit=None).drop("play_text", "color", "name_full")
+
+
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays JOIN teams USING (team_id) WHERE 'Club ' || name_short ILIKE '%club h1%' OR caused_by_team_id IN (SELECT team_id FROM teams WHERE 'Club ' || name_short ILIKE '%club h1%') ORDER BY play_seq, contest_id, play_id")
+def all_plays_of_team_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All plays of all teams with a text in their names."""
+    return catalog(spark, sf_dir).plays(team="club h1", limit=None).drop("play_text", "color", "name_full")
+
+
 @query(EXPECTED + """SELECT play_id, contest_id, play_seq, period_number, clock_display, period_seconds_remaining, primary_player_name AS turnover_committer, event_team_short AS turnover_team,
   caused_by_player_name AS caused_by_player, caused_by_team_id, running_home_score, running_visitor_score, event_team_margin AS committer_team_margin, -event_team_margin AS defending_team_margin
 FROM plays WHERE event_type = 'TURNOVER' AND caused_by_player_name IS NOT NULL AND period_number >= 4 AND event_team_margin = 1 ORDER BY play_seq, contest_id, play_id LIMIT 50""")

@@ -155,12 +155,13 @@ class Catalog:
         keep = F.coalesce(short, F.lit(False)) | F.coalesce(as_text, F.lit(False)) | F.col("_is_own").isNotNull() | F.col("_is_cause").isNotNull()
         return plays.filter(keep).drop("_own", "_is_own", "_team", "_is_cause")
 
-    def plays(self, *, team: str | None = None, order_by: str = "play_seq", order_desc: bool = False, limit: int = 100, offset: int = 0, **filters: Any) -> DataFrame:
-        """A page of plays; the arguments are those of CONDITIONS, and team."""
+    def plays(self, *, team: str | None = None, order_by: str = "play_seq", order_desc: bool = False, limit: int | None = 100, offset: int = 0, **filters: Any) -> DataFrame:
+        """A page of plays, or all from the offset with a limit of None; the arguments are those of CONDITIONS, and team."""
         found = self.fact_plays.filter(conditions(**filters))
         if team:
             found = self._of_team(found, team)
-        return ordered(found, order_by, order_desc).offset(offset).limit(limit)
+        page = ordered(found, order_by, order_desc).offset(offset)
+        return page if limit is None else page.limit(limit)
 
     def caused_turnovers(self, contest_id: int | None = None, defending_team_down_by: int | None = None, max_period_seconds: int | None = None, min_period: int | None = 4, limit: int = 50) -> DataFrame:
         """Turnovers with a causer. The margin is that of the defending team; 0 for contest or period sets no condition."""

@@ -115,3 +115,11 @@ def test_stream_replaces_contests(spark, tmp_path):
         ingest.ingest(1, tmp_path / "raw", lambda _, n=n: make(n), now=lambda year=year: datetime(year, 1, 1, tzinfo=timezone.utc))
         refresh_plays(spark, tmp_path / "raw", tmp_path / "plays", tmp_path / "check", files=2).awaitTermination(120)
         assert store.read_table(spark, tmp_path / "plays").count() == n
+
+
+def test_team_filters_without_a_page_return_all_plays(spark, root):
+    found = Catalog.open(spark, root[0])
+    for team, own in (("alpha", 1), ("beta c", 2)):
+        whole = [r.play_id for r in found.plays(team=team, limit=None).collect()]
+        wanted = {r["play_id"] for r in root[1] if own in (r["team_id"], r["caused_by_team_id"])}
+        assert set(whole) == wanted and len(whole) == len(wanted) and [r.play_id for r in found.plays(team=team, limit=7).collect()] == whole[:7]
