@@ -22,6 +22,27 @@ EVENT_PREFIXES = {
 EVENT_FRAGMENTS = {"at goalie for": "GOALIE_CHANGE", "End-of-period": "PERIOD_END"}
 #: Endings of shot texts and their results.
 SHOT_ENDINGS = {"WIDE": "WIDE", "HIGH": "HIGH", "HIT POST": "POST", "HIT CROSSBAR": "CROSSBAR", "BLOCKED": "BLOCKED"}
+#: What stands between the beginning of a text and the label of its team, by event type.
+LABEL_AFTER = {
+    "GOAL": "GOAL by ",
+    "SHOT": "Shot by ",
+    "TURNOVER": "Turnover by ",
+    "FACEOFF": r"Faceoff\s+.+?\s+vs\s+.+?\s+won by\s+",
+    "GROUND_BALL": "Ground ball pickup by ",
+    "PENALTY": "Penalty on ",
+    "CLEAR": "Clear attempt by ",
+    "TIMEOUT": "Timeout by ",
+    "GOALIE_CHANGE": ".*?at goalie for ",
+}
+#: Labels that end by the grammar of their text; of other events only the first word is sure to be of the label.
+WHOLE_LABELS = {"FACEOFF": r"^([^,(]+)", "CLEAR": r"^(.+?)\s+(?:good|failed)\b", "TIMEOUT": r"^(.+?)\.?$", "GOALIE_CHANGE": r"^(.+?)\.?$"}
+#: What ends the name of the player behind the label, besides a closing stop.
+PLAYER_ENDS = {
+    "GOAL": (r",\s*Assist by", r"\s*\([^)]+\)", r",\s*goal number"),
+    "SHOT": (r",\s*SAVE", r",\s*TEAM SAVE", *(rf"\s+{k}" for k in SHOT_ENDINGS)),
+    "TURNOVER": (r"\s*\([^)]+\)",),
+    "GROUND_BALL": (),
+}
 #: Endings of a person's name, and names that are no person.
 NAME_ENDINGS = ("JR", "JR.", "SR", "SR.", "II", "III", "IV", "V")
 NO_PERSON = ("TEAM", "TM", "BENCH")
@@ -41,6 +62,23 @@ def event_type(text: Column) -> Column:
     return chain(starts + parts, F.lit("UNKNOWN"))
 
 
+def from_label(text: Column) -> Column:
+    """The text from the label of its team on; null where no label is told."""
+    return found(text, f"^(?:{'|'.join(LABEL_AFTER.values())})(.+)$")
+
+
+def spoken_label(kind: Column, rest: Column) -> Column:
+    """The label, or its first word, at the beginning of rest (from_label), told without knowing any team."""
+    return chain([(kind == k, found(rest, pattern)) for k, pattern in WHOLE_LABELS.items()], found(rest, r"^(\S+)"))
+
+
+def player_behind(kind: Column, tail: Column) -> Column:
+    """The player in what follows a label, as written; TEAM for a turnover without one."""
+    ends = {k: found(tail, rf"^\s+(.+?)(?:{'|'.join((*stops, r'\.?$'))})") for k, stops in PLAYER_ENDS.items()}
+    ends["TURNOVER"] = F.coalesce(blank_to_null(ends["TURNOVER"]), F.lit("TEAM"))
+    return chain([(kind == k, v) for k, v in ends.items()] + [(kind == "PENALTY", found(tail, r"^\s+([^(]+)"))])
+
+
 def clock_seconds(clock: Column) -> Column:
     """Seconds of a clock mm:ss; 0 without a colon. Digits that are none raise an error under ANSI rules."""
     parts = F.split(clock, ":")

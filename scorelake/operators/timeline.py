@@ -63,7 +63,7 @@ def with_timeline(plays: DataFrame) -> DataFrame:
     All windows share the contest as their partition key or its prefix, and run
     before any text is taken apart, so that little is sorted.
     """
-    plays = plays.withColumn("_clock", blank_to_null(F.col("raw_clock")))
+    plays = plays.withColumn("_clock", blank_to_null(F.trim("raw_clock")))
     plays = plays.withColumns({
         "running_home_score": fill_forward("home_score", 0, "contest_id"),
         "running_visitor_score": fill_forward("visitor_score", 0, "contest_id"),
