@@ -27,7 +27,8 @@ WITH ev AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, event_id AS e FROM events
 ), base AS (
   SELECT user_id AS contest_id, seq, e, event_type AS k, CAST(1 + least(4, (seq - 1) // 16) AS INTEGER) AS period_number,
-         (seq - 1) % 16 AS nth, e % 2 = 0 AS is_home, 2 * user_id + 1000 AS home_id, 2 * user_id + 1001 AS away_id FROM ev
+         (seq - 1) % 16 AS nth, e % 2 = 0 AS is_home, 2 * user_id + 1000 AS home_id, 2 * user_id + 1001 AS away_id,
+         CASE WHEN user_id % 4 = 0 THEN 'Lake ' ELSE '' END AS place FROM ev
 ), timed AS (
   SELECT *, CASE WHEN period_number < 5 THEN 900 - nth * 50 - e % 40 ELSE greatest(0, 240 - (seq - 65) * 6) END AS secs FROM base
 ), clocked AS (
@@ -39,10 +40,14 @@ WITH ev AS (
   SELECT *, CASE WHEN k = 'purchase' THEN 'GOAL' WHEN k = 'view' THEN 'SHOT' WHEN k = 'error' AND e % 3 = 0 THEN 'PENALTY' WHEN k = 'error' THEN 'TURNOVER'
                  WHEN k = 'click' AND e % 3 = 0 THEN 'CLEAR' WHEN k = 'click' THEN 'GROUND_BALL' WHEN e % 4 = 0 THEN 'TIMEOUT' ELSE 'FACEOFF' END AS event_type,
          CASE WHEN is_home THEN home_id ELSE away_id END AS team_id, CASE WHEN is_home THEN away_id ELSE home_id END AS opponent_team_id,
-         CASE WHEN is_home THEN 'H' ELSE 'A' END || contest_id AS event_team_short,
-         CASE WHEN is_home THEN 'A' ELSE 'H' END || contest_id AS other_short FROM clocked
+         place || CASE WHEN is_home THEN 'H' ELSE 'A' END || contest_id AS event_team_short FROM clocked
 ), possessed AS (
   SELECT *, CASE WHEN event_type IN ('GOAL', 'SHOT', 'TURNOVER', 'FACEOFF', 'GROUND_BALL', 'CLEAR') THEN team_id END AS possession_team_id FROM typed
+), taken AS (
+  SELECT contest_id, bool_or(is_home) AS hal_home, bool_or(NOT is_home) FILTER (WHERE contest_id % 10 = 0) AS hal_away, bool_or(NOT is_home) FILTER (WHERE contest_id % 10 <> 0) AS ian_away
+  FROM typed WHERE event_type = 'GROUND_BALL' AND e % 7 = 0 GROUP BY contest_id
+), roster AS (
+  SELECT contest_id, CASE WHEN hal_home AND hal_away THEN 0 WHEN hal_home THEN 1 WHEN hal_away THEN 2 END AS hal, CASE WHEN ian_away THEN 2 END AS ian FROM taken
 ), ahead AS (
   SELECT *, first_value(possession_team_id IGNORE NULLS) OVER (PARTITION BY contest_id, period_number ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_possession FROM possessed
 ), plays AS (
@@ -54,22 +59,27 @@ WITH ev AS (
     CAST(greatest(0, 3600 - CASE WHEN period_number <= 4 THEN (period_number - 1) * 900 + 900 - filled ELSE 3600 + 240 - filled END) AS INTEGER) AS game_seconds_remaining_reg,
     event_type, team_id, event_team_short, is_home AS event_team_is_home, opponent_team_id, possession_team_id,
     CASE event_type WHEN 'GOAL' THEN 'Kim ' || e % 7 || ' Able' WHEN 'SHOT' THEN 'Kim ' || e % 7 || ' Able' WHEN 'PENALTY' THEN 'Kim ' || e % 7 || ' Cole'
-                    WHEN 'TURNOVER' THEN 'Kim ' || e % 7 || ' Dane' WHEN 'GROUND_BALL' THEN 'Kim ' || e % 7 || ' Ford' END AS primary_player_name,
-    CASE WHEN event_type = 'GOAL' AND e % 5 = 0 THEN 'Bo Bond' WHEN event_type = 'SHOT' AND e % 7 = 5 THEN 'Gus Gale' END AS secondary_player_name,
+                    WHEN 'TURNOVER' THEN CASE WHEN e % 8 = 2 THEN 'TEAM' ELSE 'Kim ' || e % 7 || ' Dane' END
+                    WHEN 'GROUND_BALL' THEN CASE WHEN e % 7 <> 0 THEN 'Kim ' || e % 7 || ' Ford' WHEN is_home OR contest_id % 10 = 0 THEN 'Hal Hale' ELSE 'Ian Ives' END END AS primary_player_name,
+    CASE WHEN event_type = 'GOAL' AND e % 10 = 0 THEN 'Bo Bond Jr' WHEN event_type = 'GOAL' AND e % 5 = 0 THEN 'Bo Bond' WHEN event_type = 'SHOT' AND e % 7 = 5 THEN 'Gus Gale' END AS secondary_player_name,
     CASE WHEN event_type = 'TURNOVER' AND e % 4 < 2 THEN 'Eli Eads' END AS caused_by_player_name,
     CASE WHEN event_type = 'TURNOVER' AND e % 4 < 2 THEN opponent_team_id END AS caused_by_team_id,
     CASE WHEN event_type = 'GOAL' THEN 'GOAL' WHEN event_type = 'SHOT' THEN ['WIDE', 'HIGH', 'POST', 'CROSSBAR', 'BLOCKED', 'SAVE', NULL][CAST(e % 7 + 1 AS INTEGER)] END AS shot_result,
     CASE WHEN event_type = 'SHOT' THEN coalesce(possession_team_id = next_possession, false) END AS shot_possession_retained,
-    CAST(NULL AS VARCHAR) AS faceoff_winner_player, CAST(NULL AS VARCHAR) AS faceoff_loser_player,
+    CASE WHEN event_type = 'FACEOFF' AND coalesce(hal, -1) <> 0 AND (hal IS NOT NULL OR ian IS NOT NULL) THEN
+      CASE WHEN coalesce(hal, 3 - ian) = 3 - coalesce(ian, 3 - hal) THEN CASE WHEN is_home = (coalesce(hal, 3 - ian) = 1) THEN 'Hal Hale' ELSE 'Ian Ives' END END END AS faceoff_winner_player,
+    CASE WHEN event_type = 'FACEOFF' AND coalesce(hal, -1) <> 0 AND (hal IS NOT NULL OR ian IS NOT NULL) THEN
+      CASE WHEN coalesce(hal, 3 - ian) = 3 - coalesce(ian, 3 - hal) THEN CASE WHEN is_home = (coalesce(hal, 3 - ian) = 1) THEN 'Ian Ives' ELSE 'Hal Hale' END END END AS faceoff_loser_player,
     CASE WHEN event_type = 'FACEOFF' THEN false END AS is_faceoff_violation,
     CASE WHEN event_type = 'PENALTY' THEN 'SLASHING' END AS penalty_type, CAST(CASE WHEN event_type = 'PENALTY' THEN 90 END AS INTEGER) AS penalty_duration_seconds,
     CASE WHEN event_type = 'PENALTY' THEN e % 4 = 0 END AS is_extra_man_opportunity,
     CASE WHEN event_type = 'CLEAR' THEN CASE WHEN e % 2 = 0 THEN 'GOOD' ELSE 'FAILED' END END AS clear_result,
     CAST(hs AS INTEGER) AS running_home_score, CAST(vs AS INTEGER) AS running_visitor_score, CAST(hs - vs AS INTEGER) AS home_score_margin,
-    CAST(CASE WHEN is_home THEN hs - vs ELSE vs - hs END AS INTEGER) AS event_team_margin, e, other_short, home_id, away_id
-  FROM ahead
+    CAST(CASE WHEN is_home THEN hs - vs ELSE vs - hs END AS INTEGER) AS event_team_margin, e, home_id, away_id
+  FROM ahead LEFT JOIN roster USING (contest_id)
 ), teams AS (
-  SELECT DISTINCT unnest([home_id, away_id]) AS team_id, unnest(['H' || contest_id, 'A' || contest_id]) AS name_short, CASE WHEN contest_id % 2 = 0 THEN '#112233' END AS color FROM plays
+  SELECT *, CASE WHEN (team_id - 1000) // 2 % 4 = 0 THEN 'Lake ' ELSE '' END || code AS name_short FROM (
+    SELECT DISTINCT unnest([home_id, away_id]) AS team_id, unnest(['H' || contest_id, 'A' || contest_id]) AS code, CASE WHEN contest_id % 2 = 0 THEN '#112233' END AS color FROM plays)
 ), rates AS (
   SELECT shot_result, 1 - count(*) FILTER (WHERE shot_possession_retained) / count(*) AS rate FROM plays WHERE event_type = 'SHOT' AND shot_result IS NOT NULL GROUP BY 1
 ), overall AS (
@@ -131,14 +141,14 @@ def silver_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.plays_of(documents(spark, sf_dir)).drop("play_text")
 
 
-@query(EXPECTED + "SELECT contest_id, '20260101T000000Z' AS ingest_timestamp, 'Game ' || contest_id AS title, 'final' AS status, home_id || ':H' || contest_id || ',' || away_id || ':A' || contest_id AS teams FROM (SELECT DISTINCT contest_id, home_id, away_id FROM plays)")
+@query(EXPECTED + "SELECT contest_id, '20260101T000000Z' AS ingest_timestamp, 'Game ' || contest_id AS title, 'final' AS status, home_id || ':' || place || 'H' || contest_id || ',' || away_id || ':' || place || 'A' || contest_id AS teams FROM (SELECT DISTINCT contest_id, home_id, away_id, place FROM base)")
 def silver_contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contests with their teams, as text."""
     shown = F.array_join(F.transform("teams", lambda t: F.concat(t["team_id"].cast("string"), F.lit(":"), t["name_short"])), ",")
     return silver.contests_of(documents(spark, sf_dir)).withColumn("teams", shown)
 
 
-@query(EXPECTED + "SELECT team_id, name_short, 'Club ' || name_short AS name_full, name_short || 'X' AS name_6char, lower(name_short) AS seoname, color FROM teams")
+@query(EXPECTED + "SELECT team_id, name_short, 'Club ' || code AS name_full, code || 'X' AS name_6char, lower(code) AS seoname, color FROM teams")
 def dim_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest metadata of each team."""
     return gold.dimensions(silver.contests_of(documents(spark, sf_dir)))[0]
@@ -150,7 +160,7 @@ def dim_contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dimensions(silver.contests_of(documents(spark, sf_dir)))[1]
 
 
-@query(EXPECTED + f"SELECT {_PLAYS}, color, 'Club ' || name_short AS name_full FROM plays JOIN teams USING (team_id)")
+@query(EXPECTED + f"SELECT {_PLAYS}, color, 'Club ' || code AS name_full FROM plays JOIN teams USING (team_id)")
 def fact_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plays with colour and full name of their team."""
     return tables(spark, sf_dir)["fact_plays"].drop("play_text")
@@ -189,7 +199,7 @@ def plays_of_team_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog(spark, sf_dir).plays(team="h3", limit=500).drop("play_text", "color", "name_full")
 
 
-@query(EXPECTED + f"SELECT {_PLAYS} FROM plays JOIN teams USING (team_id) WHERE 'Club ' || name_short ILIKE '%club h1%' OR caused_by_team_id IN (SELECT team_id FROM teams WHERE 'Club ' || name_short ILIKE '%club h1%') ORDER BY play_seq, contest_id, play_id LIMIT 500")
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays JOIN teams USING (team_id) WHERE 'Club ' || code ILIKE '%club h1%' OR caused_by_team_id IN (SELECT team_id FROM teams WHERE 'Club ' || code ILIKE '%club h1%') ORDER BY play_seq, contest_id, play_id LIMIT 500")
 def plays_of_team_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page of the plays of all teams with a text in their names."""
     return catalog(spark, sf_dir).plays(team="club h1", limit=500).drop("play_text", "color", "name_full")
@@ -201,7 +211,7 @@ def all_plays_of_team_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog(spark, sf_dir).plays(team="h3", limit=None).drop("play_text", "color", "name_full")
 
 
-@query(EXPECTED + f"SELECT {_PLAYS} FROM plays JOIN teams USING (team_id) WHERE 'Club ' || name_short ILIKE '%club h1%' OR caused_by_team_id IN (SELECT team_id FROM teams WHERE 'Club ' || name_short ILIKE '%club h1%') ORDER BY play_seq, contest_id, play_id")
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays JOIN teams USING (team_id) WHERE 'Club ' || code ILIKE '%club h1%' OR caused_by_team_id IN (SELECT team_id FROM teams WHERE 'Club ' || code ILIKE '%club h1%') ORDER BY play_seq, contest_id, play_id")
 def all_plays_of_team_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All plays of all teams with a text in their names."""
     return catalog(spark, sf_dir).plays(team="club h1", limit=None).drop("play_text", "color", "name_full")
@@ -236,8 +246,8 @@ def top_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog(spark, sf_dir).top_players(min_shots=3, limit=25)
 
 
-@query(EXPECTED + f"""SELECT team_id, 'Club ' || name_short AS team_name_full, {_MEASURES}, count(DISTINCT contest_id) AS games_played, array_to_string(list_sort(list(DISTINCT event_team_short)), ',') AS team_short_names, name_short AS team_name
-FROM scored JOIN teams USING (team_id) GROUP BY team_id, name_short ORDER BY normalized_shooting_efficiency DESC, goals DESC, total_shots DESC, team_name, team_id LIMIT 25""")
+@query(EXPECTED + f"""SELECT team_id, 'Club ' || code AS team_name_full, {_MEASURES}, count(DISTINCT contest_id) AS games_played, array_to_string(list_sort(list(DISTINCT event_team_short)), ',') AS team_short_names, name_short AS team_name
+FROM scored JOIN teams USING (team_id) GROUP BY team_id, name_short, code ORDER BY normalized_shooting_efficiency DESC, goals DESC, total_shots DESC, team_name, team_id LIMIT 25""")
 def top_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The teams that need fewest expected possessions for a goal; the limit is the board."""
     return catalog(spark, sf_dir).top_teams(limit=25, order_by="normalized").withColumn("team_short_names", F.array_join("team_short_names", ","))
@@ -312,10 +322,12 @@ def parsed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", person_name(raw).alias("person"), clock_seconds(clock).alias("seconds"), event_type(text).alias("kind"))
 
 
-@query("""SELECT c_custkey, array_to_string(list_sort(list_distinct([upper(c_name), 'C', left(upper(c_mktsegment), 1)] || list_transform(range(3, length(c_name) + 1), lambda n: left(upper(c_name), CAST(n AS INTEGER))) || [upper(c_mktsegment)])), '|') AS labels FROM customer""")
+@query("""SELECT c_custkey, array_to_string(list_sort(list_distinct([n, 'B' || left(upper(c_mktsegment), 1) || 'C', upper(c_mktsegment), left(upper(c_mktsegment), 1)] || list_transform(range(3, length(n) + 1), lambda k: rtrim(left(n, CAST(k AS INTEGER)))))), '|') AS labels
+FROM (SELECT *, 'BY ' || upper(c_mktsegment) || ' ' || upper(c_name) AS n FROM customer)""")
 def label_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that names suggest."""
-    labels = metadata_labels(F.col("c_name"), F.col("c_mktsegment"), F.col("c_name"))
+    full = F.concat(F.lit("By "), F.col("c_mktsegment"), F.lit("  "), F.col("c_name"), F.lit(". "))
+    labels = metadata_labels(full, F.col("c_mktsegment"), full)
     return read(spark, sf_dir, "customer").select("c_custkey", F.array_join(F.array_sort(labels), "|").alias("labels"))
 
 

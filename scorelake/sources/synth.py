@@ -27,30 +27,41 @@ def event_plays(events: DataFrame) -> DataFrame:
     goal = F.col("event_type") == "purchase"
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scored = lambda home: F.sum(F.when(goal & (is_home if home else ~is_home), 1).otherwise(0)).over(upto).cast("int")
-    own, other = (F.when(is_home == flag, F.concat(F.lit("H"), F.col("user_id").cast("string"))).otherwise(F.concat(F.lit("A"), F.col("user_id").cast("string"))) for flag in (True, False))
+    own, other = (F.when(is_home == flag, short_name(F.col("user_id"), True)).otherwise(short_name(F.col("user_id"), False)) for flag in (True, False))
     player = lambda k: F.concat(F.lit(f"{k}, Kim"), F.lit(" "), (eid % 7).cast("string"))
     seconds = F.when(period < LAST_PERIOD, 900 - at * 50 - eid % 40).otherwise(F.greatest(F.lit(0), 240 - (F.col("seq") - 65) * 6))
-    clock = F.when(eid % 3 == 0, F.when(eid % 2 == 0, "")).otherwise(F.concat(F.floor(seconds / 60).cast("string"), F.lit(":"), F.lpad((seconds % 60).cast("string"), 2, "0")))
+    shown = F.concat(F.floor(seconds / 60).cast("string"), F.lit(":"), F.lpad((seconds % 60).cast("string"), 2, "0"))
+    clock = F.when(eid % 3 == 0, F.when(eid % 2 == 0, "")).otherwise(F.when(eid % 5 == 1, F.concat(F.lit(" "), shown, F.lit("  "))).otherwise(shown))
+    taker = F.when(eid % 7 != 0, player("Ford")).when(is_home | (F.col("user_id") % 10 == 0), "Hale, Hal").otherwise("Ives, Ian")
     shots = F.element_at(F.array(*map(F.lit, (" WIDE.", " HIGH.", " HIT POST.", " HIT CROSSBAR.", " BLOCKED.", ", SAVE Gale, Gus.", "."))), (eid % 7 + 1).cast("int"))
     text = (
-        F.when(goal, F.concat(F.lit("GOAL by "), own, F.lit(" "), player("Able"), F.when(eid % 5 == 0, ", Assist by Bond, Bo").otherwise(""), F.lit(".")))
+        F.when(goal, F.concat(F.lit("GOAL by "), own, F.lit(" "), player("Able"), F.when(eid % 10 == 0, ", Assist by Bond, Bo, Jr").when(eid % 5 == 0, ", Assist by Bond, Bo").otherwise(""), F.lit(".")))
         .when(F.col("event_type") == "view", F.concat(F.lit("Shot by "), own, F.lit(" "), player("Able"), shots))
         .when((F.col("event_type") == "error") & (eid % 3 == 0), F.concat(F.lit("Penalty on "), own, F.lit(" "), player("Cole"), F.lit(" (SLASHING/1:30)"), F.when(eid % 4 == 0, " Extra-man opportunity").otherwise(""), F.lit(".")))
+        .when((F.col("event_type") == "error") & (eid % 8 == 2), F.concat(F.lit("Turnover by "), own, F.lit(".")))
         .when(F.col("event_type") == "error", F.concat(F.lit("Turnover by "), own, F.lit(" "), player("Dane"), F.when(eid % 4 < 2, " (caused by Eads, Eli)").otherwise(""), F.lit(".")))
         .when((F.col("event_type") == "click") & (eid % 3 == 0), F.concat(F.lit("Clear attempt by "), own, F.when(eid % 2 == 0, " good.").otherwise(" failed.")))
-        .when(F.col("event_type") == "click", F.concat(F.lit("Ground ball pickup by "), own, F.lit(" "), player("Ford"), F.lit(".")))
+        .when(F.col("event_type") == "click", F.concat(F.lit("Ground ball pickup by "), own, F.lit(" "), taker, F.lit(".")))
         .when((F.col("event_type") == "signup") & (eid % 4 == 0), F.concat(F.lit("Timeout by "), own, F.lit(".")))
         .otherwise(F.concat(F.lit("Faceoff Hale, Hal vs Ives, Ian won by "), own, F.when(eid % 4 == 1, F.concat(F.lit(", Ground ball pickup by "), other, F.lit(" Moss, Max"))).otherwise(""), F.lit(".")))
     )
     return rows.select(F.col("user_id").alias("contest_id"), "seq", period.alias("period"), clock.alias("clock"), text.alias("text"), F.when(goal, scored(True)).alias("home_score"), F.when(goal, scored(False)).alias("visitor_score"))
 
 
+def code_of(contest: Column, home: bool) -> Column:
+    return F.concat(F.lit("H" if home else "A"), contest.cast("string"))
+
+
+def short_name(contest: Column, home: bool) -> Column:
+    """The code of a derived team; a fourth of the contests have teams of two words."""
+    return F.concat(F.when(contest % 4 == 0, "Lake ").otherwise(""), code_of(contest, home))
+
+
 def team(contest: Column, home: bool) -> Column:
     """Metadata of a derived team."""
-    letter, number = ("H", 1000) if home else ("A", 1001)
-    name = F.concat(F.lit(letter), contest.cast("string"))
+    name = code_of(contest, home)
     return F.struct(
-        (contest * 2 + number).cast("string").alias("teamId"), name.alias("nameShort"), F.concat(F.lit("Club "), name).alias("nameFull"), F.concat(name, F.lit("X")).alias("name6Char"),
+        (contest * 2 + (1000 if home else 1001)).cast("string").alias("teamId"), short_name(contest, home).alias("nameShort"), F.concat(F.lit("Club "), name).alias("nameFull"), F.concat(name, F.lit("X")).alias("name6Char"),
         F.lower(name).alias("seoname"), F.when(contest % 2 == 0, "#112233").alias("color"), F.lit(home).alias("isHome"),
     )
 
