@@ -161,15 +161,45 @@ def test_relaxed_trees_keep_their_recall():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 16))
     q = x[::40]
-    order, nodes = neighbours.build(x, 64)
-    truth = [set(np.argsort(((x - v) ** 2).sum(axis=1))[:10]) for v in q]
-    recall = {}
+    points, norm = neighbours.raised(x)
+    order, nodes = neighbours.build(points, 64)
+    truth = [set(np.argsort(-(x @ v))[:10]) for v in q]
+    recall, looked = {}, {}
     for factor in (1.0, 0.5, 0.25):
-        found = neighbours.search(x, order, nodes, q, 10, factor)
-        recall[factor] = np.mean([len(t & set(f)) / 10 for t, f in zip(truth, found, strict=True)])
+        a, b = neighbours.search(x, norm, order, nodes, q, 10, factor)
+        recall[factor], looked[factor] = np.mean([len(t & set(b[a == i])) / 10 for i, t in enumerate(truth)]), len(a)
     assert recall[1.0] == 1 and recall[0.5] >= 0.9
 
 
+@pytest.mark.parametrize("size", [1e8, 1e-8, 1e170, 1e-170])
+def test_uneven_norms_lose_no_neighbour(spark, size):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 16)) * (size if size in (1e170, 1e-170) else 1)
+    x[7] *= size if size in (1e8, 1e-8) else 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.neighbours(df, k=10, every=10, shard_rows=200).collect():
+        got[r.query_id].add(r.vec_id)
+    y = x / size if size in (1e170, 1e-170) else x
+    for i in range(0, len(x), 10):
+        s = (y * y[i]).sum(axis=1)
+        s[i] = -np.inf
+        assert got[i] == set(np.argsort(-s)[:10])
+
+
+def test_relaxed_search_over_cells_keeps_nine_tenths(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 24)) * 4
+    x = centres[rng.integers(0, 12, 2400)] + rng.normal(size=(2400, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    hits = {}
+    for factor in (1.0, 0.5):
+        got = {(r.query_id, r.vec_id) for r in neighbours.neighbours(df, k=10, every=20, factor=factor, shard_rows=200).collect()}
+        want = {(i, j) for i in range(0, 2400, 20) for j in [j for j in np.argsort(-(x @ x[i])).tolist() if j != i][:10]}
+        hits[factor] = len(got & want) / len(want)
+    assert hits[1.0] == 1 and hits[0.5] >= 0.9
+
+
 PRIVATE = "Mr. John Smith met Mrs. Ann Lee. a.B9@mail1.example.com, A.b9@MAIL1.example.com 4111 1111 1111 1111 4111111111111111 1234567812345678 123-45-6789 +1 (487) 555-7209 1.2.3.4 1.2.3.4.5 300.1.1.1 éà.12@x.example.com Госпожа Иванова"
 
 
