@@ -5,12 +5,14 @@ places the rests: a tournament tree over the bins holds the largest free
 capacity of each subtree and leads to the leftmost bin that has room. It runs in
 randomised groups of documents that know nothing of each other.
 
-Tokens come from the tokenizer library. Its rules act on each word alone, so
-every different word is tokenized once per worker and looked up afterwards.
+Tokens come from the tokenizer library. Where the rules of a tokenizer act on
+each word alone, every different word is tokenized once per worker and looked up
+afterwards; with other rules whole texts are tokenized.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -25,10 +27,21 @@ from .common import prepare_python
 
 #: Documents of a group, on average.
 GROUP = 4096
-#: Words that a worker remembers; beyond, it starts anew.
-REMEMBERED = 1_500_000
-#: Places of the table of words, as a power of two.
-PLACES = 22
+#: Words that a worker remembers; beyond, it starts anew with the next packet of texts.
+REMEMBERED = 500_000
+#: Places of an empty table of words, as a power of two; it grows so that half of them stay free.
+PLACES = 16
+#: Rules of a tokenizer that fold letter case and take each run of letters, digit, or run of signs by itself.
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 _workers: dict[str, Words] = {}
 
 
@@ -39,19 +52,24 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_word = all(rules[k] == v for k, v in WORD_RULES.items())
         self.specials = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
         self.letters = {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
         self.model = self.tokenizer.model
-        self.plain = self._one_piece()
+        self.plain = self.by_word and self._one_piece()
         self.forget()
 
     def forget(self) -> None:
         self.count = 0
-        self.keys, self.numbers = np.zeros(1 << PLACES, np.uint64), np.zeros(1 << PLACES, np.int32)
+        self._empty(PLACES)
         self.flat, self.start = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
 
+    def _empty(self, places: int) -> None:
+        self.places, self.keys, self.numbers = places, np.zeros(1 << places, np.uint64), np.zeros(1 << places, np.int32)
+
     def _one_piece(self) -> bool:
         """Whether the shortcut for words of letters gives what the whole tokenizer gives on a few samples."""
         samples = ["the", "straße", "niño", "leçon", "x" * 30, "...", "!?", "über", "ŒUVRE", "ĳsvrĳ"]
@@ -86,30 +104,42 @@ class Words:
         self.flat[at : at + int(size.sum())] = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
         self.start[k + 1 : k + 1 + len(keys)] = at + np.cumsum(size)
         numbers = np.arange(k, k + len(keys))
-        todo, place = np.arange(len(keys)), (keys >> np.uint64(64 - PLACES)).astype(np.int64)
+        self.count += len(keys)
+        if 2 * self.count > len(self.keys):
+            there = self.keys != 0
+            old, old_numbers = self.keys[there], self.numbers[there]
+            self._empty((4 * self.count).bit_length())
+            self._insert(old, old_numbers)
+        self._insert(keys, numbers)
+        return numbers
+
+    def _insert(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Put different keys into the next free places behind their own; there are more free places than keys."""
+        todo, place = np.arange(len(keys)), (keys >> np.uint64(64 - self.places)).astype(np.int64)
         while len(todo):
             free, one = np.unique(place, return_index=True)
             one = one[self.keys[free] == 0]
             self.keys[place[one]], self.numbers[place[one]] = keys[todo[one]], numbers[todo[one]]
             todo, place = np.delete(todo, one), np.delete(place, one)
-            place = (place + (self.keys[place] != 0)) % (1 << PLACES)
-        self.count += len(keys)
-        return numbers
+            place = (place + (self.keys[place] != 0)) % len(self.keys)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word in the table, -1 if it isn't there."""
         out = np.full(len(hashes), -1, np.int64)
-        todo, place, wanted = np.arange(len(hashes)), (hashes >> np.uint64(64 - PLACES)).astype(np.int64), hashes
+        todo, place, wanted = np.arange(len(hashes)), (hashes >> np.uint64(64 - self.places)).astype(np.int64), hashes
         while len(todo):
             there = self.keys[place]
             hit = there == wanted
             out[todo[hit]] = self.numbers[place[hit]]
             on = ~hit & (there != 0)
-            todo, place, wanted = todo[on], (place[on] + 1) % (1 << PLACES), wanted[on]
+            todo, place, wanted = todo[on], (place[on] + 1) % len(self.keys), wanted[on]
         return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, and where those of each text begin and the last ends."""
+        if not self.by_word:
+            parts = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, np.uint32), *parts]), np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
         odd = [i for i, t in enumerate(texts) if any(s in t.lower() for s in self.specials)] if any(s[:2] in t for t in texts for s in self.specials) else []
         whole = {i: np.array(self.tokenizer.encode(texts[i].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32) for i in odd}
         buffer, places = textops.joined([b"" if i in whole else t for i, t in enumerate(texts)])
@@ -225,12 +255,13 @@ def _pack(length: int):
 def pack(docs: DataFrame, *, tokenizer: str | None = None, length: int = 4096, end_id: int = 2, group: int = GROUP) -> DataFrame:
     """Place all documents of docs (doc_id, text) into sequences of at most length tokens.
 
-    tokenizer: path of a tokenizer file on every machine; without one, the public
-    word_bpe_49k.json. Returns a row per piece: doc_id, start, length, ids_crc32,
+    tokenizer: path of a tokenizer file on every machine, with any rules; without
+    one, the public word_bpe_49k.json. Returns a row per piece: doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset. A null or empty text is one piece with the
     end id alone; repeated rows are packed as often as they occur; null ids are
     allowed; an empty table gives an empty result; other columns are ignored. A
-    task holds one group of about `group` documents as a few numbers per piece.
+    task holds one group of about `group` documents as a few numbers per piece, or a
+    packet of texts with the different words seen so far.
     """
     if tokenizer is None:
         import public_tokenizers
@@ -240,6 +271,6 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, length: int = 4096, e
     groups = max(1, -(-docs.count() // group))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    pieces = rows.mapInArrow(_pieces(tokenizer, length, end_id), f"doc_id {id_type}, row long, start long, length long, ids_crc32 long, doc_tokens long")
+    pieces = rows.mapInArrow(textops.released(_pieces(tokenizer, length, end_id)), f"doc_id {id_type}, row long, start long, length long, ids_crc32 long, doc_tokens long")
     dealt = pieces.withColumn("pack", F.pmod(F.xxhash64("doc_id", "doc_tokens", "row"), F.lit(groups)))
     return dealt.groupBy("pack").applyInArrow(_pack(length), f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
