@@ -50,7 +50,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default:
     and path and so fits no rule with a host. Repeated urls are judged once and get
     equal verdicts; null rules and repeated rules have no further effect; empty
     tables are allowed. Columns of pages named host, path, rule or verdict are
-    replaced.
+    replaced, and columns of any other name are passed on. What fits is joined back
+    by plain shuffles on both sides, so adaptive execution splits the partition of
+    a very frequent url; a null url is joined with nothing.
     """
     pages = pages.drop("host", "path", "rule", "verdict") if url not in ("host", "path", "rule", "verdict") else pages
     known = rules.filter("host is not null and path is not null and action is not null").select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "action")
@@ -67,6 +69,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default:
     wanted = parts.select("url", F.explode(expressions).alias("expression")).select("url", _digest(F.col("expression")).alias("digest")).withColumn("prefix", _prefix(F.col("digest")))
     table = known.select("rule", "action", "host_size", _digest(F.col("rule")).alias("rule_digest")).withColumn("prefix", _prefix(F.col("rule_digest")))
     met = wanted.join(bounded(table, shape["rules"], 256), "prefix").filter("digest = rule_digest")
-    best = met.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("size"), "host_size", "action", "rule")).alias("best")).select(F.col("url").alias("judged"), F.col("best.rule").alias("rule"), F.col("best.action").alias("verdict"))
-    joined = pages.join(best, pages[url] == best["judged"], "left").drop("judged")
-    return joined.select("*", host(F.col(url)).alias("host"), path(F.col(url)).alias("path")).withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    best = met.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("size"), "host_size", "action", "rule")).alias("best"))
+    best = checkpointed(best.select(F.col("url").alias("judged"), F.col("best.rule").alias("fits"), F.col("best.action").alias("action")))
+    whole = pages.select(F.struct(*pages.columns).alias("page"), F.col(url).alias("url"))
+    known, unknown = whole.filter("url is not null"), whole.filter("url is null")
+    joined = known.join(best, F.col("url") == F.col("judged"), "left").unionByName(unknown, allowMissingColumns=True)
+    return joined.select("page.*", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), F.col("fits").alias("rule"), F.coalesce("action", F.lit(default)).alias("verdict"))
