@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, utf8_size
+from .common import bounded, checkpointed, utf8_size
 
 #: Bits that one histogram resolves.
 BITS = 12
@@ -97,37 +97,42 @@ def _below(key: list[str], prefix: list[int], up: bool) -> Column:
 
 
 def number_slots(rows: DataFrame) -> DataFrame:
-    """rows (shard, ties, row) with a gapless slot in each shard, numbered in buckets so that no shard meets in one task."""
-    count = rows.count()
-    buckets = max(1, -(-count // SLOTS)) * 4
+    """rows (kept, shard, ties, row) with a gapless slot in each shard, numbered in buckets so that no shard meets in one task."""
+    buckets = max(1, -(-rows.count() // SLOTS)) * 4
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("t0", "t1", "t2", "row"), F.lit(buckets)))
     sizes = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    starts = sizes.selectExpr("shard", "bucket", "sum(n) over (partition by shard order by bucket) - n as first_slot")
+    starts = checkpointed(sizes.selectExpr("shard", "bucket", "sum(n) over (partition by shard order by bucket) - n as first_slot"))
     local = rows.selectExpr("*", "row_number() over (partition by shard, bucket order by t0, t1, t2, row) as k")
-    return local.join(F.broadcast(starts) if buckets <= 10_000 else starts, ["shard", "bucket"]).withColumn("slot", F.col("first_slot") + F.col("k") - 1).drop("bucket", "k", "first_slot")
+    return local.join(bounded(starts, starts.count(), 32), ["shard", "bucket"]).withColumn("slot", F.col("first_slot") + F.col("k") - 1).drop("bucket", "k", "first_slot")
 
 
-def kd_shards(docs: DataFrame, leaves: int, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Each row of docs (doc_id, text; lang and source if there) in one of `leaves` shards of nearly equal bytes.
+def kd_shards(docs: DataFrame, leaves: int | None = None, *, target_bytes: int | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Each row of docs (doc_id, text; lang and source if there) in a shard; the shards have nearly equal bytes.
 
-    Returns the columns of `keep` with size (UTF-8 bytes plus 1), text_crc32, shard
-    and slot. A null text has no bytes, size 1 and checksum 0; a null or missing
-    lang or source is a value of its own; equal rows are told apart by their place.
-    An empty table gives an empty result. Shards stay empty only where there are
-    fewer rows than shards.
+    The tree splits until every leaf has about target_bytes, or until there are
+    `leaves` leaves. Returns the columns of `keep` with size (UTF-8 bytes plus 1),
+    text_crc32, shard and slot. A null text has no bytes, size 1 and checksum 0; a
+    null or missing lang or source is a value of its own; equal rows are told apart
+    by their place; columns may have any name. An empty table gives an empty
+    result. Shards stay empty only where there are fewer rows than shards.
     """
+    if leaves is None:
+        leaves = leaves_for(docs, target_bytes)
     crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long")
-    light = docs.select(*[F.col(c) for c in keep], F.xxhash64(F.col("doc_id").cast("string")).alias("_id"), (utf8_size(F.col("text")) + 1).alias("size"), crc.alias("text_crc32"), *[v.cast("int").alias(f"_{k}{i}") for k, vs in metadata(docs).items() for i, v in enumerate(vs)])
-    light = light.withColumn("row", F.monotonically_increasing_id())
+    dimensions = {k: [f"{k}{i}" for i in range(len(v))] for k, v in metadata(docs).items()}
+    digits = [v.cast("int").alias(n) for k, vs in metadata(docs).items() for n, v in zip(dimensions[k], vs, strict=True)]
+    light = docs.select(F.struct(*keep).alias("kept"), F.xxhash64(F.col("doc_id").cast("string")).alias("id"), (utf8_size(F.col("text")) + 1).alias("size"), crc.alias("text_crc32"), *digits, F.monotonically_increasing_id().alias("row"))
     cut = lambda c, shift: F.shiftright(c, shift).bitwiseAND((1 << BITS) - 1).cast("int")
-    ties = [cut("text_crc32", 20), cut("text_crc32", 8), cut("text_crc32", 0), cut("_id", 24), cut("_id", 0), *[cut("row", 63 - BITS * (i + 1)) for i in range(5)], cut("row", 0)]
-    rows = checkpointed(light.withColumns(dict(zip(TIES, ties, strict=True))).drop("_id"))
-    dimensions = {k: [f"_{k}{i}" for i in range(len(v))] for k, v in metadata(docs).items()}
+    ties = [cut("text_crc32", 20), cut("text_crc32", 8), cut("text_crc32", 0), cut("id", 24), cut("id", 0), *[cut("row", 63 - BITS * (i + 1)) for i in range(5)], cut("row", 0)]
+    rows = checkpointed(light.withColumns(dict(zip(TIES, ties, strict=True))).drop("id"))
     placed = checkpointed(assign(rows, dimensions, leaves))
-    return number_slots(placed).select(*keep, "size", "text_crc32", "shard", "slot")
+    return number_slots(placed).select("kept.*", "size", "text_crc32", "shard", "slot")
 
 
 def leaves_for(docs: DataFrame, target_bytes: int) -> int:
-    """Number of leaves at which none has to exceed target_bytes."""
-    total = docs.agg(F.sum(utf8_size(F.col("text")) + 1)).first()[0] or 0
-    return max(1, -(-total // target_bytes))
+    """Number of leaves at which they have target_bytes on average at most."""
+    return max(1, -(-total_bytes(docs) // target_bytes))
+
+
+def total_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(utf8_size(F.col("text")) + 1)).first()[0] or 0
