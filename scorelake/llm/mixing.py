@@ -49,10 +49,14 @@ def _digit(level: int) -> Column:
     return F.shiftright(word, 62 - used - width).bitwiseAND((1 << width) - 1).cast("int")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with size, and hash and place as 62-bit numbers; place tells equal rows apart."""
-    low = lambda c: F.shiftright(c, 2).bitwiseAND((1 << 62) - 1)
-    return docs.withColumns({"size": word_count(F.col("text")), "hash": low(F.xxhash64("doc_id", "text")), "place": low(F.xxhash64(F.monotonically_increasing_id()))})
+def _keyed(docs: DataFrame, *kept: Column) -> DataFrame:
+    """docs as kept, source, size, and hash and place as 62-bit numbers; place tells equal rows apart.
+
+    The hash is made of the first 60 bits of a digest of id and text.
+    """
+    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary"))
+    place = F.shiftright(F.xxhash64(F.monotonically_increasing_id()), 2).bitwiseAND((1 << 62) - 1)
+    return docs.select(*([F.struct(*kept).alias("kept")] if kept else []), "source", word_count(F.col("text")).alias("size"), (F.conv(F.substring(key, 1, 15), 16, 10).cast("long") * 4).alias("hash"), place.alias("place"))
 
 
 def thresholds(rows: DataFrame, weights: tuple[float, ...], share: float, most: float) -> tuple[DataFrame, int, int]:
@@ -103,19 +107,19 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), share: float
     equal rows are told apart by their place, and an empty table gives an empty
     result.
     """
-    rows = checkpointed(_keyed(docs).select(*[c for c in keep if c != "source"], "source", "size", "hash", "place"))
+    kept = [F.col(c) for c in keep if c != "source"]
+    rows = checkpointed(_keyed(docs, *kept))
     marks, count, digits = thresholds(rows, weights, share, most)
     joined = rows.join(bounded(marks, count, 256), F.col("source").eqNullSafe(F.col("s")))
-    return joined.select(*[c for c in keep if c != "source"], "source", "size", "source_size", "target", (F.col("size") * _times(digits)).alias("taken"))
+    return joined.select(*(["kept.*"] if kept else []), "source", "size", "source_size", "target", (F.col("size") * _times(digits)).alias("taken"))
 
 
 def repeat(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> DataFrame:
     """The rows of docs as often as the mix takes them, with their columns; texts without words go."""
-    columns = docs.columns
-    rows = checkpointed(_keyed(docs.select("doc_id", "text", "source")).select("source", "size", "hash", "place"))
+    rows = checkpointed(_keyed(docs).select("source", "size", "hash", "place"))
     marks, count, digits = thresholds(rows, weights, share, most)
     marks = marks.select("s", "whole", *[f"{k}{i}" for i in range(digits) for k in ("d", "up")])
-    keyed = _keyed(docs.select(F.struct(*columns).alias("row"), "doc_id", "text", "source"))
+    keyed = _keyed(docs, F.struct(*docs.columns).alias("row"))
     joined = keyed.filter("size > 0").join(bounded(marks, count, 256), F.col("source").eqNullSafe(F.col("s")))
-    times = joined.select("row", _times(digits).alias("times")).filter("times > 0")
+    times = joined.select("kept.row", _times(digits).alias("times")).filter("times > 0")
     return times.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).select("row.*")
