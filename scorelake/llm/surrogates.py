@@ -1,17 +1,22 @@
 """Surrogates for personal data: keyed replacements of the same type, format, script and gender.
 
 Entities are found by one pattern, checked by their type (octets, Luhn digit) and
-replaced by values drawn from a keyed digest of type and canonical value, so one
-person keeps one surrogate in the whole corpus. All different entities of the
-corpus are drawn once; where two draw the same surrogate, or one draws a value
-that occurs as an original, they draw again until all are distinct. Later draws
-come from ever larger ranges, so that any number of entities finds its surrogates.
+replaced by values drawn from a keyed digest (HMAC) of type and canonical value.
+Names are replaced word by word, given names by gender and surnames without, so
+`Mr. John Smith`, `Mr. Smith` and `Mrs. Smith` keep the surname that they share.
+All different entities of the corpus are drawn once; where two draw the same
+surrogate, or one draws a value that occurs as an original, they draw again until
+all are distinct. Later draws come from ever larger ranges, so that any number of
+entities finds its surrogates. Initials are shifted along the alphabet by the key.
 Surrogates cannot belong to anyone where a reserved range exists and has room:
 example domains, 9xx identity numbers, 240/4 addresses.
 """
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,12 +39,14 @@ GIVEN = {
     ("m", "cyrillic"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Иван", "Максим", "Олег"),
     ("f", "cyrillic"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Мария", "Ольга"),
 }
-#: Syllables of surrogate surnames.
+#: Endings of later given names.
+ENDINGS = {("m", "latin"): "in", ("f", "latin"): "a", ("m", "cyrillic"): "ан", ("f", "cyrillic"): "а"}
+#: Syllables of surrogate surnames, and of later given names.
 SYLLABLES = {
     "latin": ("ba", "ber", "dal", "den", "far", "gen", "hol", "kar", "lan", "mer", "nor", "pel", "ran", "sol", "tam", "ver"),
     "cyrillic": ("ба", "вел", "гор", "дал", "жен", "зор", "кар", "лан", "мир", "нов", "пол", "рас", "сол", "тар", "фил", "чер"),
 }
-_PREFIX = r"\p{L}+(?:\.\h?|\h)(?:(?:Dr|Prof|Rev|Hon|Dipl|Ing|Mag)\.\h?|(?:Doktor|Doctor|Docteur|Professor|Professeur)\h)*"
+_PREFIX = r"\p{L}+(?:\.\h?|\h)(?:(?:Dr|Prof|Rev|Hon|Dipl|Ing|Mag)\.\h?|(?:Doktor|Doctor|Docteur|Professor|Professeur)\h)*+"
 #: Small words within a name; they stay as they are.
 PARTICLES = ("von", "vom", "van", "de", "del", "della", "di", "da", "du", "des", "do", "dos", "das", "bin", "ibn", "ten", "ter", "af", "av", "y")
 AFTER_PARTICLES = ("der", "den", "dem", "la", "le", "las", "los", "het", "und", "zu")
@@ -66,7 +73,7 @@ _PHONE = r"(?=[+(\d])(?<![\p{L}\d+])(?:" + "|".join([
 ]) + ")"
 #: Kinds in the order in which a match is tried against them.
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": _PHONE,
@@ -74,6 +81,11 @@ KINDS = {
     "name": _NAME,
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+#: What a text without titles, or without an @ and four digits close together, can't lack if it mentions anybody.
+_TITLED, _NUMBERED = rf"(?:{'|'.join(t for ts in TITLES.values() for t in ts)})[.\h]", r"@|\d(?:\D{0,3}\d){3}"
+#: Kinds of the words of names.
+WORDS = ("given m", "given f", "surname")
+ALPHABET = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ"}
 #: Draws of the usual size; every later one of an e-mail address, a telephone number or a name is longer by a character, digit or syllable.
 USUAL = 3
 #: Draws from the reserved range of addresses and identity numbers; later ones leave the range or get a further digit each.
@@ -104,14 +116,36 @@ def gender(match: Column) -> Column:
 
 def canonical(kind: Column, match: Column) -> Column:
     """What makes two mentions the same entity."""
-    person = F.concat(gender(match), F.lit(":"), F.lower(F.translate(F.regexp_replace(F.regexp_replace(match, f"^{_PREFIX}", ""), r"\h", " "), "’ʼ\u2010\u2011.", "''--")))
     phone = digits(F.regexp_replace(match, rf"^00|(?<=\d{_SEP}?)\(0\)", ""))  # 0049 is +49, and the 0 of +44 (0)20 isn't dialled
-    return F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits(match)).when(kind == "name", person).otherwise(F.lower(match))
+    return F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits(match)).otherwise(F.lower(match))
+
+
+def pieces(match: Column) -> Column:
+    """A mention of a person as an array of (word, kind): null for what stays, `initial` for single letters, else one of WORDS.
+
+    Titles, particles and signs between the words stay. The words behind the last
+    blank are the surname.
+    """
+    size = F.length(F.regexp_extract(match, f"^{_PREFIX}", 0))
+    run = F.substring(match, size + 1, F.length(match))
+    before = F.length(F.regexp_extract(run, r"^(?:.*\h)?", 0))
+    given = F.concat(F.lit("given "), gender(match))
+    stays = f"^(?:{'|'.join((*PARTICLES, *AFTER_PARTICLES, 'al', 'el'))}|[dls]|St|Ste|[^\\p{{L}}\\p{{M}}]+)$"
+
+    def words(part: Column, kind: Column) -> Column:
+        each = F.regexp_extract_all(part, F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
+        return F.transform(each, lambda w: F.struct(w.alias("word"), F.when(w.rlike(stays), F.lit(None)).when(F.length(w) == 1, "initial").otherwise(kind).alias("kind")))
+
+    title = F.array(F.struct(F.substring(match, F.lit(1), size).alias("word"), F.lit(None).cast("string").alias("kind")))
+    return F.concat(title, words(F.substring(run, F.lit(1), before), given), words(F.substring(run, before + 1, F.length(run)), F.lit("surname")))
 
 
 def _digest(key: str, kind: Column, value: Column, attempt: Column, part: int) -> Column:
-    inner = F.sha2(F.concat_ws("\u0001", F.lit(f"{key}:{part}"), kind, value, attempt.cast("string")), 256)
-    return F.sha2(F.concat(F.lit(key), inner), 256)
+    """HMAC-SHA256 of a message, in hexadecimal digits."""
+    block = (hashlib.sha256(key.encode()).digest() if len(key.encode()) > 64 else key.encode()).ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(c ^ pad for c in block)) for pad in (0x36, 0x5C))
+    message = F.concat_ws("\u0001", F.lit(str(part)), kind, value, attempt.cast("string")).cast("binary")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 256))), 256)
 
 
 def _fill(pattern: Column, letters: Column, numbers: Column) -> Column:
@@ -128,7 +162,7 @@ def _fill(pattern: Column, letters: Column, numbers: Column) -> Column:
 
 
 def surrogate(key: str, kind: Column, match: Column, attempt: Column) -> Column:
-    """The replacement of a match."""
+    """The replacement of a match, or of a word of a name."""
     value = canonical(kind, match)
     hexes = F.concat(_digest(key, kind, value, attempt, 0), _digest(key, kind, value, attempt, 1))
     numbers = F.translate(hexes, "abcdef", "012345")
@@ -142,45 +176,44 @@ def surrogate(key: str, kind: Column, match: Column, attempt: Column) -> Column:
     body = F.concat(F.substring(digits(match), 1, 1), F.substring(numbers, F.lit(1), F.length(digits(match)) - 2))
     check = ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
     card = _digits_by_order(match, F.concat(body, check))
-    person = F.transform(F.array(hexes), lambda h: _person(h, match, beyond(USUAL)))[0]
-    made = {"ip": ip, "ssn": ssn, "phone": phone, "card": card, "name": person}
+    word = lambda k: F.transform(F.array(hexes), lambda h: _word(h, k, value, match, attempt))[0]
+    words = {k: word(k) for k in WORDS}
+    made = {"ip": ip, "ssn": ssn, "phone": phone, "card": card} | words
     return reduce(lambda chain, k: chain.when(kind == k, made[k]), made, F.when(kind == "email", email))
 
 
-def _person(hexes: Column, match: Column, further: Column) -> Column:
-    """A name with every word replaced: given names, and a surname of syllables in the last word, which grows by `further`.
-
-    Titles, particles, and all signs between the words stay; initials become initials.
-    """
-    prefix = F.regexp_extract(match, f"^{_PREFIX}", 0)
-    run = F.substring(match, F.length(prefix) + 1, F.length(match))
-    first = F.regexp_extract(run, r"^(?:.*\h)?", 0)
-    cyrillic, male = run.rlike(r"\p{IsCyrillic}"), gender(match) == "m"
-    number = lambda seed, at: F.conv(F.substring(seed, at * 2 - 1, F.lit(2)), 16, 10).cast("int")
+def _word(hexes: Column, kind: str, value: Column, match: Column, attempt: Column) -> Column:
+    """A given name or a surname in the script and letter case of match; later draws have more syllables."""
+    cyrillic = value.rlike(r"\p{IsCyrillic}")
+    number = lambda at: F.conv(F.substring(hexes, at * 2 - 1, F.lit(2)), 16, 10).cast("int")
     pick = lambda names, n: F.element_at(F.array(*map(F.lit, names)), (n % len(names) + 1).cast("int"))
-    other = lambda names, n, piece: F.when(F.lower(pick(names, n)) == F.lower(piece), pick(names, n + 1)).otherwise(pick(names, n))
-    letter = lambda seed, piece: F.when(cyrillic, other("АБВГДЕЖЗИКЛМНОПРСТУФ", number(seed, F.lit(1)), piece)).otherwise(other("ABCDEFGHIJKLMNOPQRSTUVWXYZ", number(seed, F.lit(1)), piece))
-    spoken = lambda seed, n: F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.when(cyrillic, pick(SYLLABLES["cyrillic"], number(seed, i))).otherwise(pick(SYLLABLES["latin"], number(seed, i)))), ""))
+    of = lambda make: F.when(cyrillic, make("cyrillic")).otherwise(make("latin"))
+    spoken = lambda n: of(lambda script: F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: pick(SYLLABLES[script], number(i))), ""))
+    if kind == "surname":
+        made = spoken(F.greatest(attempt - (USUAL - 1), F.lit(0)) + 4)
+    else:
+        made = F.when(attempt == 0, of(lambda script: pick(GIVEN[kind[-1], script], number(F.lit(1))))).otherwise(F.concat(spoken(attempt + 1), of(lambda script: F.lit(ENDINGS[kind[-1], script]))))
+    return F.when((match == F.upper(match)) & (F.length(match) > 1), F.upper(made)).otherwise(F.initcap(made))
 
-    def given(seed: Column, piece: Column) -> Column:
-        by = {k: other(names, number(seed, F.lit(1)), piece) for k, names in GIVEN.items()}
-        return F.when(cyrillic & male, by["m", "cyrillic"]).when(cyrillic, by["f", "cyrillic"]).when(male, by["m", "latin"]).otherwise(by["f", "latin"])
 
-    def one(piece: Column, seed: Column, last: bool) -> Column:
-        if last:
-            short = F.when(further == 0, letter(seed, piece)).otherwise(spoken(seed, further))
-            long = spoken(seed, further + 4)
-        else:
-            short, long = letter(seed, piece), given(seed, piece)
-        capitals = (piece == F.upper(piece)) & (F.length(piece) > 1)
-        word = F.when(F.length(piece) == 1, short).when(capitals, F.upper(long)).otherwise(long)
-        return F.when(piece.rlike(r"^[\p{L}\p{M}]") & ~piece.rlike(f"^(?:{'|'.join((*PARTICLES, *AFTER_PARTICLES, 'al', 'el'))}|[dls]|St|Ste)$"), word).otherwise(piece)
+def _initial(key: str, letter: Column) -> Column:
+    """Another letter of the same alphabet, by a shift of the key; letters of no alphabet stay."""
+    out = letter
+    for script, alphabet in ALPHABET.items():
+        shift = 1 + hmac.digest(key.encode(), script.encode(), "sha256")[0] % (len(alphabet) - 1)
+        moved = alphabet[shift:] + alphabet[:shift]
+        out = F.translate(out, alphabet + alphabet.lower(), moved + moved.lower())
+    return out
 
-    def each(part: Column, last: bool) -> Column:
-        pieces = F.regexp_extract_all(part, F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
-        return F.array_join(F.transform(pieces, lambda p, i: F.transform(F.array(F.sha2(F.concat_ws(":", hexes, F.lit(int(last)), i.cast("string")), 256)), lambda seed: one(p, seed, last))[0]), "")
 
-    return F.concat(prefix, each(first, False), each(F.substring(run, F.length(first) + 1, F.length(run)), True))
+def _person(key: str, match: Column, attempt: Callable[[Column, Column], Column]) -> Column:
+    """A mention of a person with every word replaced; attempt gives the draw of a kind and value."""
+
+    def one(p: Column) -> Column:
+        value = canonical(p["kind"], p["word"])
+        return F.when(p["kind"].isNull(), p["word"]).when(p["kind"] == "initial", _initial(key, p["word"])).otherwise(surrogate(key, p["kind"], p["word"], attempt(p["kind"], value)))
+
+    return F.array_join(F.transform(pieces(match), one), "")
 
 
 def _digits_by_order(pattern: Column, numbers: Column) -> Column:
@@ -194,9 +227,25 @@ def _digits_by_order(pattern: Column, numbers: Column) -> Column:
     return F.aggregate(F.split(pattern, ""), start, step, lambda done: done["out"])
 
 
+def _by_shape(text: Column, take: Callable[[str], Column], nothing: Column) -> Column:
+    """take, with the pattern that suffices for a text: none, names alone, or all kinds."""
+    return F.when(text.rlike(_NUMBERED), take(PATTERN)).when(text.rlike(_TITLED), take(KINDS["name"])).otherwise(nothing)
+
+
 def mentions(text: Column) -> Column:
     """Array of the matches in a text."""
-    return F.when(text.rlike(PATTERN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return _by_shape(text, lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0)), F.array().cast("array<string>"))
+
+
+def entities_of(match: Column) -> Column:
+    """Array of (kind, value, match) of a match: one, or one for each word of a name; none if its check fails."""
+    entity = lambda kind, m: F.struct(kind.alias("kind"), canonical(kind, m).alias("value"), m.alias("match"))
+
+    def of(kind: Column) -> Column:
+        words = F.transform(F.filter(pieces(match), lambda p: p["kind"] != "initial"), lambda p: entity(p["kind"], p["word"]))
+        return F.when(kind == "name", words).when(kind.isNotNull(), F.array(entity(kind, match))).otherwise(F.array().cast("array<struct<kind:string,value:string,match:string>>"))
+
+    return F.transform(F.array(kind_of(match)), of)[0]
 
 
 def _redrawn(entities: DataFrame, key: str) -> DataFrame | None:
@@ -210,7 +259,7 @@ def _redrawn(entities: DataFrame, key: str) -> DataFrame | None:
         drawn = now.withColumn("made_value", canonical(F.col("kind"), F.col("made")))
         first = drawn.groupBy("kind", "made_value").agg(F.min(F.struct("attempt", "value")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("kind", "made_value", "first")
         again = drawn.join(first, ["kind", "made_value"]).filter("value <> first.value").select("kind", "value")
-        taken = drawn.join(entities.select("kind", F.col("value").alias("made_value")), ["kind", "made_value"], "left_semi").select("kind", "value")
+        taken = drawn.join(entities.select("kind", F.col("value").alias("made_value")), ["kind", "made_value"], "left_semi").select("kind", "value")  # also by its own original
         again = checkpointed(again.union(taken).distinct())
         if not again.count():
             break
@@ -227,32 +276,34 @@ def replace(docs: DataFrame, *, key: str) -> DataFrame:
     different entities different ones. Null and empty texts stay as they are, with
     counts of 0; texts without entities are not touched; repeated rows get equal
     results; an empty table gives an empty result. Columns of docs named like the
-    counts are replaced, all others are passed on.
+    counts are replaced; all others are passed on, whatever their names. The plan of
+    the result holds what the key is turned into, so plans are as secret as the key.
     """
     counts = [f"n_{k}" for k in KINDS]
     docs = docs.drop(*counts)
     columns = docs.columns
-    found = docs.select(F.explode(mentions(F.col("text"))).alias("match")).select("match", kind_of(F.col("match")).alias("kind")).filter("kind is not null")
-    entities = checkpointed(found.select("kind", canonical(F.col("kind"), F.col("match")).alias("value"), "match").groupBy("kind", "value").agg(F.min("match").alias("match")))
+    found = docs.select(F.explode(mentions(F.col("text"))).alias("match")).groupBy("match").agg(F.lit(1))
+    entities = checkpointed(found.select(F.explode(entities_of(F.col("match"))).alias("e")).groupBy("e.kind", "e.value").agg(F.min("e.match").alias("match")))
     later = _redrawn(entities, key)
 
-    match = F.transform(mentions(F.col("text")), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind")))
-    rows = docs.withColumn("_found", match)
+    rows = docs.select(F.struct(*columns).alias("row"), "text", F.transform(mentions(F.col("text")), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"))).alias("found"))
     if later is None:
-        attempt = lambda m: F.lit(0)
+        attempt = lambda kind, value: F.lit(0)
     else:  # only texts that mention such an entity are joined, by two checksums and the length
-        text_key = F.struct(F.xxhash64("text").alias("x"), F.crc32(F.col("text").cast("binary")).alias("c"), F.length("text").alias("n"))
-        rows = rows.withColumn("_key", text_key)
-        named = rows.filter(F.size("_found") > 0).select("_key", F.explode("_found").alias("m")).filter("m.kind is not null").select("_key", F.col("m.kind").alias("kind"), canonical(F.col("m.kind"), F.col("m.match")).alias("value")).distinct()
-        drawn = named.join(later, ["kind", "value"]).groupBy(F.col("_key").alias("_at")).agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias("_draws"))
-        drawn = checkpointed(drawn)
-        size = drawn.agg(F.count("*"), F.sum(F.size("_draws"))).first()
-        rows = rows.join(bounded(drawn, size[0] + (size[1] or 0), 160), F.col("_key") == F.col("_at"), "left")
-        attempt = lambda m: F.coalesce(F.try_element_at("_draws", F.concat_ws(":", m["kind"], canonical(m["kind"], m["match"]))), F.lit(0))
-    made = F.transform("_found", lambda m: F.coalesce(surrogate(key, m["kind"], m["match"], attempt(m)), m["match"]))
-    gaps = F.split(F.col("text"), PATTERN, -1)
-    text = F.array_join(F.zip_with(gaps, made, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    some = F.exists("_found", lambda m: m["kind"].isNotNull())
-    number = lambda k: F.size(F.filter("_found", lambda m: m["kind"] == k)).cast("long")
-    rows = rows.withColumns({f"n_{k}": F.coalesce(number(k), F.lit(0).cast("long")) for k in KINDS})
-    return rows.withColumn("text", F.when(some, text).otherwise(F.col("text"))).select(*columns, *counts)
+        rows = rows.withColumn("key", F.struct(F.xxhash64("text").alias("x"), F.crc32(F.col("text").cast("binary")).alias("c"), F.length("text").alias("n")))
+        named = rows.filter(F.size("found") > 0).select("key", F.explode(F.transform("found", lambda m: m["match"])).alias("match")).select("key", F.explode(entities_of(F.col("match"))).alias("e")).select("key", "e.kind", "e.value").distinct()
+        drawn = checkpointed(named.join(later, ["kind", "value"]).groupBy(F.col("key").alias("at")).agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias("draws")))
+        size = drawn.agg(F.count("*"), F.sum(F.size("draws"))).first()
+        rows = rows.join(bounded(drawn, size[0] + (size[1] or 0), 160), F.col("key") == F.col("at"), "left")
+        attempt = lambda kind, value: F.coalesce(F.try_element_at("draws", F.concat_ws(":", kind, value)), F.lit(0))
+
+    def one(m: Column) -> Column:
+        single = surrogate(key, m["kind"], m["match"], attempt(m["kind"], canonical(m["kind"], m["match"])))
+        return F.when(m["kind"].isNull(), m["match"]).when(m["kind"] == "name", _person(key, m["match"], attempt)).otherwise(single)
+
+    gaps = _by_shape(F.col("text"), lambda p: F.split(F.col("text"), p, -1), F.array(F.col("text")))
+    text = F.array_join(F.zip_with(gaps, F.transform("found", one), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+    some = F.exists("found", lambda m: m["kind"].isNotNull())
+    number = lambda k: F.coalesce(F.size(F.filter("found", lambda m: m["kind"] == k)).cast("long"), F.lit(0).cast("long")).alias(f"n_{k}")
+    clean = F.when(some, text).otherwise(F.col("text"))
+    return rows.select(*[clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in columns], *map(number, KINDS))
