@@ -9,20 +9,40 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch that goes to a Python worker: keeps a batch of long texts within a worker's memory.
-ARROW_ROWS = 2000
+#: Rows and bytes of an Arrow batch that goes to a Python worker: both sides hold a few batches for each task.
+ARROW_ROWS, ARROW_BYTES = 2000, 4 << 20
 #: A side is broadcast only when a count has shown that it stays below this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is empty, as in tests on one machine."""
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset and all runs on one machine, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scorelake-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="scorelake-checkpoint-"))
     return sc.getCheckpointDir()
 
 
+def _placed(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    store, place = _placed(spark, path)
+    return store.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all that is in it."""
+    store, place = _placed(spark, path)
+    store.delete(place, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and cut its lineage; what is written survives the loss of executors."""
     shared_folder(df.sparkSession)
@@ -30,7 +50,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def prepare_python(spark: SparkSession) -> None:
-    """Make this subpackage importable by Python workers, and lower the rows of an Arrow batch to ARROW_ROWS.
+    """Make this subpackage importable by Python workers, and lower an Arrow batch to ARROW_ROWS and ARROW_BYTES.
 
     The modules are shipped once per application, so that the executors need no
     copy of the repository.
@@ -44,9 +64,9 @@ def prepare_python(spark: SparkSession) -> None:
                 out.write(path, path.relative_to(here.parent.parent))
         sc.addPyFile(str(target))
         sc._scorelake_shipped = True
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def bounded(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

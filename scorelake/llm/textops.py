@@ -8,10 +8,12 @@ collide with a probability below 10**-5.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes of a word beyond which a digest is taken.
 LONG = 512
@@ -110,8 +112,6 @@ def packets(texts: Sequence[bytes | None], limit: int = 1 << 20) -> Iterator[tup
 
 def as_bytes(column) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8."""
-    import pyarrow as pa
-
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
@@ -125,3 +125,20 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     for k in range(size):
         total += hashes[k : n - size + 1 + k] * powers(size + 1)[k + 1]
     return np.unique(mix(total + np.uint64(size)))
+
+
+def released(run: Callable) -> Callable:
+    """run, a function over Arrow batches, that gives what it has freed back to the system at the end of a task; workers live on between tasks."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return go
+
+
+def release() -> None:
+    """Give freed memory back to the system; where the C library can't, it stays with the worker."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
