@@ -5,8 +5,9 @@ doubling: the symbols of different documents differ, so no suffix of one equals
 one of another. The ranks of every doubling step are kept; longest common
 prefixes of neighbours follow from them by binary lifting. The larger of the two
 prefixes that a suffix shares with its neighbours is the longest repeat that
-begins there; those that cannot be extended to the left are the maximal repeated
-substrings. Their spans are united, and a document fails if the united spans
+begins there. A repeat that goes on from the word before it (the one there is
+longer) lies within that one's span and is passed over; all others, maximal to
+the right and not so continued, are united. A document fails if the united spans
 cover too much of it or if one repeat is too long.
 """
 
@@ -27,6 +28,8 @@ MIN_WORDS = 10
 MAX_COVERED, MAX_REPEAT = 0.3, 100
 #: Base rule: fewest words, window of the repeated-words rule, most words in repeated windows in a hundred.
 LEAST_WORDS, WINDOW, MAX_REPEATED = 10, 5, 20
+#: Bytes of texts whose suffixes are sorted together.
+PACKET = 1 << 18
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 _BLANKS = b" \t\n\x0b\x0c\r"
@@ -147,7 +150,7 @@ def _judge(with_spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = textops.as_bytes(batch.column("text"))
-            for low, high in textops.packets(texts):
+            for low, high in textops.packets(texts, PACKET):
                 x = measure([t or b"" for t in texts[low:high]])
                 base_failed, kept = _base_failed(x), _kept(x)
                 columns = {k: batch.column(k).slice(low, high - low) for k in batch.schema.names if k != "text" or with_spans}
@@ -171,20 +174,21 @@ def quality(docs: DataFrame, *, with_spans: bool = False) -> DataFrame:
     otherwise the text is dropped. Columns of docs with one of these names are
     replaced. A null text is taken as empty: all counts are 0 and it is rejected.
     Repeated rows get equal verdicts; an empty table gives an empty result. No row
-    is exchanged between tasks, and memory follows the longest text.
+    is exchanged between tasks. Memory: for the words of a packet, or of the longest
+    text, an array of ranks for each doubling up to the longest repeat.
     """
     prepare_python(docs.sparkSession)
     new = [*_COLUMNS, "base_failed", "kept"] + ["repeats"] * with_spans
     docs = docs.drop(*new)
     kept = [f for f in docs.schema.fields if with_spans or f.name != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{k} long" for k in _COLUMNS] + ["base_failed boolean", "kept boolean"] + ["repeats array<struct<begin: long, end: long>>"] * with_spans)
-    return docs.mapInArrow(_judge(with_spans), schema)
+    return docs.mapInArrow(textops.released(_judge(with_spans)), schema)
 
 
 def _sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, keep = textops.as_bytes(batch.column("text")), []
-        for low, high in textops.packets(texts):
+        for low, high in textops.packets(texts, PACKET):
             keep.append(_kept(measure([t or b"" for t in texts[low:high]])))
         if keep:
             yield batch.filter(pa.array(np.concatenate(keep)))
@@ -193,4 +197,4 @@ def _sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def keep_sound(docs: DataFrame) -> DataFrame:
     """The rows of docs that quality() keeps, with all their columns."""
     prepare_python(docs.sparkSession)
-    return docs.mapInArrow(_sound, docs.schema)
+    return docs.mapInArrow(textops.released(_sound), docs.schema)
