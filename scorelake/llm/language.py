@@ -24,8 +24,10 @@ from . import textops
 from .common import bounded, checkpointed, prepare_python
 
 ORDER = 4
-#: Bound of the training sample: documents of each language, by expectation, one in four of them for calibration.
-SAMPLE = 4000
+#: Bounds of the training sample: different texts of each language, by expectation, one in four of them for calibration; and their bytes.
+SAMPLE, SAMPLE_BYTES = 4000, 16 << 20
+#: Languages from which on each gets fewer bytes, in inverse proportion to the square of their number, as the model has a row of all languages for each n-gram.
+MANY = 8
 #: Languages with fewer sampled documents than this outside the calibration fold learn those of the calibration fold as well, after the calibration.
 FEW = 100
 #: A text is rejected if its cross-entropy lies beyond what this share of the calibration documents show.
@@ -259,24 +261,32 @@ def remainder(doc_id: Column) -> Column:
 def train(docs: DataFrame, *, sample: int = SAMPLE) -> Model | None:
     """A model of all languages of docs (text, lang, and fold: 3 serves for calibration), or None without any labelled letter.
 
-    About `sample` documents of each language are taken by a threshold on a hash
-    of the row; texts without a letter are not sampled. Only counts of n-grams and
+    About `sample` different texts of each language, and SAMPLE_BYTES, are taken by a
+    threshold on a hash of the text; with more than MANY languages the bytes shrink
+    so that the model stays as large. Copies count once, as learnt if one of them
+    is; texts without a letter are not sampled. Only counts of n-grams and
     entropies of the calibration documents come to the driver; both are bounded by
-    the sample. A language with FEW documents or more learns none of fold 3. A rarer
+    the sample. A language with FEW texts or more learns none of fold 3. A rarer
     one is calibrated by a model without fold 3 and then learns fold 3 too; if it
     has no other fold, the calibration's model learns one half of fold 3 and is
     held against the other.
     """
     spark = docs.sparkSession
     prepare_python(spark)
-    labelled = docs.filter("lang is not null").filter(F.col("text").rlike(r"\p{L}"))
-    per_lang = checkpointed(labelled.groupBy("lang").agg(F.count("*").alias("rows"), F.count_if(F.col("fold") != 3).alias("others")))
-    draw, share = F.xxhash64("text", "fold"), F.lit(float(sample)) / F.col("rows")
-    few = F.col("others") * F.least(share, F.lit(1.0)) < FEW
+    labelled = docs.filter("lang is not null").filter(F.col("text").rlike(r"\p{L}")).select("lang", "text", "fold", F.xxhash64("text").alias("draw"))
+    texts = checkpointed(labelled.groupBy("lang", "draw").agg(F.min("fold").alias("fold"), F.max(F.octet_length("text")).alias("bytes")))
+    per_lang = checkpointed(texts.groupBy("lang").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"), F.count_if(F.col("fold") != 3).alias("others")).withColumnRenamed("bytes", "held"))
+    languages = per_lang.count()
+    most = float(SAMPLE_BYTES) * min(1.0, (MANY / max(1, languages)) ** 2)
+    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("rows"), F.lit(most) / F.col("held"))
+    few = F.col("others") * share < FEW
     # 0 is learnt, 1 and 2 are learnt after the calibration, 3 is never learnt
-    part = F.when(F.col("fold") != 3, 0).when(F.col("fold") == 3, F.when(few, 1 + F.pmod(F.shiftright(draw, 30), F.lit(2))).otherwise(3)).cast("int")
-    chosen = labelled.join(bounded(per_lang, per_lang.count(), 72), "lang").filter(F.pmod(draw, F.lit(1 << 30)) < (1 << 30) * share).select("text", "lang", part.alias("part"))
-    counts = chosen.filter("part < 3").mapInArrow(_count, "lang string, part int, front long, back long, n long").groupBy("lang", "part", "front", "back").agg(F.sum("n").alias("n")).toArrow()
+    part = F.when(F.col("fold") != 3, 0).when(F.col("fold") == 3, F.when(few, 1 + F.pmod(F.shiftright("draw", 30), F.lit(2))).otherwise(3)).cast("int")
+    drawn = texts.join(bounded(per_lang, languages, 72), "lang").filter(F.pmod("draw", F.lit(1 << 30)) < (1 << 30) * share).select("lang", "draw", part.alias("part"))
+    drawn = checkpointed(drawn)
+    chosen = labelled.join(bounded(drawn, drawn.count(), 48), ["lang", "draw"]).groupBy("lang", "draw", "part").agg(F.first("text").alias("text")).select("text", "lang", "part")
+    chosen = checkpointed(chosen)
+    counts = chosen.filter("part < 3").mapInArrow(textops.released(_count), "lang string, part int, front long, back long, n long").groupBy("lang", "part", "front", "back").agg(F.sum("n").alias("n")).toArrow()
     if not counts.num_rows:
         return None
     names, lang = np.unique(np.array(counts.column("lang").to_pylist(), object).astype(str), return_inverse=True)
@@ -288,7 +298,7 @@ def train(docs: DataFrame, *, sample: int = SAMPLE) -> Model | None:
     np.minimum.at(learnt, lang, parts)
     early = parts == learnt[lang]
     model = fit(names.tolist(), lang[early], chars[early], n[early])
-    check = chosen.filter("part > 0").mapInArrow(_entropy(spark.sparkContext.broadcast(model)), "lang string, part int, bits array<double>, n long")
+    check = chosen.filter("part > 0").mapInArrow(textops.released(_entropy(spark.sparkContext.broadcast(model))), "lang string, part int, bits array<double>, n long")
     rows = check.filter(F.col("lang").isin(names.tolist()) & (F.col("n") > 0)).toArrow()  # Python and Java may differ on new letters
     label = np.searchsorted(names, np.array(rows.column("lang").to_pylist(), str))
     unseen = rows.column("part").to_numpy() > learnt[label]
@@ -313,4 +323,4 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     docs = docs.drop("lang_pred", "score", "bits_per_char", "rejected")
     kept = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits_per_char double, rejected boolean"])
-    return docs.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), [f.name for f in kept]), schema)
+    return docs.mapInArrow(textops.released(_predict(docs.sparkSession.sparkContext.broadcast(model), [f.name for f in kept])), schema)
