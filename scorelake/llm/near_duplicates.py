@@ -8,8 +8,11 @@ components by alternating large-star and small-star steps.
 No bucket is expanded into all its pairs. Texts with equal shingle sets are one
 node from the start. In every bucket the members are first compared with one
 pivot; after the components of these links are known, only members of different
-components of a bucket are compared with each other (large buckets in blocks,
-which only links that join components leave).
+components of a bucket are compared with each other. In a large bucket the most
+frequent component is the host of all others: its members are sent out once to
+meet their guests of all buckets, and only what is left of a bucket without its
+host is compared bucket by bucket, both in blocks, which only links that join
+components leave.
 """
 
 from __future__ import annotations
@@ -27,22 +30,30 @@ from .common import bounded, checkpointed, prepare_python
 
 #: Hash minima of a signature, and the chance at which a pair at the threshold may share no band.
 MINIMA, MISS = 336, 1e-7
-#: Members up to which a bucket's remaining pairs come from a join; larger buckets are compared in blocks of BLOCK.
-JOINED, BLOCK = 12, 2048
+#: Members up to which a bucket's remaining pairs come from a join; larger buckets are compared in blocks of about BLOCK members and BLOCK_BYTES of sets.
+JOINED, BLOCK, BLOCK_BYTES = 12, 512, 4 << 20
 _rng = np.random.default_rng(8551)
-_A = _rng.integers(0, 2**31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = _rng.integers(0, 2**32, MINIMA, dtype=np.uint32)
+_A, _B = _rng.integers(0, 2**64, (2, MINIMA), dtype=np.uint64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The least value of each hash (a*x+b modulo 2**32) over a set of shingles."""
-    x = (shingles >> np.uint64(32)).astype(np.uint32)
-    low = np.full(len(_A), 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(x), 256):
-        h = x[k : k + 256, None] * _A
+    """The least value of each hash over a set of shingles.
+
+    The hashes are (a*x+b modulo 2**64) >> 32 of the high 32 bits of a shingle,
+    which is a strongly universal family.
+    """
+    x = shingles >> np.uint64(32)
+    low = np.full(len(_A), 2**64 - 1, np.uint64)
+    for k in range(0, len(x), 64):
+        h = x[k : k + 64, None] * _A
         h += _B
         np.minimum(low, h.min(axis=0), out=low)
-    return low
+    return (low >> np.uint64(32)).astype(np.uint32)
+
+
+def short_signature(low: np.ndarray) -> np.ndarray:
+    """A byte for each minimum; different minima have equal bytes by a chance of 1 in 256."""
+    return (textops.mix(low + np.arange(len(low), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8)
 
 
 def rows_of_band(percent: int) -> int:
@@ -104,7 +115,7 @@ def _full_sets(width: int, rows: int):
                 if len(s):
                     nodes.append(node_of(s))
                     low = signature(s)
-                    sigs.append(low.astype(np.uint8).tobytes())
+                    sigs.append(short_signature(low).tobytes())
                     keys.append(band_keys(low[None], rows).tobytes())
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["node", "sig", "keys", "shingles"])
@@ -113,7 +124,7 @@ def _full_sets(width: int, rows: int):
 
 
 def _least_agreement(percent: int) -> float:
-    """Agreement of signatures, six standard deviations below what pairs at the threshold show."""
+    """Agreement of signatures, six standard deviations below what pairs at the threshold show: with independent hashes one link in 10**9 at the threshold lies below."""
     j = percent / 100
     return j - 6 * math.sqrt(j * (1 - j) / len(_A))
 
@@ -161,32 +172,33 @@ def _joined(pairs: DataFrame, sets: DataFrame, column: str, short: str) -> DataF
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links; pairs without repetition."""
-    likely = _joined(pairs, sets, "sig", "sig").mapInArrow(_agreeing(percent), "a long, b long")
-    return checkpointed(_joined(likely, sets, "shingles", "set").mapInArrow(_similar(percent), "a long, b long"))
+    likely = _joined(pairs, sets, "sig", "sig").mapInArrow(textops.released(_agreeing(percent)), "a long, b long")
+    return checkpointed(_joined(likely, sets, "shingles", "set").mapInArrow(textops.released(_similar(percent)), "a long, b long"))
 
 
 def _block_links(percent: int):
-    """Links between two blocks of a bucket (or within one) that join components; at most one for each that is joined.
+    """Links between two blocks (or within one) that join components; at most one for each that is joined.
 
-    A pair is compared in the first bucket that it shares, and nowhere else.
+    A host and a guest are compared if they share any bucket. Members of one bucket
+    are compared in the first bucket that they share, and nowhere else.
     """
 
-    def run(group: pa.Table) -> pa.Table:
+    def run(key: tuple, group: pa.Table) -> pa.Table:
         floor = _least_agreement(percent)
+        hosted, bucket, lo, hi = (k.as_py() for k in key)
         nodes, comps, block = (group.column(k).to_numpy() for k in ("node", "comp", "block"))
         sigs, keys = (np.frombuffer(b"".join(group.column(k).to_pylist()), t).reshape(len(nodes), -1) for k, t in (("sig", np.uint8), ("keys", np.int64)))
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        lo, hi = int(group.column("lo")[0].as_py()), int(group.column("hi")[0].as_py())
-        before = int(np.flatnonzero(keys[0] == group.column("band")[0].as_py())[0])
-        left, right, comps, found = np.flatnonzero(block == lo), np.flatnonzero(block == hi), comps.copy(), []
+        before = 0 if hosted else int(np.flatnonzero(keys[0] == bucket)[0])
+        left, right, comps, found = np.flatnonzero(block == hi), np.flatnonzero(block == lo), comps.copy(), []
         for i in left:
             other = right[(comps[right] != comps[i]) & ((nodes[right] > nodes[i]) if lo == hi else True)]
-            other = other[~(keys[other, :before] == keys[i, :before]).any(axis=1)]
-            if len(other):
-                for j in other[(sigs[other] == sigs[i]).mean(axis=1) >= floor]:
-                    if comps[j] != comps[i] and _linked(sets[i], sets[j], percent):
-                        found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
-                        comps[comps == comps[j]] = comps[i]
+            other = other[(sigs[other] == sigs[i]).mean(axis=1) >= floor]
+            shared = (keys[other] if hosted else keys[other, :before]) == (keys[i] if hosted else keys[i, :before])
+            for j in other[shared.any(axis=1) == hosted]:
+                if comps[j] != comps[i] and _linked(sets[i], sets[j], percent):
+                    found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+                    comps[comps == comps[j]] = comps[i]
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
     return run
@@ -196,18 +208,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b); the component is its least node.
 
     Alternates large-star and small-star until the edges stay as they are.
-    Minima are aggregated before the shuffle and joined back, so a node with
-    very many links never gathers them in one task. An edge from a node to
-    itself, a repeated edge and an empty table are allowed.
+    Minima are aggregated before the shuffle, written, and joined back: a join of
+    two plain shuffles, so adaptive execution splits the partition of a node with
+    very many links. An edge from a node to itself, a repeated edge and an empty
+    table are allowed.
     """
     now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
     seen = mark(now)
     while seen[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = checkpointed(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         now = checkpointed(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         if (found := mark(now)) == seen:
@@ -218,11 +231,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _open_rows(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (band, node, members, comp) of the buckets that hold more than one component of the links."""
+    """Members (band, node, size, members, comp) of the buckets that hold more than one component of the links, with the most frequent one as host."""
     labels = connected_components(links)
-    placed = members.join(labels, "node", "left").select("band", "node", "members", F.coalesce("component", "node").alias("comp"))
-    mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    return checkpointed(placed.join(mixed, "band", "left_semi"))
+    placed = checkpointed(members.join(labels, "node", "left").select("band", "node", "members", "size", F.coalesce("component", "node").alias("comp")))
+    held = placed.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "comp"))["comp"].alias("host"), F.count("*").alias("comps"))
+    return checkpointed(placed.join(checkpointed(held.filter("comps > 1").drop("comps")), "band"))
+
+
+def _blocks(rows: DataFrame, hosted: bool) -> DataFrame:
+    """Rows (bucket, node, size, comp, guest) dealt to blocks, once for each pair of blocks in which they are compared.
+
+    Hosts meet guests only; guests meet hosts, and without hosts each other.
+    """
+    many = lambda mine: F.ceil(F.greatest(F.count_if(mine) / BLOCK, F.sum(F.when(mine, F.col("size"))) * 8 / BLOCK_BYTES)).cast("int")
+    plan = checkpointed(rows.groupBy("bucket").agg(F.coalesce(many(~F.col("guest")), F.lit(0)).alias("hosts"), F.coalesce(many(F.col("guest")), F.lit(0)).alias("guests")))
+    dealt = rows.join(plan, "bucket").withColumn("block", F.when(F.col("guest"), F.col("hosts") + F.pmod(F.xxhash64("node"), "guests")).otherwise(F.pmod(F.xxhash64("node"), "hosts")).cast("int"))
+    meets = F.when(F.col("guest") & F.lit(hosted), F.sequence(F.lit(0), F.col("hosts") - 1)).otherwise(F.sequence(F.col("hosts"), F.col("hosts") + F.col("guests") - 1))
+    dealt = dealt.withColumn("other", F.explode(meets))
+    return dealt.select(F.lit(hosted).alias("hosted"), "bucket", "node", "comp", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> DataFrame:
@@ -230,26 +256,29 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
 
     Returns one row per input row: doc_id, n_shingles, component_id (the least
     doc_id of the component), kept (doc_id is component_id), tkey (xxhash64 of the
-    text) and first (whether the text is the one that stands for its component). A null or empty text has no shingles and is a component by itself;
-    a repeated row joins its twin; a null doc_id counts as larger than all others
-    and is kept only where its component has no other. An empty table gives an
-    empty result. Memory: a task holds the sets of one packet of texts, or of the
-    pairs of one Arrow batch.
+    text) and first (whether the text is the one that stands for its component). A
+    null or empty text has no shingles and is a component by itself; a repeated row
+    joins its twin; a null doc_id counts as larger than all others and is kept only
+    where its component has no other. An empty table gives an empty result. Memory:
+    a Python worker holds the sets of one packet of texts, of the pairs of one Arrow
+    batch, or of two blocks of a bucket. Buckets, nodes and components with very
+    many rows are joined by plain shuffles on both sides, whose partitions adaptive
+    execution splits.
     """
     spark = docs.sparkSession
     prepare_python(spark)
     source = docs.select("doc_id", "text", F.xxhash64("text").alias("tkey"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    described = checkpointed(source.mapInArrow(_describe(width, rows_of_band(percent)), f"doc_id {id_type}, tkey long, node long, n_shingles long, bands array<long>"))
+    described = checkpointed(source.mapInArrow(textops.released(_describe(width, rows_of_band(percent))), f"doc_id {id_type}, tkey long, node long, n_shingles long, bands array<long>"))
 
-    classes = described.filter("node is not null").groupBy("node").agg(F.count("*").alias("weight"), F.min("tkey").alias("tkey"), F.first("bands").alias("bands"))
-    rows = classes.select("node", "weight", "tkey", F.explode("bands").alias("band"))
-    pivots = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max(F.struct("weight", "node")).alias("p"), F.count("*").alias("members")).filter("lo <> hi")
-    members = checkpointed(rows.join(pivots.select("band", "members", F.col("p.node").alias("pivot")), "band").select("band", "node", "tkey", "pivot", "members"))
+    classes = checkpointed(described.filter("node is not null").groupBy("node").agg(F.min("tkey").alias("tkey"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")))
+    rows = classes.select("node", "size", F.explode("bands").alias("band"))
+    pivots = checkpointed(rows.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("hi"), F.count("*").alias("members")).filter("pivot <> hi").drop("hi"))
+    members = checkpointed(rows.join(pivots, "band"))
 
-    wanted = checkpointed(members.select("tkey").distinct())
+    wanted = checkpointed(members.select("node").distinct().join(classes.select("node", "tkey"), "node").select("tkey"))
     texts = source.join(bounded(wanted, wanted.count(), 16), "tkey", "left_semi").select("text")
-    sets = checkpointed(texts.mapInArrow(_full_sets(width, rows_of_band(percent)), "node long, sig binary, keys binary, shingles binary").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sig", "keys", "shingles")]))
+    sets = checkpointed(texts.mapInArrow(textops.released(_full_sets(width, rows_of_band(percent))), "node long, sig binary, keys binary, shingles binary").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sig", "keys", "shingles")]))
 
     stars = members.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     links = _verified(stars, sets, percent)
@@ -257,17 +286,20 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
     few = open_rows.filter(F.col("members") <= JOINED)
     other = few.select("band", F.col("node").alias("node2"), F.col("comp").alias("comp2"))
     pairs = few.join(other, "band").filter("comp <> comp2 and node < node2").select(F.col("node").alias("a"), F.col("node2").alias("b"))
-    blocks = open_rows.filter(F.col("members") > JOINED).withColumn("n_blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    blocks = blocks.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).withColumn("pair", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    blocks = blocks.select("band", "node", "comp", "block", F.least("block", "pair").alias("lo"), F.greatest("block", "pair").alias("hi")).join(sets, "node")
-    joining = blocks.groupBy("band", "lo", "hi").applyInArrow(_block_links(percent), "a long, b long")
+    large = open_rows.filter(F.col("members") > JOINED).withColumn("guest", F.col("comp") != F.col("host"))
+    meeting = checkpointed(large.select(F.col("host").alias("bucket"), "node", "size", "comp", "guest").distinct())
+    left = large.filter("guest")
+    mixed = checkpointed(left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band"))
+    left = checkpointed(left.join(mixed, "band").select(F.col("band").alias("bucket"), "node", "size", "comp", "guest"))
+    blocks = _blocks(meeting, True).union(_blocks(left, False)).join(sets, "node")
+    joining = blocks.groupBy("hosted", "bucket", "lo", "hi").applyInArrow(_block_links(percent), "a long, b long")
     rest = pairs.distinct().join(stars, ["a", "b"], "left_anti")
     more = _verified(rest, sets, percent).union(joining)
 
     final = checkpointed(connected_components(links.union(more)))
     owners = described.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     known = owners.join(final, "node", "left").select("node", "low", F.coalesce("component", "node").alias("component"))
-    named = known.groupBy("component").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "node")).alias("best"))
+    named = checkpointed(known.groupBy("component").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "node")).alias("best")))
     chosen = known.join(named, "component").select("node", F.col("best.low").alias("component_id"), (F.col("node") == F.col("best.node")).alias("first"))
     out = described.select("doc_id", "n_shingles", "node", "tkey").join(chosen, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -282,12 +314,13 @@ def deduplicate(docs: DataFrame, *, percent: int = 85, width: int = 5) -> DataFr
     repeatedly, is joined to the texts.
     """
     found = checkpointed(near_duplicates(docs, percent=percent, width=width))
-    rows = found.groupBy("doc_id", "tkey").agg(F.max(F.col("kept") & F.col("first")).alias("_stays"), (F.count("*") * F.max(F.when(F.col("n_shingles") > 0, 1).otherwise(0))).alias("_times"))
-    marks = checkpointed(rows.filter("not _stays or _times > 1").withColumnsRenamed({"doc_id": "_id", "tkey": "_at"}))
-    size = marks.agg(F.count("*"), F.max("_times")).first()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_tkey").eqNullSafe(F.col("_at"))
-    stay = docs.withColumn("_tkey", F.xxhash64("text")).join(bounded(marks, size[0], 64), same, "left").filter(F.coalesce("_stays", F.lit(True)))
+    rows = found.groupBy("doc_id", "tkey").agg(F.max(F.col("kept") & F.col("first")).alias("stays"), (F.count("*") * F.max(F.when(F.col("n_shingles") > 0, 1).otherwise(0))).alias("times"))
+    marks = checkpointed(rows.filter("not stays or times > 1").withColumnsRenamed({"doc_id": "marked_id", "tkey": "marked_text"}))
+    size = marks.agg(F.count("*"), F.max("times")).first()
+    same = F.col("doc_id").eqNullSafe(F.col("marked_id")) & F.col("tkey").eqNullSafe(F.col("marked_text"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("tkey"))
+    stay = whole.join(bounded(marks, size[0], 64), same, "left").filter(F.coalesce("stays", F.lit(True)))
     if (size[1] or 0) > 1:
-        once = F.coalesce("_times", F.lit(1)) <= 1
-        stay = stay.filter(once).union(stay.filter(~once).dropDuplicates(["doc_id", "_tkey"]))
-    return stay.select(*docs.columns)
+        once = F.coalesce("times", F.lit(1)) <= 1
+        stay = stay.filter(once).union(stay.filter(~once).dropDuplicates(["doc_id", "tkey"]))
+    return stay.select("row.*")

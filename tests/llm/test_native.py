@@ -295,3 +295,74 @@ def test_telephone_numbers_of_many_formats(spark):
     for i in (101, 103):  # one number in several forms has one surrogate
         assert len({re.sub(r"^00|\(0\)|\D", "", x) for x in got[i].text.split(" and ")}) == 1, got[i].text
     assert (got[102].n_phone, got[102].n_ip) == (1, 1)
+
+
+def test_names_that_share_words_keep_sharing_them(spark):
+    rows = [(1, "Mr. John Smith and Mr. Smith, Mrs. Smith, Mrs Anna Smith-Jones, Mr J. Smith, Herr Anton SMITH"), (2, "Mr John Jones; Frau Anna Jones; Mr K. Jones")]
+    got = {r.doc_id: r.text for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    a, b, c, d, e, f = re.fullmatch(r"Mr\. (\w+ \w+) and Mr\. (\w+), Mrs\. (\w+), Mrs (\w+ \w+-\w+), Mr (\w\. \w+), Herr (\w+ [A-Z]+)", got[1]).groups()
+    g, h, i = re.fullmatch(r"Mr (\w+ \w+); Frau (\w+ \w+); Mr (\w\. \w+)", got[2]).groups()
+    smith, jones = b, g.split()[1]
+    assert a.split()[1] == c == smith == e.split()[1] and f.split()[1] == smith.upper() and d.split()[1] == f"{smith}-{jones}" and smith != jones
+    assert a.split()[0] == g.split()[0] and d.split()[0] == h.split()[0] and h.split()[1] == jones
+    assert e[0] != "J" and i[0] != "K" and e[0] != i[0]
+
+
+def drawn(key, kind, value, attempt=0):
+    """Hexadecimal digits of an entity's draw, and their translation to digits."""
+    import hmac
+
+    hexes = "".join(hmac.new(key.encode(), "\u0001".join((str(part), kind, value, str(attempt))).encode(), "sha256").hexdigest() for part in (0, 1))
+    return hexes, hexes.translate(str.maketrans("abcdef", "012345"))
+
+
+def test_surrogates_equal_a_plain_version(spark):
+    ips, ssns, names = [f"10.{i}.3.{i}" for i in range(30)], [f"{100 + i}-45-67{i:02}" for i in range(30)], [f"Qu{a}{b}" for a in "aeiou" for b in "xyz"]
+    phones = ["+1 555-123-4567", "+49 30 1234567", "+351 21 234 5678", "0171 1234567"]
+    text = [f"{a} {b}" for a, b in zip(ips, ssns, strict=True)] + [f"Mr {n}" for n in names] + [f"tel {p}." for p in phones]
+    got = [r.text for r in surrogates.replace(spark.createDataFrame([(t,) for t in text], "text string"), key="key").collect()]
+    for t, made in zip(text[:30], got, strict=False):
+        ip, ssn = t.split()
+        x, _ = drawn("key", "ip", ip)
+        _, n = drawn("key", "ssn", ssn.replace("-", ""))
+        byte = lambda i, x=x: int(x[2 * i : 2 * i + 2], 16)
+        assert made == f"{byte(0) % 15 + 240}.{byte(1)}.{byte(2)}.{byte(3)} 9{n[:2]}-{n[2:4]}-{n[4:8]}"
+    for t, made in zip(names, got[30:], strict=False):
+        x, _ = drawn("key", "surname", t.lower())
+        assert made == "Mr " + "".join(surrogates.SYLLABLES["latin"][int(x[2 * i : 2 * i + 2], 16) % 16] for i in range(4)).capitalize()
+    for p, country, made in zip(phones, ("+1", "+49", "+351", "0"), got[30 + len(names) :], strict=True):
+        _, n = drawn("key", "phone", re.sub(r"\D", "", p))
+        n = iter(n)
+        assert made == f"tel {country}" + "".join(next(n) if c.isdigit() else c for c in p[len(country) :]) + "."
+
+
+def test_odd_texts_end_in_time(spark):
+    import time
+
+    began = time.time()
+    rows = [(1, "me@" + ".".join(["ab"] * 20000) + " " + "x" * 10000), (2, "Mr " + "Dr. " * 20000 + "Smith"), (3, "Mr " + "O'" * 20000 + "X"), (4, "a" * 200000 + "@"), (5, "1-" * 100000), (6, "Mr " + "A." * 20000), (7, "+1 " * 50000), (8, "(0" * 50000)]
+    got = surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()
+    assert {r.doc_id: r.n_email for r in got}[1] == 1 and {r.doc_id: r.n_name for r in got}[2] == 1
+    rows = [(1, "eyJ" * 60000, "s"), (2, " ".join(f"token=kQ7wZ{i:05}tXa" for i in range(16000)), "s"), (3, "AKIA" * 50000, "s"), (4, "password" * 30000, None), (5, "0" * 300000, None), (6, "eyJ" + "a" * 100000 + "." + "eyJ" * 30000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in secrets.digest_columns(secrets.scan(docs)).collect()}
+    assert found[2].n_assign == 16000 and found[3].n_access == 1 and found[5].n_hex == 1
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()}[2] == " ".join(["[SECRET]"] * 16000)
+    assert time.time() - began < 120
+
+
+CLASHES = "_found _key _at _draws _id _tkey _stays _times _hidden judged key at row cuts last value kind found kept found spans owner start digest verdict host rule s whole hash place more up0 d0 number shard_rows bucket node band tkey times stays marked_id size shard slot law k".split()
+
+
+def test_columns_of_any_name_pass(spark):
+    names = [n for n in dict.fromkeys(CLASHES)]
+    text = "Mr John Smith a@b.example.com token=Qp44zzT1xW0ccVb88 and some more words that make this a document of its own"
+    docs = spark.createDataFrame([(1, text, "s", "http://x.com/en/", *[f"{n}1" for n in names]), (2, None, None, None, *[None] * len(names)), (1, text, "s", "http://x.com/en/", *[f"{n}1" for n in names])], "doc_id long, text string, source string, url string, " + ", ".join(f"`{n}` string" for n in names))
+    from scorelake.llm import near_duplicates
+
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    outs = {"surrogates": surrogates.replace(docs, key="k"), "redact": secrets.redact(docs), "dedup": near_duplicates.deduplicate(docs), "repeat": mixing.repeat(docs), "urls": url_filter.judge_urls(docs, rules)}
+    for name, out in outs.items():
+        left = [n for n in names if not (name == "urls" and n in ("host", "path", "rule", "verdict"))]
+        rows = [r for r in out.select("doc_id", *left).collect() if r.doc_id == 1]
+        assert rows and all(r[n] == f"{n}1" for r in rows for n in left), name

@@ -275,3 +275,47 @@ def test_rare_languages_learn_their_calibration_documents(spark, folds):
     assert (best == 2).all() and np.mean(bits) < 5
     assert model.mean[:2] == pytest.approx(plain.mean, abs=0.1) and (model.judge([t.encode() for t in spoken("bb", 9)])[0] == 1).all()
     assert np.isfinite(model.mean[2]) == (len(folds) > 1)
+
+
+def plain_kneser_ney(texts, alphabet, order=4):
+    """Interpolated Kneser-Ney of characters, written out: a function from a context and a character to a probability."""
+    lines = []
+    for t in texts:
+        folded = re.sub(" +", " ", "".join(c.lower()[0] if c.isalpha() else " " for c in t)).strip()
+        lines.append(" " * (order - 1) + folded + " ")
+    counts = {order: collections.Counter(x[i - order + 1 : i + 1] for x in lines for i in range(order - 1, len(x)))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+    discount = {}
+    for n, c in counts.items():
+        one, two = sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values())
+        discount[n] = one / (one + 2 * two) if one and two else 0.5
+
+    def p(context, ch, n=order):
+        if n == 0:
+            return 1 / alphabet
+        c = context[len(context) - n + 1 :] if n > 1 else ""
+        lower = p(context, ch, n - 1)
+        follow = {g[-1]: v for g, v in counts[n].items() if g[:-1] == c}
+        total = sum(follow.values())
+        if not total:
+            return lower
+        return max(follow.get(ch, 0) - discount[n], 0) / total + discount[n] * len(follow) / total * lower
+
+    return p
+
+
+def test_entropies_equal_a_plain_version(spark):
+    train = {lang: spoken(lang, 3, 30) for lang in ("aa", "bb")}
+    rows = [(t, lang, 0) for lang, ts in train.items() for t in ts]
+    rows += rows[:10] * 3  # copies are learnt once
+    model = language.train(spark.createDataFrame(rows, "text string, lang string, fold int"))
+    new = [*spoken("aa", 4, 6), *spoken("bb", 4, 6), "Lo 12 MI-fa ñ!"]
+    bits, n = model.entropies([t.encode() for t in new])
+    alphabet = len({c for ts in train.values() for t in ts for c in t}) + 1
+    for k, lang in enumerate(model.languages):
+        own = plain_kneser_ney(sorted(set(train[lang])), alphabet)
+        for i, t in enumerate(new):
+            x = "   " + re.sub(" +", " ", "".join(c.lower() if c.isalpha() else " " for c in t)).strip() + " "
+            want = -sum(np.log2(own(x[j - 3 : j], x[j])) for j in range(3, len(x))) / (len(x) - 3)
+            assert bits[i, k] == pytest.approx(want, abs=1e-3) and n[i] == len(x) - 3
