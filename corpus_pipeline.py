@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from scorelake.llm import mixing, near_duplicates, packing, repetition, secrets
-from scorelake.llm.common import shared_folder, table
+from scorelake.llm.common import delete, exists, shared_folder, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +42,20 @@ STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("secret
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents; each result is written to the shared folder and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
-    folder = os.path.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
-    for name, stage in STAGES:
-        path = os.path.join(folder, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+def run(spark: SparkSession, sf_dir: str, run_id: str | None = None) -> DataFrame:
+    """Apply all stages to the documents; each result is written to the shared folder and read again by the next.
+
+    A run that is started again with its run_id goes on behind the last stage that
+    is complete. A stage's folder is deleted once the next one is complete, so that
+    only the result stays.
+    """
+    folder = os.path.join(shared_folder(spark), f"pipeline-{run_id or uuid.uuid4().hex}")
+    paths = [os.path.join(folder, name) for name, _ in STAGES]
+    done = next((k + 1 for k in reversed(range(len(paths))) if exists(spark, os.path.join(paths[k], "_SUCCESS"))), 0)
+    docs = spark.read.parquet(paths[done - 1]) if done else table(spark, sf_dir, "documents")
+    for k in range(done, len(paths)):
+        STAGES[k][1](spark, docs, sf_dir).write.mode("overwrite").parquet(paths[k])
+        docs = spark.read.parquet(paths[k])
+        if k:
+            delete(spark, paths[k - 1])
     return docs
