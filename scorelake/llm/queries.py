@@ -90,8 +90,9 @@ FROM s
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight shards of all documents with nearly equal bytes."""
-    shards = sharding.kd_shards(table(spark, sf_dir, "documents"), 8)
+    """Shards of nearly equal bytes, at a target of an eighth of all bytes."""
+    docs = table(spark, sf_dir, "documents")
+    shards = sharding.kd_shards(docs, target_bytes=max(1, -(-sharding.total_bytes(docs) // 8)))
     return shards.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
@@ -100,11 +101,82 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+#: The patterns of secrets for an engine without look-behind: border, pattern, group of the value, fewest characters.
+_EITHER = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_SQL_KINDS = {
+    "assign": ("()", rf"(?:{_EITHER})[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    "access": ("()", "(AKIA[A-Z0-9]{14,})", 2, 18),
+    "hex": ("()", "([0-9a-f]{16,})", 2, 16),
+    "service": ("(^|[^A-Za-z0-9])", "((?:gh[pousr]_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|(?:sk|pk|rk)_(?:live|test)_[A-Za-z0-9]{10,}|AIza[A-Za-z0-9_-]{30,}))", 2, 14),
+    "jwt": ("(^|[^A-Za-z0-9_-])", r"(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 2, 27),
+    "pem": ("()", "(-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)", 2, 27),
+}
+OP5_SQL = (
+    "WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents), k(kind, name, pattern, grp, fewest) AS (VALUES "
+    + ", ".join(f"({i}, '{n}', '{border}{pattern}', {g}, {fewest})" for i, (n, (border, pattern, g, fewest)) in enumerate(_SQL_KINDS.items()))
+    + """), found AS ("""
+    + " UNION ALL ".join(
+        f"SELECT r, {i} AS kind, regexp_extract_all(text, '{border}{pattern}', 0) AS f, regexp_extract_all(text, '{border}{pattern}', 1) AS b, regexp_extract_all(text, '{border}{pattern}', {g}) AS v, string_split_regex(text, '{border}{pattern}') AS gaps FROM d WHERE regexp_matches(text, '{border}{pattern}')"
+        for i, (border, pattern, g, _) in enumerate(_SQL_KINDS.values())
+    )
+    + """), each AS (
+  SELECT r, kind, unnest(f) AS f, unnest(b) AS b, unnest(v) AS v, unnest(gaps[1:len(f)]) AS g, unnest(range(1, len(f) + 1)) AS i FROM found
+), placed AS (
+  SELECT *, sum(length(g) + length(f)) OVER (PARTITION BY r, kind ORDER BY i) AS e FROM each
+), span AS (
+  SELECT r, kind, name, CAST(e - length(f) + length(b) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, v, text, coalesce(source, chr(0)) AS owner FROM placed JOIN k USING (kind) JOIN d USING (r) WHERE length(v) >= fewest
+), own AS (
+  SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT text) AS repositories FROM span GROUP BY v
+), judged AS (
+  SELECT *, name || ':' || s || ':' || e AS shown, CASE WHEN owners >= 3 AND repositories >= 3 THEN 'example'
+    WHEN name = 'pem' OR (len(list_distinct(string_split(v, ''))) >= 6 AND ((regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')) OR length(v) >= 20)
+         AND NOT regexp_matches(lower(v), 'example|sample|placeholder|changeme|dummy|xxxx|0{8}|12345678')) THEN 'live' ELSE 'weak' END AS verdict
+  FROM span JOIN own USING (v)
+), text_of AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+    string_agg(shown, ',' ORDER BY s, kind) FILTER (WHERE kind < 3) AS base, string_agg(shown, ',' ORDER BY s, kind, e) FILTER (WHERE kind < 3 OR verdict = 'live') AS spans,
+    count(*) FILTER (WHERE verdict = 'live') AS n_live, count(*) FILTER (WHERE kind < 3 AND verdict = 'example') AS n_example FROM judged GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example FROM d LEFT JOIN text_of USING (r)
+"""
+)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources by weights 5, 2, 1 takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, most=3.0).drop("source")
 
 
+OP6_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST([5, 2, 1][(place - 1) % 3 + 1] AS DOUBLE) AS weight, source_size * 3.0::DOUBLE AS bound FROM s
+), o AS (
+  SELECT *, bound / weight AS ratio, sum(source_size) OVER () * 1.0::DOUBLE - coalesce(sum(bound) OVER before, 0) AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open_weight FROM w
+  WINDOW before AS (ORDER BY bound / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT arg_min(rest / open_weight, (ratio, place)) AS level FROM o WHERE rest / open_weight < ratio
+), t AS (
+  SELECT source, source_size, least(bound, coalesce(level * weight, bound)) AS target FROM o, level
+), b AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t
+), u AS (
+  SELECT d.*, source_size, target, whole, target - whole * source_size AS budget, sum(size) OVER (PARTITION BY d.source ORDER BY h, r ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source WHERE size > 0
+), e AS (
+  SELECT *, min(upto) FILTER (WHERE upto + 0.5 >= budget AND budget > 0) OVER (PARTITION BY source) AS edge FROM u
+), taken AS (
+  SELECT r, size * CAST(whole + CASE WHEN upto < edge OR (upto = edge AND 2 * (budget - (upto - size)) >= size) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM e
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN taken USING (r)
+"""
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors by inner product of every vector whose id is divisible by 20; factor 1 searches exactly."""
     return neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20, factor=1.0)
@@ -129,14 +201,36 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5).drop("tkey", "first")
 
 
+OP8_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT r, count(*) AS n FROM g GROUP BY r
+), link AS (
+  SELECT x.a, x.b FROM (SELECT p.r AS a, q.r AS b, count(*) AS common FROM g p JOIN g q ON p.g = q.g AND p.r < q.r GROUP BY ALL) x JOIN n na ON na.r = x.a JOIN n nb ON nb.r = x.b
+  WHERE 100 * common >= 85 * (na.n + nb.n - common)
+), both_ways AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach(r, other) AS (
+  SELECT r, r FROM n UNION SELECT reach.r, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.other
+), least AS (
+  SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.other GROUP BY reach.r
+)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN n.n IS NULL THEN doc_id ELSE component_id END AS component_id,
+  doc_id IS NOT DISTINCT FROM CASE WHEN n.n IS NULL THEN doc_id ELSE component_id END AS kept FROM d LEFT JOIN n USING (r) LEFT JOIN least USING (r)
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its personal data replaced."""
-    return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key="rotate-this-key")
+    """Every document with its personal data replaced; the key comes from spark.scorelake.surrogateKey."""
+    return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get("spark.scorelake.surrogateKey", "rotate-this-key"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,4 +243,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL, "op7_neighbours": OP7_SQL}
+    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL, "op5_secret_scan": OP5_SQL, "op6_mixing": OP6_SQL, "op7_neighbours": OP7_SQL, "op8_near_duplicates": OP8_SQL}
