@@ -7,6 +7,7 @@ attributes and never parses a text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from .functions.text import clock_seconds, event_type, person_name
 from .operators import gold, silver, timeline
 from .operators.teams import metadata_labels
+from .plans import pipeline, store
 from .plans.serving import Catalog
 from .sources import synth
+from .sources.documents import latest_snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -127,6 +130,11 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"dim_teams": dim_teams, "dim_contests": dim_contests, "fact_plays": gold.fact_plays(plays, dim_teams), "agg_team_game_stats": gold.team_game_stats(plays, dim_teams)}
 
 
+def lake(spark: SparkSession) -> str:
+    """A new folder in the session's warehouse, in whatever store that is."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scorelake-{uuid.uuid4().hex}"
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return Catalog(spark, tables(spark, sf_dir))
 
@@ -141,6 +149,28 @@ def silver_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.plays_of(documents(spark, sf_dir)).drop("play_text")
 
 
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays")
+def stored_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots as JSON files, read by a manifest, stored, half of the contests replaced; the play table as it is then."""
+    root = lake(spark)
+    snapshots = latest_snapshots(synth.write_folder(documents(spark, sf_dir), f"{root}/raw"))
+    table = f"{root}/silver_plays"
+    store.replace_keys(spark, table, silver.silver_plays(spark, snapshots), "contest_id", None)
+    again = [s for s in snapshots if s[0] % 2 == 0]
+    if again:
+        store.replace_keys(spark, table, silver.silver_plays(spark, again), "contest_id", [c for c, _, _ in again])
+    return store.read_table(spark, table).drop("play_text")
+
+
+@query(EXPECTED + f"SELECT {_PLAYS}, color, 'Club ' || code AS name_full FROM plays JOIN teams USING (team_id)")
+def published_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch plan over JSON snapshots; facts of the published generation."""
+    root = lake(spark)
+    manifest = synth.write_folder(documents(spark, sf_dir), f"{root}/raw")
+    pipeline.run(spark, manifest, f"{root}/tables")
+    return Catalog.open(spark, f"{root}/tables/gold").fact_plays.drop("play_text")
+
+
 @query(EXPECTED + "SELECT contest_id, '20260101T000000Z' AS ingest_timestamp, 'Game ' || contest_id AS title, 'final' AS status, home_id || ':' || place || 'H' || contest_id || ',' || away_id || ':' || place || 'A' || contest_id AS teams FROM (SELECT DISTINCT contest_id, home_id, away_id, place FROM base)")
 def silver_contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contests with their teams, as text."""

@@ -15,13 +15,14 @@ from pyspark.storagelevel import StorageLevel
 
 from ..operators import gold, silver
 from ..session import create_session, labelled
-from ..sources.documents import Snapshot, latest_snapshots, pending_snapshots, snapshot_times
+from ..sources import files
+from ..sources.documents import Snapshot, bounded, latest_snapshots, pending_snapshots, snapshot_times
 from . import store
 
 
 def selected_contests(contests: DataFrame, times: DataFrame, count: int) -> DataFrame:
     """The contest rows of the snapshots; each must be there once, with teams that all have an id."""
-    chosen = contests.join(F.broadcast(times), ["contest_id", "ingest_timestamp"], "inner")  # a row per listed snapshot
+    chosen = contests.join(bounded(times, count), ["contest_id", "ingest_timestamp"], "inner")
     if (found := chosen.count()) != count:
         raise ValueError(f"the contest table has {found} rows for {count} snapshots")
     bad = F.col("teams").isNull() | (F.size("teams") == 0) | F.exists("teams", lambda t: t["team_id"].isNull())
@@ -44,7 +45,7 @@ def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_ref
     committed before the generation, so a failure there leaves the old one in
     place, and the next run need not parse again.
     """
-    root, seconds = Path(root), {}
+    root, seconds = files.place(root), {}
     metrics = metrics or os.environ.get("SCORELAKE_METRICS")
 
     @contextmanager
@@ -78,11 +79,11 @@ def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_ref
             plays = store.read_table(spark, folders["silver_plays"])
             if not plays.filter("ingest_timestamp is null").isEmpty():
                 raise ValueError("a document's contest differs from its snapshot's")
-            plays = plays.join(F.broadcast(times), ["contest_id", "ingest_timestamp"], "inner").select(*plays.columns).persist(StorageLevel.MEMORY_AND_DISK)
+            plays = plays.join(bounded(times, len(snapshots)), ["contest_id", "ingest_timestamp"], "inner").select(*plays.columns).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(plays)
             tables = gold.gold_tables(plays, *dims)
         with phase("publish"):
-            store.publish(spark, tables, root / "gold")
+            store.publish(spark, tables, files.join(root, "gold"))
         if plans:
             for name, df in tables.items():
                 save_plan(df, Path(plans) / f"{name}.md", name)

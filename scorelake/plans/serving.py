@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.gold import loss_rates
+from ..sources import files
 from . import store
 
 ROLES = ("primary_player_name", "secondary_player_name", "caused_by_player_name", "faceoff_winner_player", "faceoff_loser_player")
@@ -107,12 +108,12 @@ class Catalog:
         try:
             folder = store.generation(gold_root)
         except ValueError:
-            if not extra or store.current(Path(gold_root)):
+            if not extra or store.current(gold_root):
                 raise
             found = cls.__new__(cls)
             found.spark, found.tables = own, extra | {"fact_plays": extra["silver_plays"]}
         else:
-            found = cls(own, extra | {n: own.read.parquet(str(folder / n)) for n in store.GOLD_TABLES})
+            found = cls(own, extra | {n: own.read.parquet(str(files.join(folder, n))) for n in store.GOLD_TABLES})
         for name, df in found.tables.items():
             df.createOrReplaceTempView(name)
         return found

@@ -1,8 +1,9 @@
 """Immutable table generations of Parquet files behind an atomic pointer.
 
 A table is a folder with `versions/<id>/` and `current.json`. A version counts
-only with its `_commit.json`, which is written after the data. Readers resolve
-the pointer once; finished versions are never deleted.
+only with its `_commit.json`, which is written after the data and names the files
+of older versions that belong to this one too: those that a replacement did not
+touch. Readers resolve the pointer once; finished versions are never deleted.
 """
 
 from __future__ import annotations
@@ -10,135 +11,147 @@ from __future__ import annotations
 import json
 import os
 import re
-import shutil
 import uuid
 from collections.abc import Iterable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
+from ..sources import files as fs
+from ..sources.documents import bounded
+from ..sources.files import Place
+
 GOLD_TABLES = ("dim_teams", "dim_contests", "fact_plays", "agg_team_game_stats")
 COMMIT, POINTER, VERSIONS = "_commit.json", "current.json", "versions"
+#: Rows of a file; of small tables, rows from which on another one of up to SPREAD files is worth its task.
+FILE_ROWS, SPREAD_ROWS, SPREAD = 4_000_000, 65_536, 16
 
 
-def sync_folder(path: Path) -> None:
-    handle = os.open(path, os.O_RDONLY)
-    try:
-        os.fsync(handle)
-    finally:
-        os.close(handle)
-
-
-def sync_tree(root: Path) -> None:
-    """Flush all files below root, then their folders."""
-    for folder, _, names in os.walk(root, topdown=False):
-        for name in names:
-            with open(Path(folder, name), "rb") as f:
-                os.fsync(f.fileno())
-        sync_folder(Path(folder))
+def files_for(rows: int) -> int:
+    """Number of files for so many rows."""
+    return max(1, -(-rows // FILE_ROWS), min(SPREAD, -(-rows // SPREAD_ROWS)))
 
 
-def clustered(df: DataFrame, key: str, *, small: bool = False, files: int | None = None) -> DataFrame:
-    """df in a bounded number of files, each a sorted range of the key; one file for a small table."""
-    if small:
-        return df.coalesce(1).sortWithinPartitions(key)
-    files = int(os.environ.get("SCORELAKE_WRITE_FILES", "16")) if files is None else files
+def clustered(df: DataFrame, key: str, *, files: int | None = None, rows: int | None = None) -> DataFrame:
+    """df in a number of files, each a sorted range of the key: `files`, the environment's choice, or as many as the rows need."""
+    if files is None:
+        chosen = os.environ.get("SCORELAKE_WRITE_FILES")
+        files = int(chosen) if chosen else files_for(df.count() if rows is None else rows)
     if files < 1:
         raise ValueError("a table needs at least one file")
-    return df.repartitionByRange(files, key).sortWithinPartitions(key)
+    return (df.coalesce(1) if files == 1 else df.repartitionByRange(files, key)).sortWithinPartitions(key)
 
 
-def write_version(df: DataFrame, folder: Path) -> None:
-    """Write df into a new folder and commit it; an existing folder is an error."""
+def write_version(df: DataFrame, folder: Place, shared: Iterable[str] = ()) -> None:
+    """Write df into a new folder and commit it; an existing folder is an error. shared: files of older versions that belong to it, relative to the table."""
     df.write.mode("errorifexists").parquet(str(folder))
-    (folder / COMMIT).write_text(json.dumps({"columns": df.columns}))
+    fs.put(fs.join(folder, COMMIT), json.dumps({"columns": df.columns, "schema": df.schema.json(), "shared": list(shared)}))
 
 
-def committed(folder: Path) -> bool:
-    return (folder / COMMIT).is_file()
+def committed(folder: Place) -> bool:
+    return fs.exists(fs.join(folder, COMMIT))
 
 
-def point_to(root: Path, version: str) -> None:
+def point_to(root: Place, version: str) -> None:
     """Make version the current one, in one step."""
-    fresh = root / f".{POINTER}.{uuid.uuid4().hex}"
-    try:
-        with open(fresh, "x") as f:
-            f.write(json.dumps({"version": version}))
-            f.flush()
-            os.fsync(f.fileno())
-        os.replace(fresh, root / POINTER)
-        sync_folder(root)
-    finally:
-        fresh.unlink(missing_ok=True)
+    fs.put(fs.join(root, POINTER), json.dumps({"version": version}))
 
 
-def current(root: Path) -> Path | None:
+def current(root: Place) -> Place | None:
     """Folder of the current version, None if there never was one; a damaged pointer raises ValueError."""
-    if not (root / POINTER).exists():
+    root = fs.place(root)
+    pointer = fs.join(root, POINTER)
+    if not fs.exists(pointer):
         return None
-    version = json.loads((root / POINTER).read_text()).get("version", "")
+    version = json.loads(fs.text(pointer)).get("version", "")
     if not re.fullmatch("[0-9a-f]{32}", str(version)):
-        raise ValueError(f"{root / POINTER} names no version")
-    return root / VERSIONS / version
+        raise ValueError(f"{pointer} names no version")
+    return fs.join(root, VERSIONS, version)
 
 
-def table_path(root: Path, name: str) -> Path:
+def table_path(root: Place, name: str) -> Place:
     """Folder of a table, or the older one that ends in .parquet if only that is there."""
-    older = root / f"{name}.parquet"
-    return older if older.exists() and not (root / name).exists() else root / name
+    root = fs.place(root)
+    older, new = fs.join(root, f"{name}.parquet"), fs.join(root, name)
+    return older if fs.exists(older) and not fs.exists(new) else new
 
 
-def migrate_table(root: Path, name: str) -> Path:
+def migrate_table(root: Place, name: str) -> Place:
     """Rename an older table folder to the name without ending."""
-    older = table_path(root, name)
-    if older.name != name:
-        older.rename(root / name)
-    return root / name
+    older, new = table_path(root, name), fs.join(fs.place(root), name)
+    if older != new:
+        fs.rename(older, new)
+    return new
+
+
+def _files(folder: Place) -> list[str]:
+    """Files of a version, relative to the table: shared ones and its own."""
+    shared = json.loads(fs.text(fs.join(folder, COMMIT))).get("shared", [])
+    return [*shared, *(f"{VERSIONS}/{fs.name(folder)}/{n}" for n in fs.names(folder) if n.startswith("part-"))]
 
 
-def read_table(spark: SparkSession, root: str | Path) -> DataFrame:
+def _open(spark: SparkSession, root: Place, folder: Place, files: list[str]) -> DataFrame:
+    """Some files of a version, with its schema."""
+    saved = json.loads(fs.text(fs.join(folder, COMMIT))).get("schema")
+    if not files:
+        return spark.createDataFrame([], StructType.fromJson(json.loads(saved)))
+    reader = spark.read.schema(StructType.fromJson(json.loads(saved))) if saved else spark.read
+    return reader.parquet(*[str(fs.join(root, f)) for f in files])
+
+
+def read_table(spark: SparkSession, root: Place) -> DataFrame:
     """The current version of a table; one without a commit is refused."""
-    folder = current(Path(root))
+    root = fs.place(root)
+    folder = current(root)
     if folder is None or not committed(folder):
         raise ValueError(f"{root} holds no committed table")
-    return spark.read.parquet(str(folder))
+    return _open(spark, root, folder, _files(folder))
 
 
-def has_table(root: str | Path) -> bool:
+def has_table(root: Place) -> bool:
     """Whether there is a committed table; data without any commit raise ValueError."""
-    root = Path(root)
+    root = fs.place(root)
     folder = current(root)
     if folder is not None:
         return committed(folder)
-    if root.is_dir() and any(root.glob("*.parquet")):
+    if any(n.endswith(".parquet") for n in fs.names(root)):
         raise ValueError(f"{root} holds files without a commit")
     return False
 
 
-def replace_keys(spark: SparkSession, root: str | Path, fresh: DataFrame, key: str, keys: Iterable[int] | None, *, files: int | None = None, cached: bool = False) -> Path:
+def replace_keys(spark: SparkSession, root: Place, fresh: DataFrame, key: str, keys: Iterable[int] | None, *, files: int | None = None, cached: bool = False) -> Place:
     """Replace the rows of some keys (all rows if keys is None) in a new version of the table.
 
-    Every row of fresh must have one of the keys. Unless the caller has cached
-    fresh, it is kept on disk meanwhile, as both the check and the range sampling
-    read it.
+    Every row of fresh must have one of the keys. Only files that hold one of the
+    keys are written anew, together with fresh; the others are shared. Unless the
+    caller has cached fresh, it is kept on disk meanwhile, as both the check and the
+    range sampling read it.
     """
-    root = Path(root)
+    root = fs.place(root)
     held = None if cached else fresh.persist(StorageLevel.DISK_ONLY)
     try:
-        rows = fresh
+        rows, shared, count = fresh, [], fresh.count()
         if keys is not None:
-            named = spark.createDataFrame([(int(k),) for k in keys], f"{key} long")
-            if not fresh.join(F.broadcast(named), key, "left_anti").isEmpty():  # as many keys as snapshots of the batch
+            wanted = [(int(k),) for k in keys]
+            named = bounded(spark.createDataFrame(wanted, f"{key} long"), len(wanted))
+            if not fresh.join(named, key, "left_anti").isEmpty():
                 raise ValueError(f"there are rows whose {key} isn't replaced")
             if has_table(root):
-                rows = read_table(spark, root).join(F.broadcast(named), key, "left_anti").select(*fresh.columns).unionByName(fresh)
+                folder = current(root)
+                listed = _files(folder)
+                old = _open(spark, root, folder, listed)
+                hit = {r[0] for r in old.select(key, F.col("_metadata.file_name").alias("f")).join(named, key, "left_semi").select("f").distinct().collect()} if listed else set()
+                touched = [f for f in listed if fs.name(f) in hit]
+                shared = [f for f in listed if fs.name(f) not in hit]
+                if touched:
+                    stays = _open(spark, root, folder, touched).join(named, key, "left_anti").select(*fresh.columns)
+                    rows, count = stays.unionByName(fresh), count + stays.count()
         version = uuid.uuid4().hex
-        folder = root / VERSIONS / version
-        folder.parent.mkdir(parents=True, exist_ok=True)
-        write_version(clustered(rows, key, files=files), folder)
-        sync_tree(folder)
+        folder = fs.join(root, VERSIONS, version)
+        write_version(clustered(rows, key, files=files, rows=count), folder, shared)
+        fs.sync(folder)
         point_to(root, version)
         return folder
     finally:
@@ -146,35 +159,34 @@ def replace_keys(spark: SparkSession, root: str | Path, fresh: DataFrame, key: s
             held.unpersist(blocking=False)
 
 
-def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str | Path) -> Path:
+def publish(spark: SparkSession, tables: dict[str, DataFrame], root: Place) -> Place:
     """Publish the four tables of a generation together, or none of them."""
     if set(tables) != set(GOLD_TABLES):
         raise ValueError(f"a generation has the tables {', '.join(GOLD_TABLES)}")
-    root, version = Path(root), uuid.uuid4().hex
-    staging, folder = root / f".staging-{version}", root / VERSIONS / version
-    folder.parent.mkdir(parents=True, exist_ok=True)
+    root, version = fs.place(root), uuid.uuid4().hex
+    staging, folder = fs.join(root, f".staging-{version}"), fs.join(root, VERSIONS, version)
     try:
         for name, df in tables.items():
             key = "team_id" if name == "dim_teams" else "contest_id"
-            write_version(clustered(df, key, small=name != "fact_plays"), staging / name)
+            write_version(clustered(df, key), fs.join(staging, name))
         for name, df in tables.items():
-            written = spark.read.parquet(str(staging / name))
+            written = spark.read.parquet(str(fs.join(staging, name)))
             if set(written.columns) != set(df.columns):
                 raise ValueError(f"{name} was written with other columns")
             written.limit(1).collect()
-        sync_tree(staging)
-        staging.rename(folder)
+        fs.sync(staging)
+        fs.rename(staging, folder)
         point_to(root, version)
         return folder
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
+        fs.remove(staging)
 
 
-def generation(root: str | Path) -> Path:
+def generation(root: Place) -> Place:
     """Folder of the current generation; the root itself where there is no pointer. All four tables must be committed."""
-    root = Path(root)
+    root = fs.place(root)
     folder = current(root) or root
     for name in GOLD_TABLES:
-        if not committed(folder / name):
-            raise ValueError(f"{folder / name} is not committed")
+        if not committed(fs.join(folder, name)):
+            raise ValueError(f"{fs.join(folder, name)} is not committed")
     return folder

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import files
+
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v, True) for k, v in fields.items()])
@@ -24,10 +25,17 @@ _head = {"contestId": _long, "title": _text, "status": _text, "teams": T.ArrayTy
 DOCUMENT = _struct(data=_struct(playbyplay=_struct(**_head, periods=T.ArrayType(PERIOD))))
 HEADER = _struct(data=_struct(playbyplay=_struct(**_head)))
 
+#: A side of a join is broadcast only below this size.
+BROADCAST_BYTES = 64 * 1024 * 1024
 #: (contest_id, ingest_timestamp, path)
 Snapshot = tuple[int, str, str]
 
 
+def bounded(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
+    """Mark df for broadcast if its known number of rows stays small, else leave the choice to Spark."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+
+
 def read_documents(spark: SparkSession, snapshots: list[Snapshot], *, plays: bool = True) -> DataFrame:
     """One row per document of the snapshots in a single scan; plays=False leaves the periods out of the schema."""
     if not snapshots:
@@ -41,30 +49,29 @@ def snapshot_times(spark: SparkSession, snapshots: list[Snapshot]) -> DataFrame:
     return spark.createDataFrame([(int(c), t) for c, t, _ in snapshots], "contest_id long, ingest_timestamp string")
 
 
-def with_ingest_time(rows: DataFrame, times: DataFrame, contest: Column) -> DataFrame:
-    """rows with the ingest_timestamp of their contest; null where the contest is in no snapshot.
-
-    times has a row per snapshot of the batch, as many as paths that the driver
-    listed, so it is broadcast.
-    """
+def with_ingest_time(rows: DataFrame, times: DataFrame, contest: Column, count: int) -> DataFrame:
+    """rows with the ingest_timestamp of their contest; null where the contest is in no snapshot. times has count rows, one per snapshot."""
     times = times.select(F.col("contest_id").alias("_c"), "ingest_timestamp")
-    return rows.join(F.broadcast(times), contest == F.col("_c"), "left").drop("_c")
+    return rows.join(bounded(times, count), contest == F.col("_c"), "left").drop("_c")
 
 
-def latest_snapshots(manifest: str | Path) -> list[Snapshot]:
+def latest_snapshots(manifest: files.Place) -> list[Snapshot]:
     """Of each contest the last stored version in file order whose file exists, by contest.
 
-    A missing manifest raises FileNotFoundError, a line that isn't JSON a ValueError.
+    The manifest and its files may be in any store that Spark reads. A missing
+    manifest raises FileNotFoundError, a line that isn't JSON a ValueError.
     """
-    manifest, last = Path(manifest), {}
-    with manifest.open() as lines:
-        for entry in map(json.loads, filter(str.strip, lines)):
-            if entry.get("status") != "STORED_NEW_VERSION" or not entry.get("file_path"):
-                continue
-            path = Path(entry["file_path"])
-            place = next((p for p in (path, manifest.parent / path, manifest.parent / path.name) if p.exists()), None)
-            if place is not None:
-                last[int(entry["contest_id"])] = (int(entry["contest_id"]), entry["ingest_timestamp"], str(place))
+    manifest, last = files.place(manifest), {}
+    if not files.exists(manifest):
+        raise FileNotFoundError(str(manifest))
+    for entry in map(json.loads, filter(str.strip, files.text(manifest).splitlines())):
+        if entry.get("status") != "STORED_NEW_VERSION" or not entry.get("file_path"):
+            continue
+        path, folder = files.place(entry["file_path"]), files.parent(manifest)
+        known = [path] if isinstance(path, str) else [files.place(str(path)), files.join(folder, str(path)), files.join(folder, path.name)]
+        there = next((p for p in known if files.exists(p)), None)
+        if there is not None:
+            last[int(entry["contest_id"])] = (int(entry["contest_id"]), entry["ingest_timestamp"], str(there))
     return [last[k] for k in sorted(last)]
 
 

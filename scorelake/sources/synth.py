@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import json
 import random
-from pathlib import Path
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import files
+from .documents import bounded
+from .files import Place
+from .ingest import MANIFEST
+
 #: Plays of a period in the derived contests, and the last period.
 PERIOD_PLAYS, LAST_PERIOD = 16, 5
 
@@ -105,13 +110,24 @@ def load_documents(spark: SparkSession, target: int, seed: int) -> DataFrame:
     return event_documents(events).withColumn("contest_id", F.col("contest_id") + 1_000_000_000)
 
 
-def write_snapshots(documents: DataFrame, folder: str | Path) -> Path:
-    """Write documents (a bounded number, fetched one partition at a time) as snapshot files with a manifest; returns its path."""
-    from .ingest import MANIFEST, ingest
+def write_folder(documents: DataFrame, folder: Place) -> Place:
+    """Write documents as snapshot files with a manifest, all files at once by Spark; returns the manifest's path.
 
-    folder = Path(folder)
-    for row in documents.toLocalIterator():
-        body = {"contestId": row["contest_id"], **{k: v for k, v in row.asDict(recursive=True).items() if k not in ("contest_id", "ingest_timestamp")}}
-        payload = json.loads(json.dumps({"data": {"playbyplay": body}}))
-        ingest(row["contest_id"], folder, lambda _, p=payload: p)
-    return folder / MANIFEST
+    Contests that the manifest lists already are left as they are, so a run that
+    was broken off goes on where it stood.
+    """
+    spark, folder = documents.sparkSession, files.place(folder)
+    manifest = files.join(folder, MANIFEST)
+    present = files.text(manifest) if files.exists(manifest) else ""
+    known = [(int(json.loads(x)["contest_id"]),) for x in present.splitlines() if x.strip()]
+    fresh = documents.join(bounded(spark.createDataFrame(known, "contest_id long"), len(known)), "contest_id", "left_anti") if known else documents
+    names = [c for c in fresh.columns if c not in ("contest_id", "ingest_timestamp")]
+    body = F.struct(F.struct(F.struct(F.col("contest_id").alias("contestId"), *names).alias("playbyplay")).alias("data"))
+    part = files.join(folder, f"part-{uuid.uuid4().hex}")
+    rows = fresh.select("contest_id", "ingest_timestamp", F.to_json(body).alias("value"))
+    rows.write.partitionBy("contest_id", "ingest_timestamp").text(str(part))
+    written = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(str(part)).select(F.col("_metadata.file_path").alias("path"), F.sha2("value", 256).alias("sha256"))
+    found = written.select("path", "sha256", F.regexp_extract("path", r"contest_id=(\d+)/", 1).cast("long").alias("contest_id"), F.regexp_extract("path", r"ingest_timestamp=([^/]+)/", 1).alias("ingest_timestamp"))
+    lines = [json.dumps({**r.asDict(), "status": "STORED_NEW_VERSION", "file_path": r["path"]}) for r in found.orderBy("contest_id").select("contest_id", "ingest_timestamp", "sha256", "path").collect()]  # a line per contest
+    files.put(manifest, present + "".join(f"{x}\n" for x in lines))
+    return manifest
