@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import hashlib
 import json
 from collections.abc import Callable
@@ -62,3 +63,18 @@ def ingest(contest_id: int, folder: str | Path, fetch: Callable[[int], dict[str,
     with (folder / MANIFEST).open("a") as out:
         out.write(json.dumps(entry) + "\n")
     return status
+
+
+def main(arguments: list[str] | None = None) -> None:
+    """Fetch contests and store what is new; prints the outcome of each."""
+    parser = argparse.ArgumentParser(description="Fetch contests and store their documents if they are new.")
+    parser.add_argument("--contest-id", type=int, required=True, nargs="+")
+    parser.add_argument("--url", required=True, help="address of a document with a field {contest_id}")
+    parser.add_argument("--folder", default="raw")
+    args = parser.parse_args(arguments)
+    for contest_id in args.contest_id:
+        print(json.dumps({"contest_id": contest_id, "status": ingest(contest_id, args.folder, lambda c: fetch_http(c, args.url))}))
+
+
+if __name__ == "__main__":
+    main()

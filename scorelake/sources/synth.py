@@ -14,6 +14,12 @@ from .documents import bounded
 from .files import Place
 from .ingest import MANIFEST
 
+#: Seed and first contest of load tests, teams that they share, and names of their players.
+SEED, FIRST_CONTEST, TEAMS = 20_260_101, 1_000_000_000, 1024
+GIVEN = ("Ada", "Ben", "Cal", "Dov", "Eli", "Fay", "Gil", "Hugh", "Ira", "Jem", "Kay", "Lou", "Max", "Ned", "Oli", "Pat")
+SURNAMES = ("Aster", "Birch", "Cedar", "Dogwood", "Elm", "Fern", "Gorse", "Hazel", "Iris", "Juniper", "Kelp", "Larch", "Maple", "Nettle", "Oak", "Poplar")
+#: Events of which a contest may have more or fewer without losing its sense, in the order in which they go.
+LOOSE = ("SHOT", "GROUND_BALL", "TURNOVER", "CLEAR")
 #: Plays of a period in the derived contests, and the last period.
 PERIOD_PLAYS, LAST_PERIOD = 16, 5
 
@@ -107,7 +113,78 @@ def load_documents(spark: SparkSession, target: int, seed: int) -> DataFrame:
     events = counts.select("user_id", F.explode(F.sequence(F.lit(1), "n")).alias("ts"))
     draw = F.pmod(F.xxhash64("user_id", "ts", F.lit(seed)), F.lit(1 << 20))
     events = events.select("user_id", "ts", (F.col("user_id") * 1000 + F.col("ts")).alias("event_id"), F.element_at(F.array(*map(F.lit, kinds)), (draw % len(kinds) + 1).cast("int")).alias("event_type"))
-    return event_documents(events).withColumn("contest_id", F.col("contest_id") + 1_000_000_000)
+    return event_documents(events).withColumn("contest_id", F.col("contest_id") + FIRST_CONTEST)
+
+
+def _picked(values: tuple[str, ...], draw: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (F.pmod(draw, F.lit(len(values))) + 1).cast("int"))
+
+
+def templated_documents(templates: DataFrame, target: int, seed: int) -> DataFrame:
+    """Documents with `target` plays in all in the pattern of real ones (contest_id, title, status, teams, periods): resized, with teams and players renamed.
+
+    A contest takes one of the three templates of the nearest size. Plays too many
+    go, those of LOOSE events first; plays too few are repeated behind their
+    originals, without scores. Labels become the codes of two teams, players the
+    same other player throughout a contest.
+    """
+    from ..operators import silver, timeline
+    from ..operators import teams as T
+
+    spark = templates.sparkSession
+    base = templates.withColumn("ingest_timestamp", F.lit(""))
+    plays = silver.with_sides(timeline.number_plays(timeline.unnest_plays(base)))
+    plays = silver.with_names_as_written(silver.with_label(T.with_teams(silver.with_opening(plays))))
+    plays = plays.withColumnRenamed("contest_id", "template").withColumns({"side": T.lookup(F.col("_label")), "pickup_side": T.lookup(F.col("_pickup_code")), "loose": F.col("event_type").isin(*LOOSE)})
+    sizes = sorted((r["n"], r["template"]) for r in plays.groupBy("template").agg(F.count("*").alias("n")).collect())  # a row per template
+    if not sizes:
+        raise ValueError("there are no templates with plays")
+    rng, rows = random.Random(seed), []
+    for i, want in enumerate(contest_counts(target, seed)):
+        n, template = rng.choice(sorted(sizes, key=lambda x: abs(x[0] - want))[:3])
+        one, two = rng.sample(range(TEAMS), 2)
+        rows.append((FIRST_CONTEST + i, template, want, n, one, two))
+    contests = spark.createDataFrame(rows, "contest_id long, template long, want int, have int, one long, two long")
+    full = plays.join(contests, "template")
+    draw = F.xxhash64("contest_id", "period_at", "stat_at", "play_at", F.lit(seed))
+    by = Window.partitionBy("contest_id").orderBy(F.col("loose").desc(), draw)
+    full = full.withColumns({"nth": F.row_number().over(by), "candidates": F.greatest(F.lit(1), F.count_if("loose").over(Window.partitionBy("contest_id")))})
+    extra, goes = F.col("want") - F.col("have"), F.col("have") - F.col("want")
+    share = F.floor(extra / F.col("candidates")) + (F.col("nth") <= extra % F.col("candidates")).cast("int")
+    copies = F.when((extra > 0) & (F.col("nth") <= F.col("candidates")), share).otherwise(0).cast("int")
+    full = full.filter(F.col("nth") > goes).withColumn("copy", F.explode(F.sequence(F.lit(0), copies)))
+
+    code = lambda side: F.when(side == F.col("home_id"), F.format_string("T%03d", "one")).when(side == F.col("away_id"), F.format_string("T%03d", "two"))
+    tail = F.coalesce(F.col("_tail"), F.lit(""))
+    coded = F.concat(F.lit(" by "), F.col("_pickup_code"), F.lit(" "))
+    tail = F.when(code(F.col("pickup_side")).isNotNull(), F.replace(tail, coded, F.concat(F.lit(" by "), code(F.col("pickup_side")), F.lit(" ")))).otherwise(tail)
+    before = F.substring(F.col("_text"), F.lit(1), F.length("_text") - F.length("_rest"))
+    text = F.when(F.col("_label").isNotNull(), F.concat(before, F.coalesce(code(F.col("side")), F.col("_label")), tail)).otherwise(F.col("_text"))
+    for name in silver.NAMES:  # TEAM and the like stay
+        bare = F.regexp_replace(F.trim(name), r"\.+$", "")
+        other = F.xxhash64("contest_id", F.lower(bare))
+        made = F.concat_ws(" ", _picked(GIVEN, other), _picked(SURNAMES, F.shiftright(other, 8)))
+        text = F.when(bare.contains(" "), F.replace(text, bare, made)).otherwise(text)
+    full = full.withColumn("play_text", text)
+
+    team_of = F.when(F.col("stat_team_id") == F.col("home_id"), F.col("one") + 1).when(F.col("stat_team_id") == F.col("away_id"), F.col("two") + 1)
+    score = lambda c: F.when(F.col("copy") == 0, F.col(c)).alias(c)
+    stat = F.struct("stat_at", "play_at", "copy", F.col("raw_clock").alias("clock"), team_of.cast("long").alias("teamId"), F.col("play_text").alias("playText"), score("home_score"), score("visitor_score"))
+    stats = full.groupBy("contest_id", "one", "two", "period_at", "period_number", "period_display").agg(F.sort_array(F.collect_list(stat)).alias("stats"))
+    play = lambda s: F.struct(F.lit(None).cast("string").alias("clock"), s["playText"].alias("playText"), s["home_score"].alias("homeScore"), s["visitor_score"].alias("visitorScore"))
+    body = F.transform("stats", lambda s: F.struct(s["clock"].alias("clock"), s["teamId"].alias("teamId"), F.array(play(s)).alias("plays")))
+    period = F.struct("period_at", F.col("period_number").alias("periodNumber"), F.col("period_display").alias("periodDisplay"), body.alias("playbyplayStats"))
+    periods = stats.groupBy("contest_id", "one", "two").agg(F.sort_array(F.collect_list(period)).alias("all"))
+
+    def named(number: str, home: bool) -> Column:
+        short = F.format_string("T%03d", number)
+        colour = F.format_string("#%06X", F.pmod(F.xxhash64(number), F.lit(1 << 24)))
+        return F.struct((F.col(number) + 1).cast("string").alias("teamId"), short.alias("nameShort"), F.concat(F.lit("Team "), short).alias("nameFull"), short.alias("name6Char"), F.lower(short).alias("seoname"), colour.alias("color"), F.lit(home).alias("isHome"))
+
+    return periods.select(
+        "contest_id", F.lit("20260101T000000Z").alias("ingest_timestamp"), F.format_string("Contest %d", "contest_id").alias("title"), F.lit("final").alias("status"),
+        F.array(named("one", True), named("two", False)).alias("teams"), F.transform("all", lambda p: F.struct(p["periodNumber"].alias("periodNumber"), p["periodDisplay"].alias("periodDisplay"), p["playbyplayStats"].alias("playbyplayStats"))).alias("periods"),
+    )
 
 
 def write_folder(documents: DataFrame, folder: Place) -> Place:

@@ -116,6 +116,27 @@ def test_ingest_is_idempotent_and_keeps_an_audit(tmp_path):
         latest_snapshots(tmp_path / "none")
 
 
+def test_ingest_command(tmp_path, capsys):
+    (tmp_path / "5.json").write_text(json.dumps(document(5, [(None, "9:00", "Turnover by X.")])))
+    for want in ("STORED_NEW_VERSION", "UNCHANGED"):
+        ingest.main(["--contest-id", "5", "--url", f"file://{tmp_path}/{{contest_id}}.json", "--folder", str(tmp_path / "raw")])
+        assert json.loads(capsys.readouterr().out) == {"contest_id": 5, "status": want}
+
+
+def test_only_touched_files_are_written_anew(spark, tmp_path):
+    root = f"file:{tmp_path}/t"  # by Spark's file systems
+    store.replace_keys(spark, root, table(spark, *[(i, "a") for i in range(40)]), "contest_id", None, files=4)
+    before = set(store._files(store.current(root)))
+    store.replace_keys(spark, root, table(spark, (3, "b")), "contest_id", [3], files=1)
+    after = set(store._files(store.current(root)))
+    assert len(before) == 4 and len(before & after) == 3 and len(after) == 4
+    rows = {r.contest_id: r.v for r in store.read_table(spark, root).collect()}
+    assert rows == {i: "b" if i == 3 else "a" for i in range(40)}
+    store.replace_keys(spark, root, table(spark, (3, "b")).filter("false"), "contest_id", range(40), files=1)
+    assert store.read_table(spark, root).count() == 0
+    assert store.files_for(0) == 1 and store.files_for(10_000_000) == 16 and store.files_for(4_000_000_000) == 1000
+
+
 def test_pending_snapshots(spark):
     shots = [(1, "a", "p"), (2, "b", "q")]
     present = spark.createDataFrame([(1, "a"), (2, "a")], "contest_id long, ingest_timestamp string")

@@ -89,9 +89,6 @@ def test_api(spark, root):
     for bad in ({"limit": 0}, {"limit": 501}, {"offset": -1}, {"period_number": 11}, {"limit": None}):
         assert api.get("/api/plays", bad)[0] == 422
     assert api.get("/api/shooting-efficiency", {"contest_id": 77})[0] == 404 and api.get("/api/shooting-efficiency", {"order_by": "x"})[0] == 422
-    assert len(api.resolve_plays({"limit": 5, "event_type": "shot"}, limit=2)) == 2 and api.resolve_contest(9) is None
-    with pytest.raises(ValueError, match="limit"):
-        api.resolve_plays({"limit": 5}, limit=900)
     sent = []
 
     async def send(x):
@@ -101,6 +98,37 @@ def test_api(spark, root):
     assert sent[0]["status"] == 200 and len(json.loads(sent[1]["body"])) == 3
 
 
+def test_graph(spark, root):
+    api = Api(spark, root[0])
+    ask = lambda q, **v: api.graph(q, v)
+    assert len(ask('{ plays(filter: {limit: 5, eventType: "shot"}, limit: 2) { playId } }')["data"]["plays"]) == 2
+    assert ask("{ contest(id: 9) { title } }") == {"data": {"contest": None}}
+    assert "limit" in ask("{ plays(filter: {limit: 5}, limit: 900) { playId } }")["errors"][0]["message"]
+    got = ask("query Q($id: Int!, $all: Boolean = false) { one: contest(id: $id) { ...head teamStats { teamId teamShort contestId } title @include(if: $all) } contests { __typename ... on Contest { contestId } } } fragment head on Contest { contestId status }", id=1)["data"]
+    assert set(got["one"]) == {"contestId", "status", "teamStats"} and got["one"]["teamStats"][0]["contestId"] == 1 and len(got["contests"]) == 3 and got["contests"][0]["__typename"] == "Contest"
+    rest = api.get("/api/plays", {"limit": "7", "event_type": "goal", "min_period": "1"})[1]
+    assert [p["playId"] for p in ask('{ plays(eventType: "goal", limit: 7, minPeriod: 1) { playId eventTeamId } }')["data"]["plays"]] == [p["play_id"] for p in rest]
+    for bad in ("{ nothing }", "{ contests }", "{ contests { nothing } }", "{ contests(x: 1) { title } }", "mutation { contests { title } }", "{ contests { title }", "query($a: Int!) { contest(id: $a) { title } }", "{ contests { ...none } }", "{ contest { title } }", "{ }", ""):
+        assert ask(bad)["data"] is None and ask(bad)["errors"][0]["message"]
+
+
+def test_requests_from_other_origins(spark, root):
+    api, sent = Api(spark, root[0]), []
+
+    async def send(x):
+        sent.append(x)
+
+    async def receive():
+        return {"type": "http.request", "body": json.dumps({"query": "query($n: Int) { plays(limit: $n) { playId } }", "variables": {"n": 3}}).encode()}
+
+    scope = {"type": "http", "path": "/graphql", "query_string": b"", "headers": [(b"origin", b"http://x.test"), (b"access-control-request-headers", b"content-type")]}
+    asyncio.run(api.asgi(scope | {"method": "OPTIONS"}, receive, send))
+    headers = dict(sent[0]["headers"])
+    assert sent[0]["status"] == 200 and headers[b"access-control-allow-origin"] == b"http://x.test" and b"POST" in headers[b"access-control-allow-methods"] and headers[b"access-control-allow-headers"] == b"content-type"
+    asyncio.run(api.asgi(scope | {"method": "POST"}, receive, send))
+    assert len(json.loads(sent[3]["body"])["data"]["plays"]) == 3 and dict(sent[2]["headers"])[b"access-control-allow-origin"] == b"http://x.test"
+
+
 def test_many_threads_read_one_catalog(spark, root):
     found = Catalog.open(spark, root[0])
     with ThreadPoolExecutor(8) as pool:
