@@ -32,6 +32,8 @@ from .common import bounded, checkpointed, prepare_python
 MINIMA, MISS = 336, 1e-7
 #: Members up to which a bucket's remaining pairs come from a join; larger buckets are compared in blocks of about BLOCK members and BLOCK_BYTES of sets.
 JOINED, BLOCK, BLOCK_BYTES = 12, 512, 4 << 20
+#: Edges of a node from which on its joins are made splittable.
+HOT_EDGES = 500_000
 _rng = np.random.default_rng(8551)
 _A, _B = _rng.integers(0, 2**64, (2, MINIMA), dtype=np.uint64)
 
@@ -208,19 +210,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b); the component is its least node.
 
     Alternates large-star and small-star until the edges stay as they are.
-    Minima are aggregated before the shuffle, written, and joined back: a join of
-    two plain shuffles, so adaptive execution splits the partition of a node with
-    very many links. An edge from a node to itself, a repeated edge and an empty
-    table are allowed.
+    Minima are aggregated before the shuffle and joined back. Where a node has more
+    than HOT_EDGES edges they are written before the join, which then has a plain
+    shuffle on both sides, so adaptive execution splits the node's partition. An
+    edge from a node to itself, a repeated edge and an empty table are allowed.
     """
     now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+    def mark(df: DataFrame) -> tuple:
+        """Number and checksum of the edges, and the most of one node."""
+        return tuple(df.groupBy("v").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).agg(F.sum("n"), F.bit_xor("x"), F.max("n")).first())
+
     seen = mark(now)
     while seen[0]:
+        written = checkpointed if seen[2] > HOT_EDGES else lambda df: df
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
-        large = checkpointed(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = written(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         now = checkpointed(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         if (found := mark(now)) == seen:
@@ -230,9 +237,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return stars.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _open_rows(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (band, node, size, members, comp) of the buckets that hold more than one component of the links, with the most frequent one as host."""
-    labels = connected_components(links)
+def _open_rows(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (band, node, size, members, comp) of the buckets that hold more than one component, with the most frequent one as host."""
     placed = checkpointed(members.join(labels, "node", "left").select("band", "node", "members", "size", F.coalesce("component", "node").alias("comp")))
     held = placed.groupBy("band", "comp").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "comp"))["comp"].alias("host"), F.count("*").alias("comps"))
     return checkpointed(placed.join(checkpointed(held.filter("comps > 1").drop("comps")), "band"))
@@ -282,7 +288,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
 
     stars = members.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     links = _verified(stars, sets, percent)
-    open_rows = _open_rows(members, links)
+    labels = checkpointed(connected_components(links))
+    open_rows = _open_rows(members, labels)
     few = open_rows.filter(F.col("members") <= JOINED)
     other = few.select("band", F.col("node").alias("node2"), F.col("comp").alias("comp2"))
     pairs = few.join(other, "band").filter("comp <> comp2 and node < node2").select(F.col("node").alias("a"), F.col("node2").alias("b"))
@@ -294,9 +301,10 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, width: int = 5) -> Da
     blocks = _blocks(meeting, True).union(_blocks(left, False)).join(sets, "node")
     joining = blocks.groupBy("hosted", "bucket", "lo", "hi").applyInArrow(_block_links(percent), "a long, b long")
     rest = pairs.distinct().join(stars, ["a", "b"], "left_anti")
-    more = _verified(rest, sets, percent).union(joining)
+    more = checkpointed(_verified(rest, sets, percent).union(joining))
 
-    final = checkpointed(connected_components(links.union(more)))
+    known_stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final = labels if more.isEmpty() else checkpointed(connected_components(known_stars.union(more)))
     owners = described.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     known = owners.join(final, "node", "left").select("node", "low", F.coalesce("component", "node").alias("component"))
     named = checkpointed(known.groupBy("component").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "node")).alias("best")))
