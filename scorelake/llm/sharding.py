@@ -114,7 +114,8 @@ def kd_shards(docs: DataFrame, leaves: int | None = None, *, target_bytes: int |
     text_crc32, shard and slot. A null text has no bytes, size 1 and checksum 0; a
     null or missing lang or source is a value of its own; equal rows are told apart
     by their place; columns may have any name. An empty table gives an empty
-    result. Shards stay empty only where there are fewer rows than shards.
+    result. Shards stay empty only where there are fewer rows than shards, or where
+    a single row exceeds a shard's share.
     """
     if leaves is None:
         leaves = leaves_for(docs, target_bytes)

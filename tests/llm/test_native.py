@@ -366,3 +366,49 @@ def test_columns_of_any_name_pass(spark):
         left = [n for n in names if not (name == "urls" and n in ("host", "path", "rule", "verdict"))]
         rows = [r for r in out.select("doc_id", *left).collect() if r.doc_id == 1]
         assert rows and all(r[n] == f"{n}1" for r in rows for n in left), name
+
+
+def test_shards_equal_a_plain_tree(spark, docs, monkeypatch):
+    monkeypatch.setattr(sharding, "TOLERANCE", 0)
+    seen, real = {}, sharding.assign
+
+    def spy(rows, dimensions, leaves):
+        seen.update(rows=rows.collect(), dimensions=dimensions)
+        out = real(rows, dimensions, leaves)
+        seen["shards"] = {r.row: r.shard for r in out.select("row", "shard").collect()}
+        return out
+
+    monkeypatch.setattr(sharding, "assign", spy)
+    for leaves in (2, 5, 8):
+        sharding.kd_shards(docs, leaves)
+        rows, dims = seen["rows"], seen["dimensions"]
+
+        def value(r, k, dims=dims):
+            return sum(r[c] << (12 * (len(dims[k]) - 1 - i)) for i, c in enumerate(dims[k]))
+
+        def width(some, k):
+            return max(value(r, k) for r in some) - min(value(r, k) for r in some)
+
+        want = {}
+
+        def split(some, first, n, dims=dims, rows=rows, want=want):
+            if n == 1 or not some:
+                want.update({r.row: first for r in some})
+                return
+            widest = max(dims, key=lambda k: width(some, k) / max(1, width(rows, k)))
+            some = sorted(some, key=lambda r: [r[c] for c in (*dims[widest], *sharding.TIES)])
+            goal, below, at = sum(r.size for r in some) * (n // 2) / n, 0, 0
+            while below + some[at].size <= goal:
+                below, at = below + some[at].size, at + 1
+            at += 2 * (goal - below) >= some[at].size
+            split(some[:at], first, n // 2)
+            split(some[at:], first + n // 2, n - n // 2)
+
+        split(rows, 0, leaves)
+        assert want == seen["shards"]
+
+
+def test_a_target_of_bytes_sets_the_number_of_shards(spark, docs):
+    texts = docs.filter("doc_id is null or doc_id <> 59")  # without the longest, which exceeds any target
+    got = sharding.kd_shards(texts, target_bytes=-(-sharding.total_bytes(texts) // 4))
+    assert {r.shard for r in got.select("shard").distinct().collect()} == {0, 1, 2, 3}
