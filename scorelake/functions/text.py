@@ -99,31 +99,28 @@ def blank_to_null(text: Column) -> Column:
     return F.when(F.trim(text) != "", text)
 
 
-def person_name(raw: Column) -> Column:
-    """`First Last [ending]` from `Last, First` and its forms with an ending such as Jr.
+#: How names with commas are put in order, of three parts and of two; the first pattern that fits leaves no comma for the others.
+_ENDING = f"((?i:{'|'.join(x.replace('.', '[.]') for x in sorted(NAME_ENDINGS, key=len, reverse=True))}))"
+_REORDERED = (
+    (rf"^([^,]*?)\s*,\s*{_ENDING}\s*,\s*([^,]*?)\s*(?:,.*)?$", "$3 $1 $2"),
+    (rf"^([^,]*?)\s*,\s*([^,]*?)\s*,\s*{_ENDING}\s*(?:,.*)?$", "$2 $1 $3"),
+    (r"^([^,]*?)\s*,\s*([^,]*?)\s*,\s*([^,]*?)\s*(?:,.*)?$", "$2 $3 $1"),
+    (rf"^([^,]*?)\s*,\s*{_ENDING}$", "$1 $2"),
+    (r"^([^,]*?)\s*,\s*([^,]*)$", "$2 $1"),
+)
+
 
-    The parts between commas are taken apart into words, an ending and the rest;
-    the surname is the first part, and what is left are given names.
-    """
+def person_name(raw: Column) -> Column:
+    """`First Last [ending]` from `Last, First` and its forms with an ending such as Jr; null without a name."""
     name = F.regexp_replace(F.trim(raw), r"\s+", " ")
-    parts = F.transform(F.slice(F.split(name, r",\s*"), 1, 3), lambda x: F.trim(x))
-    is_ending = lambda x: F.upper(x).isin(*NAME_ENDINGS)
-    surname, others = F.get(parts, F.lit(0)), F.slice(parts, 2, 2)
-    own = F.filter(others, is_ending)  # an ending between commas
-    given = F.when((F.size(others) == 2) & (F.size(own) == 2), F.slice(others, 2, 1)).otherwise(F.filter(others, lambda x: ~is_ending(x)))
-    words = F.split(surname, " ")
-    tail = F.element_at(words, -1)
-    inner = (F.size(parts) == 2) & (F.size(own) == 0) & (F.size(words) > 1) & is_ending(tail)  # an ending behind the surname
-    plain = F.concat_ws(" ", F.concat(given, F.array(surname), F.slice(own, 1, 1)))
-    moved = F.concat_ws(" ", F.concat(given, F.slice(words, 1, F.size(words) - 1), F.array(tail)))
+    straight = reduce(lambda x, rule: F.regexp_replace(x, *rule), _REORDERED, name)
     return chain(
         [
             (raw.isNull() | (name == ""), F.lit(None).cast("string")),
             (F.upper(name).isin(*NO_PERSON), F.upper(name)),
-            (F.size(parts) == 1, name),
-            (inner, moved),
+            (name.contains(","), straight),
         ],
-        plain,
+        name,
     )
 
 
