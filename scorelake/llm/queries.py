@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import language, mixing, packing, repetition, secrets, sharding, surrogates, url_filter
+from . import infilling, language, mixing, packing, repetition, secrets, sharding, surrogates, url_filter
 from .common import table
 from .near_duplicates import near_duplicates
 from .neighbours import neighbours
@@ -233,14 +233,41 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get("spark.scorelake.surrogateKey", "rotate-this-key"))
 
 
+def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and digests of every document with its middle moved to the end."""
+    moved = infilling.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return moved.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infilling.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), g AS (
+  SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d
+), c AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g
+), o AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN a END AS BIGINT) AS prefix_chars, CAST(CASE WHEN form <> 'plain' THEN b - a END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM o
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, applied to the documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates, pipeline)}
+    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates, op13_infilling, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL, "op5_secret_scan": OP5_SQL, "op6_mixing": OP6_SQL, "op7_neighbours": OP7_SQL, "op8_near_duplicates": OP8_SQL}
+    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL, "op5_secret_scan": OP5_SQL, "op6_mixing": OP6_SQL, "op7_neighbours": OP7_SQL, "op8_near_duplicates": OP8_SQL, "op13_infilling": OP13_SQL}
