@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import infilling, language, mixing, packing, repetition, secrets, sharding, surrogates, url_filter
-from .common import table
+from . import infilling, language, mixing, packing, repetition, secrets, sharding, surrogates, token_files, url_filter
+from .common import shared_folder, table
 from .near_duplicates import near_duplicates
 from .neighbours import neighbours
 
@@ -233,6 +234,14 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get("spark.scorelake.surrogateKey", "rotate-this-key"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, tokens and checksum, from token files that are written and read back."""
+    folder = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
+    token_files.write_ids(table(spark, sf_dir, "documents"), folder)
+    read = token_files.read_ids(spark, folder)
+    return read.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form and digests of every document with its middle moved to the end."""
     moved = infilling.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -266,7 +275,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates, op13_infilling, pipeline)}
+    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates, op12_token_files, op13_infilling, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
