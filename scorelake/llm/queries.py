@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import infilling, language, mixing, packing, repetition, secrets, sharding, surrogates, token_files, url_filter
+from . import conversations, infilling, language, mixing, packing, repetition, secrets, sharding, surrogates, token_files, url_filter
 from .common import shared_folder, table
 from .near_duplicates import near_duplicates
 from .neighbours import neighbours
@@ -234,6 +234,75 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get("spark.scorelake.surrogateKey", "rotate-this-key"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of every conversation after damage."""
+    return conversations.plans(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def _op11_sql() -> str:
+    """A recursion over the rows of all conversations with the cheapest audit of each place, as cost in nine digits and letters."""
+    add = lambda v, cost, letter: f"lpad(CAST(CAST(substr({v}, 1, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({v}, 10) || '{letter}'"
+    keep = lambda kind, v: f"CASE WHEN NOT gone AND kind = {kind} THEN {add(v, 'cut', 'K')} END"
+    rerole = lambda v: f"CASE WHEN NOT gone THEN {add(v, '2 + cut', 'R')} END"
+    behind = [
+        add("p0", 3, "D"),
+        f"least({add('p1', 3, 'D')}, {keep(0, 'p0')})",
+        f"least({add('p2', 3, 'D')}, {', '.join(f(v) for v in ('p0', 'p1', 'p3') for f in (lambda v: keep(1, v), rerole))})",
+        f"least({add('p3', 3, 'D')}, {keep(2, 'p2')}, {rerole('p2')})",
+    ]
+    user = f"least(r2, {add('r0', 2, 'I')}, {add('r1', 2, 'I')}, {add('r3', 2, 'I')})"
+    return f"""
+WITH RECURSIVE bits(n, k, v) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL SELECT n, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(v ORDER BY n) AS tab FROM bits WHERE k = 8
+), given AS (
+  SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT))),
+           lambda a, b: xor(a >> 8, tab[CAST(xor(a, b) & 255 AS INT) + 1]))) % 20 AS kind FROM conversations, crc
+), damaged AS (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM given
+), placed AS (
+  SELECT c, turn, role, text, row_number() OVER w AS i, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS earlier,
+         row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ends
+  FROM damaged WINDOW w AS (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy)
+), told AS (
+  SELECT *, ends = '' AS blank, ends <> '' AND again AS duplicate, ends <> '' AND NOT again AND right(ends, 1) NOT IN ('.', '!', '?') AS truncated,
+         CASE initial WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END AS kind FROM placed
+), step AS (
+  SELECT c, i, kind, blank OR duplicate AS gone, CAST(truncated AS INT) AS cut FROM told
+), counted AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+         count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE i > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM told GROUP BY c
+), way(c, i, p0, p1, p2, p3) AS (
+  SELECT c, CAST(0 AS BIGINT), '000000000', CAST(NULL AS VARCHAR), '000000002I', '000000004II' FROM counted
+  UNION ALL
+  SELECT c, i, r0, r1, r2, least(r3, {add('r2', 2, 'I')}) FROM (
+    SELECT c, i, r0, r1, {user} AS r2, r3 FROM (
+      SELECT step.c, step.i, {', '.join(f'{x} AS r{k}' for k, x in enumerate(behind))} FROM way JOIN step ON step.c = way.c AND step.i = way.i + 1))
+), best AS (
+  SELECT way.c, CAST(substr(least(p0, p3), 1, 9) AS BIGINT) AS cost, substr(least(p0, p3), 10) AS audit FROM way JOIN counted ON counted.c = way.c AND counted.n = way.i
+), letter AS (
+  SELECT c, k, substr(audit, CAST(k AS INT), 1) AS x FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS k FROM best)
+), edit AS (
+  SELECT c, k, x, sum(CASE WHEN x = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY c ORDER BY k) AS i FROM letter
+), line AS (
+  SELECT edit.c, k, x, told.role, CASE WHEN x = 'I' THEN '' ELSE text END AS text,
+         sum(CASE WHEN x = 'K' AND initial = 's' THEN 0 ELSE 1 END) OVER (PARTITION BY edit.c ORDER BY k) AS turns FROM edit LEFT JOIN told ON told.c = edit.c AND told.i = edit.i WHERE x <> 'D'
+), whole AS (
+  SELECT c, string_agg(CASE WHEN x = 'K' THEN role WHEN turns % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY k) AS body FROM line GROUP BY c
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM given) LEFT JOIN counted USING (c) LEFT JOIN best USING (c) LEFT JOIN whole USING (c)
+"""
+
+
+OP11_SQL = _op11_sql()
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, tokens and checksum, from token files that are written and read back."""
     folder = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
@@ -275,8 +344,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates, op12_token_files, op13_infilling, pipeline)}
+    return {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_quality_rules, op4_sharding, op5_secret_scan, op6_mixing, op7_neighbours, op8_near_duplicates, op9_packing, op10_surrogates, op11_conversation_repair, op12_token_files, op13_infilling, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL, "op5_secret_scan": OP5_SQL, "op6_mixing": OP6_SQL, "op7_neighbours": OP7_SQL, "op8_near_duplicates": OP8_SQL, "op13_infilling": OP13_SQL}
+    return {"op1_url_filter": OP1_SQL, "op3_quality_rules": OP3_SQL, "op5_secret_scan": OP5_SQL, "op6_mixing": OP6_SQL, "op7_neighbours": OP7_SQL, "op8_near_duplicates": OP8_SQL, "op11_conversation_repair": OP11_SQL, "op13_infilling": OP13_SQL}

@@ -20,7 +20,7 @@ def test_query_equals_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     df = queries.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
