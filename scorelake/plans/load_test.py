@@ -1,11 +1,10 @@
-"""Load tests: generate and validate snapshots, run the batch plan, ask the endpoints, and report.
+"""Load tests: generate and validate snapshots, run the batch plan, and time what readers ask.
 
     python -m scorelake.plans.load_test generate --root /tmp/load --plays 1000000
     python -m scorelake.plans.load_test validate --root /tmp/load
     python -m scorelake.plans.load_test run-etl --root /tmp/load
     python -m scorelake.plans.load_test run-silver-gold --root /tmp/load
-    python -m scorelake.plans.load_test run-api --root /tmp/load --seconds 30
-    python -m scorelake.plans.load_test report --root /tmp/load
+    python -m scorelake.plans.load_test run-serving --root /tmp/load --rounds 5
 
 Every command leaves its figures below the root. Snapshots that are there already
 are kept, so a generation that was broken off goes on.
@@ -14,11 +13,9 @@ are kept, so a generation that was broken off goes on.
 from __future__ import annotations
 
 import argparse
-import asyncio
 import json
-import threading
 import time
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +28,11 @@ from ..sources import files, synth
 from ..sources.documents import bounded, latest_snapshots, read_documents
 from ..sources.files import Place
 from . import pipeline, store
-from .api import Api
 from .serving import Catalog
 
 SUMMARY = "generation.json"
 
 
-def percentile(values: list[float], share: float) -> float:
-    """The value below or at which a share of all values lies (the nearest rank); 0 without values."""
-    ordered = sorted(values)
-    return ordered[min(len(ordered) - 1, round(share * (len(ordered) - 1)))] if ordered else 0.0
-
-
 def spoken_plays(documents: DataFrame) -> DataFrame:
     """A row per play with a text: contest, container's team and event type."""
     stats = documents.select("contest_id", "teams", F.explode("periods").alias("p")).select("contest_id", "teams", F.explode("p.playbyplayStats").alias("s"))
@@ -111,101 +101,67 @@ def run_silver_gold(spark: SparkSession, root: Place) -> dict[str, Any]:
     """A new generation, in a place of its own, from the play and contest tables that are there."""
     root, began = files.place(root), time.perf_counter()
     target = files.join(root, "gold-again")
-    if files.exists(files.join(target, store.POINTER)):
+    if store.latest(target):
         raise ValueError(f"{target} holds a generation already")
     plays, contests = (store.read_table(spark, files.join(root, "tables", n)) for n in ("silver_plays", "silver_contests"))
     store.publish(spark, gold.gold_tables(plays, *gold.dimensions(contests)), target)
     return {"wall_seconds": time.perf_counter() - began}
 
 
-def run_api(spark: SparkSession, root: Place, seconds: float = 30, concurrency: int = 4, contest_id: int | None = None) -> dict[str, Any]:
-    """Ask each endpoint in turn from several threads; times in milliseconds by endpoint."""
-    folder = files.join(files.place(root), "tables", "gold")
-    if contest_id is None:
-        contest_id = Catalog.open(spark, folder).contests().select(F.median("contest_id").cast("long")).first()[0]
-    graph = lambda q: ("POST", "/graphql", b"", json.dumps({"query": q}).encode())
-    asked = {
-        "summary": ("GET", f"/api/contests/{contest_id}/summary", b"", b""),
-        "plays": ("GET", f"/api/contests/{contest_id}/plays", b"limit=50", b""),
-        "filtered": ("GET", "/api/plays", f"contest_id={contest_id}&event_type=GOAL&limit=50".encode(), b""),
-        "shooting": ("GET", "/api/shooting-efficiency", f"contest_id={contest_id}".encode(), b""),
-        "graph contest": graph(f"{{ contest(id: {contest_id}) {{ contestId title }} }}"),
-        "graph plays": graph(f"{{ plays(contestId: {contest_id}, limit: 50) {{ playId }} }}"),
-    }
-    api, times, errors, sizes = Api(spark, folder), {k: [] for k in asked}, dict.fromkeys(asked, 0), dict.fromkeys(asked, 0)
-    lock, deadline = threading.Lock(), time.monotonic() + seconds
-
-    def one(method: str, path: str, query: bytes, body: bytes) -> tuple[int, bytes]:
-        sent: list[dict] = []
-
-        async def send(x: dict) -> None:
-            sent.append(x)
-
-        async def receive() -> dict:
-            return {"type": "http.request", "body": body}
-
-        asyncio.run(api.asgi({"type": "http", "method": method, "path": path, "query_string": query, "headers": []}, receive, send))
-        return sent[0]["status"], sent[1]["body"]
-
-    def worker(turn: int) -> None:
-        names = list(asked)
-        while time.monotonic() < deadline:
-            name, began = names[turn % len(names)], time.perf_counter()
-            turn += 1
-            try:
-                status, body = one(*asked[name])
-                good = status < 400 and "errors" not in json.loads(body)
-            except Exception:  # noqa: BLE001  a failure of the endpoint is a figure of the test
-                good, body = False, b""
-            with lock:
-                errors[name] += not good
-                sizes[name] += len(body)
-                if good:
-                    times[name].append(time.perf_counter() - began)
-
-    with ThreadPoolExecutor(concurrency) as pool:
-        list(pool.map(worker, range(concurrency)))
-    results = {k: {"requests": len(v), "errors": errors[k], "bytes": sizes[k], **{f"p{p}_ms": round(1000 * percentile(v, p / 100), 1) for p in (50, 95, 99)}} for k, v in times.items()}
-    return {"contest_id": contest_id, "seconds": seconds, "concurrency": concurrency, "endpoints": results}
-
-
-def report(root: Place) -> str:
-    """All figures below the root, as text."""
-    root = files.place(root)
-    parts = [f"## {n.removesuffix('-result.json')}\n\n~~~json\n{files.text(files.join(root, n))}\n~~~\n" for n in files.names(root) if n.endswith("-result.json")]
-    return "# Load test\n\n" + "\n".join(parts)
+#: What a reader asks of one generation, by name.
+ASKED = {
+    "contest": lambda c, k: c.contest_summary(k),
+    "page": lambda c, k: c.plays(limit=50),
+    "goals": lambda c, k: c.plays(contest_id=k, event_type="GOAL", limit=50),
+    "shooting": lambda c, k: c.shooting_overall(k),
+    "players": lambda c, k: c.top_players(min_shots=3),
+}
+
+
+def run_serving(spark: SparkSession, root: Place, rounds: int = 5) -> dict[str, Any]:
+    """Each query of ASKED so many times, over contests drawn from the whole generation; quantiles of the milliseconds by query."""
+    catalog = Catalog.open(spark, files.join(files.place(root), "tables", "gold"))
+    chosen = [r[0] for r in catalog.dim_contests.orderBy(F.xxhash64("contest_id")).limit(rounds).select("contest_id").collect()]
+    times = []
+    for contest in chosen:
+        for name, ask in ASKED.items():
+            began = time.perf_counter()
+            ask(catalog, contest).collect()
+            times.append((name, 1000 * (time.perf_counter() - began)))
+    shares = [0.5, 0.95, 0.99]
+    told = spark.createDataFrame(times, "name string, ms double").groupBy("name").agg(F.count("*").alias("n"), F.percentile("ms", shares).alias("q"))
+    return {r["name"]: {"requests": r["n"], **{f"p{round(100 * x)}_ms": round(v, 1) for x, v in zip(shares, r["q"], strict=True)}} for r in told.collect()}
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    """Run the command that the arguments name and keep its figures below the root."""
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("generate", "validate", "run-etl", "run-silver-gold", "run-api", "report"):
-        one = commands.add_parser(name)
-        one.add_argument("--root", required=True)
-        if name == "generate":
-            one.add_argument("--plays", type=int, required=True)
-            one.add_argument("--seed", type=int, default=synth.SEED)
-            one.add_argument("--templates")
-        if name == "validate":
-            one.add_argument("--sample", type=int)
-        if name == "run-api":
-            one.add_argument("--seconds", type=float, default=30)
-            one.add_argument("--concurrency", type=int, default=4)
-            one.add_argument("--contest-id", type=int)
-    args = vars(parser.parse_args(arguments))
-    command, root = args.pop("command"), args.pop("root")
-    if command == "report":
-        print(report(root))
-        return
-    own = spark is None
-    spark = spark or create_session("scorelake-load-test")
+    parser.add_argument("command", choices=sorted(COMMANDS))
+    parser.add_argument("--root", required=True)
+    for command, names in COMMANDS.items():
+        for name, kind in names[1].items():
+            parser.add_argument(f"--{name}", type=kind, help=f"of {command}")
+    given = vars(parser.parse_args(arguments))
+    function, names = COMMANDS[given["command"]]
+    session = spark or create_session("scorelake-load-test")
     try:
-        out = {"generate": generate, "validate": validate, "run-etl": run_etl, "run-silver-gold": run_silver_gold, "run-api": run_api}[command](spark, root, **args)
+        out = function(session, given["root"], **{n: given[n] for n in names if given[n] is not None})
     finally:
-        if own:
-            spark.stop()
-    files.put(files.join(files.place(root), f"{command}-result.json"), json.dumps(out, indent=1))
-    print(json.dumps(out, indent=1))
+        if spark is None:
+            session.stop()
+    told = json.dumps(out, indent=1)
+    files.put(files.join(files.place(given["root"]), f"{given['command']}-result.json"), told)
+    print(told)
+
+
+#: Functions of the commands, with the types of their arguments.
+COMMANDS: dict[str, tuple[Callable[..., dict[str, Any]], dict[str, type]]] = {
+    "generate": (generate, {"plays": int, "seed": int, "templates": str}),
+    "validate": (validate, {"sample": int}),
+    "run-etl": (run_etl, {}),
+    "run-silver-gold": (run_silver_gold, {}),
+    "run-serving": (run_serving, {"rounds": int}),
+}
 
 
 if __name__ == "__main__":

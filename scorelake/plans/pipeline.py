@@ -43,7 +43,8 @@ def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_ref
 
     Only contests with a new snapshot are parsed. The play and contest tables are
     committed before the generation, so a failure there leaves the old one in
-    place, and the next run need not parse again.
+    place, and the next run need not parse again. Where another run has replaced
+    one of the same contests or published meanwhile, store.Conflict is raised.
     """
     root, seconds = files.place(root), {}
     metrics = metrics or os.environ.get("SCORELAKE_METRICS")
@@ -60,14 +61,16 @@ def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_ref
         if not snapshots:
             raise ValueError(f"{manifest} lists no snapshot")
         folders = {n: store.migrate_table(root, n) for n in ("silver_plays", "silver_contests")}
-        present = {n: store.read_table(spark, f) if not full_refresh and store.has_table(f) else None for n, f in folders.items()}
+        since = {n: store.latest(f) for n, f in folders.items()}
+        generation = store.latest(files.join(root, "gold"))
+        present = {n: store.read_table(spark, f, number=since[n] or None) if not full_refresh and store.has_table(f) else None for n, f in folders.items()}
         pending: dict[str, list[Snapshot]] = {n: pending_snapshots(spark, snapshots, present[n], full_refresh=full_refresh) for n in folders}
     makers = {"silver_plays": silver.silver_plays, "silver_contests": silver.silver_contests}
     for name, folder in folders.items():
         with phase(name):
             if pending[name]:
                 replaced = None if full_refresh or present[name] is None else [c for c, _, _ in pending[name]]
-                store.replace_keys(spark, folder, makers[name](spark, pending[name]), "contest_id", replaced)
+                store.replace_keys(spark, folder, makers[name](spark, pending[name]), "contest_id", replaced, since=since[name])
     held: list[DataFrame] = []
     try:
         with phase("dimensions"):
@@ -83,7 +86,7 @@ def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_ref
             held.append(plays)
             tables = gold.gold_tables(plays, *dims)
         with phase("publish"):
-            store.publish(spark, tables, files.join(root, "gold"))
+            store.publish(spark, tables, files.join(root, "gold"), rows={"fact_plays": plays.count()}, since=generation)
         if plans:
             for name, df in tables.items():
                 save_plan(df, Path(plans) / f"{name}.md", name)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import json
+import os
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +44,9 @@ def read_documents(spark: SparkSession, snapshots: list[Snapshot], *, plays: boo
     if not snapshots:
         raise ValueError("there are no snapshots to read")
     reader = spark.read.schema(DOCUMENT if plays else HEADER).option("multiline", "true")
-    return reader.json([str(path) for _, _, path in snapshots]).select("data.playbyplay.*")
+    with discovery(spark):
+        found = reader.json([str(path) for _, _, path in snapshots])
+    return found.select("data.playbyplay.*")
 
 
 def snapshot_times(spark: SparkSession, snapshots: list[Snapshot]) -> DataFrame:
@@ -55,24 +60,85 @@ def with_ingest_time(rows: DataFrame, times: DataFrame, contest: Column, count:
     return rows.join(bounded(times, count), contest == F.col("_c"), "left").drop("_c")
 
 
-def latest_snapshots(manifest: files.Place) -> list[Snapshot]:
-    """Of each contest the last stored version in file order whose file exists, by contest.
+#: Paths of a task that looks which files exist.
+LOOKED_AT = 2000
+_LINE = "contest_id string, ingest_timestamp string, file_path string, status string"
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]+:/"
+
+
+def snapshot_table(spark: SparkSession, manifest: files.Place) -> DataFrame:
+    """The manifest as a relation: of each contest the last stored version in file order whose file exists.
 
-    The manifest and its files may be in any store that Spark reads. A missing
-    manifest raises FileNotFoundError, a line that isn't JSON a ValueError.
+    Returns contest_id, ingest_timestamp, path. The manifest and its files may be
+    in any store that Spark reads; a path without a scheme may be relative to the
+    manifest's folder, or only be right in its last part. Tasks look which files
+    exist; no path passes through the driver. A missing manifest raises
+    FileNotFoundError, a line that isn't JSON a ValueError.
     """
-    manifest, last = files.place(manifest), {}
+    manifest = files.place(manifest)
     if not files.exists(manifest):
         raise FileNotFoundError(str(manifest))
-    for entry in map(json.loads, filter(str.strip, files.text(manifest).splitlines())):
-        if entry.get("status") != "STORED_NEW_VERSION" or not entry.get("file_path"):
-            continue
-        path, folder = files.place(entry["file_path"]), files.parent(manifest)
-        known = [path] if isinstance(path, str) else [files.place(str(path)), files.join(folder, str(path)), files.join(folder, path.name)]
-        there = next((p for p in known if files.exists(p)), None)
-        if there is not None:
-            last[int(entry["contest_id"])] = (int(entry["contest_id"]), entry["ingest_timestamp"], str(there))
-    return [last[k] for k in sorted(last)]
+    lines = spark.read.text(str(manifest)).filter(F.trim("value") != "")
+    if not lines.filter(F.try_parse_json("value").isNull()).isEmpty():
+        raise ValueError(f"{manifest} has a line that isn't JSON")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    entry = lines.select(place.alias("place"), F.from_json("value", _LINE).alias("e")).filter("e.status = 'STORED_NEW_VERSION' AND e.file_path != ''")
+    folder, path = str(files.parent(manifest)), F.col("e.file_path")
+    local = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(f"{os.getcwd()}/"), path))
+    known = F.when(path.rlike(_SCHEME), F.array(path)).otherwise(F.array(local, F.concat(F.lit(f"{folder}/"), path), F.concat(F.lit(f"{folder}/"), F.element_at(F.split(path, "/"), -1))))
+    told = entry.select("place", F.col("e.contest_id").cast("long").alias("contest_id"), F.col("e.ingest_timestamp").alias("ingest_timestamp"), known.alias("known"))
+    last = F.max_by(F.struct("ingest_timestamp", "path"), "place").alias("last")
+    return _existing(told, folder).groupBy("contest_id").agg(last).select("contest_id", "last.*")
+
+
+def _existing(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows (known: paths) with path, the first of them that is a file; rows without one go."""
+    spark = rows.sparkSession
+    if re.match(_SCHEME, folder) and not folder.startswith("file:"):
+        return _listed(rows, folder)
+
+    def run(batches):
+        import os
+        import re
+
+        import pyarrow as pa
+
+        for batch in batches:
+            there = [next((p for p in known if os.path.exists(re.sub("^file:/+", "/", p))), None) for known in batch.column("known").to_pylist()]
+            columns = [batch.column(c) for c in batch.schema.names if c != "known"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(there, pa.string())], names=[*(c for c in batch.schema.names if c != "known"), "path"])
+
+    schema = "place struct<block: long, row: long>, contest_id long, ingest_timestamp string, path string"
+    spread = rows.repartition(spark.sparkContext.defaultParallelism) if rows.limit(LOOKED_AT + 1).count() > LOOKED_AT else rows
+    return spread.mapInArrow(run, schema).filter("path IS NOT NULL")
+
+
+def _listed(rows: DataFrame, folder: str) -> DataFrame:
+    """The same by a listing of the manifest's folder, which Spark's tasks make in any store."""
+    bare = lambda p: F.regexp_replace(p, "^[^:/]+:(//[^/]*)?", "")
+    with discovery(rows.sparkSession):
+        there = rows.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(bare(F.col("path")).alias("_bare")).distinct()
+    tried = rows.select("place", "contest_id", "ingest_timestamp", F.posexplode("known").alias("nth", "path"))
+    found = tried.join(there, bare(F.col("path")) == F.col("_bare"), "left_semi")
+    return found.groupBy("place", "contest_id", "ingest_timestamp").agg(F.min_by("path", "nth").alias("path"))
+
+
+@contextmanager
+def discovery(spark: SparkSession) -> Iterator[None]:
+    """Let listings of many paths take a few tasks per core; Spark's own choice is a task per path up to ten thousand."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def latest_snapshots(manifest: files.Place) -> list[Snapshot]:
+    """snapshot_table as a list by contest, no longer than the list of paths that a reader is given."""
+    found = snapshot_table(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate(), manifest)
+    return sorted(tuple(r) for r in found.select("contest_id", "ingest_timestamp", "path").collect())
 
 
 def pending_snapshots(spark: SparkSession, snapshots: list[Snapshot], present: DataFrame | None, *, full_refresh: bool = False) -> list[Snapshot]:

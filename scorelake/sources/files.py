@@ -92,6 +92,52 @@ def put(path: Place, content: str) -> None:
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(there.toUri(), store.getConf()).rename(jvm.org.apache.hadoop.fs.Path(fresh), there, overwrite)
 
 
+def create(path: Place, content: str) -> None:
+    """Write a small file that isn't there yet, whole or not at all; FileExistsError if somebody else was first.
+
+    The store must refuse a rename onto a file that is there, as local disks (by
+    a link) and HDFS do.
+    """
+    if isinstance(path, str) and path.startswith("file:"):
+        path = Path(re.sub("^file:/+", "/", path))
+    fresh = join(parent(path), f".{name(path)}.{uuid.uuid4().hex}")
+    if isinstance(path, Path):
+        path.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            with open(fresh, "x") as f:
+                f.write(content)
+                f.flush()
+                os.fsync(f.fileno())
+            os.link(fresh, path)
+            _sync_folder(path.parent)
+        finally:
+            fresh.unlink(missing_ok=True)
+        return
+    store, there, jvm = _store(path)
+    stream = store.create(jvm.org.apache.hadoop.fs.Path(fresh), False)
+    try:
+        stream.write(bytearray(content.encode()))
+        stream.hsync()
+    finally:
+        stream.close()
+    none = SparkSession.active().sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(there.toUri(), store.getConf()).rename(jvm.org.apache.hadoop.fs.Path(fresh), there, none)
+    except Exception as e:
+        store.delete(jvm.org.apache.hadoop.fs.Path(fresh), False)
+        if store.exists(there):
+            raise FileExistsError(path) from e
+        raise
+
+
+def modified(path: Place) -> float:
+    """Time of the last change, in seconds."""
+    if isinstance(path, Path):
+        return path.stat().st_mtime
+    store, there, _ = _store(path)
+    return store.getFileStatus(there).getModificationTime() / 1000
+
+
 def rename(old: Place, new: Place) -> None:
     if isinstance(old, Path):
         new.parent.mkdir(parents=True, exist_ok=True)
@@ -105,9 +151,12 @@ def rename(old: Place, new: Place) -> None:
 
 
 def remove(folder: Place) -> None:
-    """Delete a folder with all that is in it, if it is there."""
+    """Delete a file, or a folder with all that is in it, if it is there."""
     if isinstance(folder, Path):
-        shutil.rmtree(folder, ignore_errors=True)
+        if folder.is_dir():
+            shutil.rmtree(folder, ignore_errors=True)
+        else:
+            folder.unlink(missing_ok=True)
         return
     store, there, _ = _store(folder)
     store.delete(there, True)
