@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from .functions.text import clock_seconds, event_type, person_name
 from .operators import gold, silver, timeline
+from .operators.fingerprint import fingerprint
 from .operators.teams import metadata_labels
 from .plans import pipeline, store
 from .plans.serving import Catalog
-from .sources import synth
+from .sources import files, synth
 from .sources.documents import latest_snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +172,46 @@ def published_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Catalog.open(spark, f"{root}/tables/gold").fact_plays.drop("play_text")
 
 
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays WHERE contest_id = 3")
+def stored_contest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plays of one contest out of a stored table of all; statistics rule out all files but its own."""
+    table = f"{lake(spark)}/silver_plays"
+    store.replace_keys(spark, table, silver.plays_of(documents(spark, sf_dir)), "contest_id", None, files=8)
+    return store.read_table(spark, table, where={"contest_id": 3}).drop("play_text")
+
+
+@query(EXPECTED + f"""SELECT {_PLAYS.replace("ingest_timestamp", "CASE WHEN contest_id % 3 = 0 THEN '20260202T000000Z' ELSE ingest_timestamp END AS ingest_timestamp")},
+  'Game ' || contest_id || CASE WHEN contest_id % 3 = 0 THEN ' (again)' ELSE '' END AS title, 'Club ' || code AS name_full FROM plays JOIN teams USING (team_id)""")
+def refreshed_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch plan twice; between its runs a third of the contests get a second snapshot with another title."""
+    root, docs = lake(spark), documents(spark, sf_dir)
+    first = synth.write_folder(docs, f"{root}/raw")
+    pipeline.run(spark, first, f"{root}/tables")
+    again = docs.filter("contest_id % 3 = 0").withColumns({"ingest_timestamp": F.lit("20260202T000000Z"), "title": F.concat("title", F.lit(" (again)"))})
+    both = files.text(first) + files.text(synth.write_folder(again, f"{root}/raw-again"))
+    files.put(f"{root}/both.jsonl", both)
+    pipeline.run(spark, f"{root}/both.jsonl", f"{root}/tables")
+    found = Catalog.open(spark, f"{root}/tables/gold")
+    return found.fact_plays.join(found.dim_contests.select("contest_id", "title"), "contest_id").drop("play_text", "color")
+
+
+@query("SELECT l_suppkey AS contest_id, l_orderkey, l_linenumber, CASE WHEN l_suppkey % 10 = 0 THEN -l_quantity ELSE l_quantity END AS quantity FROM lineitem")
+def maintained_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines stored by supplier, a tenth of the suppliers replaced one batch after another; small files merged, old ones deleted, the rest verified."""
+    table = f"{lake(spark)}/lines"
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("contest_id"), "l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"))
+    store.replace_keys(spark, table, lines, "contest_id", None)
+    tenth = lines.filter("contest_id % 10 = 0").withColumn("quantity", -F.col("quantity"))
+    keys = sorted(r[0] for r in tenth.select("contest_id").distinct().collect())  # suppliers
+    for k in range(3):
+        store.replace_keys(spark, table, tenth.filter((F.col("contest_id") / 10) % 3 == k), "contest_id", [x for x in keys if x // 10 % 3 == k])
+    store.compact(spark, table, "contest_id", least=2)
+    store.vacuum(table, keep_seconds=0)
+    if damaged := store.verify(spark, table):
+        raise ValueError(f"files differ from what was written: {damaged}")
+    return store.read_table(spark, table)
+
+
 @query(EXPECTED + "SELECT contest_id, '20260101T000000Z' AS ingest_timestamp, 'Game ' || contest_id AS title, 'final' AS status, home_id || ':' || place || 'H' || contest_id || ',' || away_id || ':' || place || 'A' || contest_id AS teams FROM (SELECT DISTINCT contest_id, home_id, away_id, place FROM base)")
 def silver_contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contests with their teams, as text."""
@@ -384,9 +425,9 @@ def orders_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_returnflag, count(*) AS lines, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY ALL")
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts; the exclusive or of row hashes must agree between two layouts of the table."""
+    """Counts; the fingerprints of each group as a multiset must agree between two layouts of the table."""
     lines = read(spark, sf_dir, "lineitem")
-    mark = F.bit_xor(F.xxhash64(*lines.columns)).alias("mark")
+    mark = fingerprint(lines.columns).alias("mark")
     other = lines.repartition(7, "l_suppkey").groupBy("l_returnflag").agg(mark)
     return lines.groupBy("l_returnflag").agg(F.count("*").alias("lines"), F.count_distinct("l_orderkey").alias("orders"), mark).join(other, ["l_returnflag", "mark"]).drop("mark")
 
