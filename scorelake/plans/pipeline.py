@@ -31,6 +31,14 @@ def selected_contests(contests: DataFrame, times: DataFrame, count: int) -> Data
     return chosen
 
 
+def _counts_of(spark: SparkSession, plays: files.Place, chosen: list[Snapshot]) -> DataFrame:
+    """play_counts of the stored plays of some snapshots; files without one of their contests aren't opened."""
+    contests = [c for c, _, _ in chosen]
+    stored = store.read_table(spark, plays, where={"contest_id": (min(contests), max(contests))})
+    times = bounded(snapshot_times(spark, chosen), len(chosen))
+    return gold.play_counts(stored.join(times, ["contest_id", "ingest_timestamp"], "left_semi"))
+
+
 def save_plan(df: DataFrame, path: str | Path, title: str) -> None:
     """Write the formatted physical plan of df to a file."""
     text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
@@ -41,8 +49,9 @@ def save_plan(df: DataFrame, path: str | Path, title: str) -> None:
 def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_refresh: bool = False, plans: str | Path | None = None, metrics: str | Path | None = None) -> dict[str, float]:
     """Bring the tables below root up to date with the manifest; returns the seconds of each phase.
 
-    Only contests with a new snapshot are parsed. The play and contest tables are
-    committed before the generation, so a failure there leaves the old one in
+    Only contests with a new snapshot are parsed, and only their play counts are
+    made anew: team statistics come from the stored counts of all contests. The
+    play, contest and count tables are committed before the generation, so a failure there leaves the old one in
     place, and the next run need not parse again. Where another run has replaced
     one of the same contests or published meanwhile, store.Conflict is raised.
     """
@@ -60,12 +69,12 @@ def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_ref
         snapshots = latest_snapshots(manifest)
         if not snapshots:
             raise ValueError(f"{manifest} lists no snapshot")
-        folders = {n: store.migrate_table(root, n) for n in ("silver_plays", "silver_contests")}
+        folders = {n: store.migrate_table(root, n) for n in ("silver_plays", "silver_contests", "play_counts")}
         since = {n: store.latest(f) for n, f in folders.items()}
         generation = store.latest(files.join(root, "gold"))
         present = {n: store.read_table(spark, f, number=since[n] or None) if not full_refresh and store.has_table(f) else None for n, f in folders.items()}
         pending: dict[str, list[Snapshot]] = {n: pending_snapshots(spark, snapshots, present[n], full_refresh=full_refresh) for n in folders}
-    makers = {"silver_plays": silver.silver_plays, "silver_contests": silver.silver_contests}
+    makers = {"silver_plays": silver.silver_plays, "silver_contests": silver.silver_contests, "play_counts": lambda spark, chosen: _counts_of(spark, folders["silver_plays"], chosen)}
     for name, folder in folders.items():
         with phase(name):
             if pending[name]:
@@ -84,7 +93,8 @@ def run(spark: SparkSession, manifest: str | Path, root: str | Path, *, full_ref
                 raise ValueError("a document's contest differs from its snapshot's")
             plays = plays.join(bounded(times, len(snapshots)), ["contest_id", "ingest_timestamp"], "inner").select(*plays.columns).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(plays)
-            tables = gold.gold_tables(plays, *dims)
+            counts = store.read_table(spark, folders["play_counts"]).join(bounded(times, len(snapshots)), ["contest_id", "ingest_timestamp"], "left_semi")
+            tables = gold.gold_tables(plays, *dims, counts)
         with phase("publish"):
             store.publish(spark, tables, files.join(root, "gold"), rows={"fact_plays": plays.count()}, since=generation)
         if plans:

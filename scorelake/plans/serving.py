@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.gold import loss_rates
+from ..operators.gold import expected_loss, shot_rates
 from ..sources import files
 from . import store
 
@@ -185,9 +185,9 @@ class Catalog:
 
     def _rated(self) -> DataFrame:
         """Facts with the expected loss of each shot; the rates are those of all contests."""
-        by_result, overall = loss_rates(self.fact_plays)
-        rated = self.fact_plays.join(F.broadcast(by_result), "shot_result", "left").crossJoin(F.broadcast(overall))
-        return rated.withColumn("_loss", F.when(F.col("event_type") == "SHOT", F.coalesce("loss_rate", "default_rate")).otherwise(0.0))
+        shots = self.fact_plays.select("event_type", "shot_result", F.col("shot_possession_retained").alias("kept"), F.lit(1).cast("long").alias("n"))
+        rated = self.fact_plays.crossJoin(F.broadcast(shot_rates(shots)))  # one row
+        return rated.withColumn("_loss", F.when(F.col("event_type") == "SHOT", expected_loss()).otherwise(0.0))
 
     @staticmethod
     def _measures() -> list[Column]:

@@ -41,6 +41,34 @@ def test_no_shots_lose_half(spark):
     assert overall.first().default_rate == 0.5
 
 
+def test_counts_of_parts_add_up(spark):
+    team = {"event_team_short": "Lake", "play_text": "Shot by Lake Al."}
+    kinds = [shot("WIDE", True), shot("WIDE", False), shot(None, False), shot("SAVE", True), {"event_type": "GOAL", "shot_result": "GOAL"}, {"event_type": "GROUND_BALL"}, {"event_type": "PENALTY", "penalty_duration_seconds": 30}]
+    faceoff = {"event_type": "FACEOFF", "play_text": "Faceoff Al vs Bo won by Lake, Ground ball pickup by Coast Bo.", "event_team_short": "Lake"}
+    rows = [team | k | {"contest_id": c, "team_id": 1 + (i + c) % 2, "opponent_team_id": 2 - (i + c) % 2} for c in range(9) for i in range(c + 3) for k in kinds[: i + 1]]
+    rows += [faceoff | {"contest_id": c} for c in range(4) for _ in range(c)]
+    df = plays(spark, *rows)
+    teams = spark.createDataFrame([(1, "Lake", "LAKE", "Lake U", None), (2, "Coast", "COAST", "Coast U", None)], TEAMS)
+    whole, counts = gold.team_game_stats(df, teams), gold.play_counts(df)
+    parts = gold.play_counts(df.filter("contest_id < 4")).unionByName(gold.play_counts(df.filter("contest_id >= 4")))
+    again = gold.play_counts(df.limit(40)).unionByName(gold.play_counts(df.offset(40))).groupBy(*gold.PROFILE).agg(F.sum("n").alias("n"))
+    assert counts.agg(F.sum("n")).first()[0] == len(rows) and counts.count() < len(rows)
+    want = sorted(map(str, whole.collect()))
+    assert sorted(map(str, gold.stats_of(parts, teams).collect())) == want == sorted(map(str, gold.stats_of(again, teams).collect()))
+    picked = {(r.contest_id, r.team_id): r.ground_balls for r in whole.filter("contest_id < 4").collect()}
+    own = {(r.contest_id, r.team_id): r["n"] for r in df.filter("event_type = 'GROUND_BALL'").groupBy("contest_id", "team_id").agg(F.count("*").alias("n")).collect()}
+    assert all(picked[c, 2] == own.get((c, 2), 0) + c for c in range(1, 4))
+    assert gold.embedded_ground_balls(df, teams).filter("team_id = 2 AND event_team_short = 'COAST'").count() == 6
+
+
+def test_statistics_parse_plays_once(spark):
+    df = plays(spark, shot("WIDE", True)).repartition(2)
+    stats = gold.team_game_stats(df, spark.createDataFrame([(1, "A", "A", "A", None)], TEAMS))
+    stats.collect()
+    final = stats._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("RoundRobinPartitioning") == 1 and "ReusedExchange" in final
+
+
 def test_bad_keys_are_refused(spark):
     for rows in ([(1, "a"), (1, "b")], [(None, "a")]):
         with pytest.raises(ValueError, match="team_id"):
@@ -152,14 +180,18 @@ def test_pipeline_refreshes_only_what_changed(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("SCORELAKE_WRITE_FILES", "2")
     pipeline.run(spark, manifest, tmp_path / "lake", plans=tmp_path / "plans", metrics=tmp_path / "m.json")
     assert json.loads((tmp_path / "m.json").read_text())["gold"] > 0 and (tmp_path / "plans" / "fact_plays.md").exists()
-    before = store.current(tmp_path / "lake" / "silver_plays")
+    tables = [tmp_path / "lake" / n for n in ("silver_plays", "silver_contests", "play_counts")]
+    before = [store.current(t) for t in tables]
     pipeline.run(spark, manifest, tmp_path / "lake")
-    assert store.current(tmp_path / "lake" / "silver_plays") == before
+    assert [store.current(t) for t in tables] == before
     docs[1]["data"]["playbyplay"]["title"] = "Renamed"
     docs[1]["data"]["playbyplay"]["periods"][0]["playbyplayStats"].pop()
     from datetime import datetime, timezone
     ingest.ingest(2, tmp_path / "raw", lambda _: docs[1], now=lambda: datetime(2030, 1, 1, tzinfo=timezone.utc))
     pipeline.run(spark, manifest, tmp_path / "lake")
+    for t in tables:
+        entry = store._entry(t, store.latest(t))
+        assert entry["keys"] == [2] and all(set(f["keys"]) == {2} for f in entry["added"].values())  # no row of contest 1 was touched
     found = Catalog.open(spark, tmp_path / "lake" / "gold", tmp_path / "lake" / "silver_plays")
     assert {r.contest_id: r.n for r in found.fact_plays.groupBy("contest_id").agg(F.count("*").alias("n")).collect()} == {1: 2, 2: 1}
     assert found.contest_summary(2).first().title == "Renamed" and len(found.contest_summary(2).first().team_stats) == 1
