@@ -64,28 +64,31 @@ WITH d AS (
 ), five AS (
   SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM (
     SELECT r, i, array_to_string(words[i:i + 4], ' ') AS g FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5))
-), ten AS (
+), eight AS (
   SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM (
-    SELECT r, i, array_to_string(words[i:i + 9], ' ') AS g FROM (SELECT r, words, unnest(range(1, len(words) - 8)) AS i FROM w WHERE len(words) >= 10))
+    SELECT r, i, array_to_string(words[i:i + 7], ' ') AS g FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8))
 ), long AS (
-  SELECT DISTINCT r FROM (SELECT r, md5(array_to_string(words[i:i + 100], ' ')) AS g FROM (SELECT r, words, unnest(range(1, len(words) - 99)) AS i FROM w WHERE len(words) >= 101))
+  SELECT DISTINCT r FROM (
+    SELECT r, md5(array_to_string(words[i:i + n - 1], ' ')) AS g FROM (
+      SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM (
+        SELECT r, words, greatest(20, len(words) // 20 + 1) AS n FROM w WHERE r IN (SELECT r FROM eight WHERE c > 1)) WHERE len(words) > n))
   GROUP BY r, g HAVING count(*) > 1
 ), in_five AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM five WHERE c > 1) GROUP BY r
-), in_ten AS (
-  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 10)) AS p FROM ten WHERE c > 1) GROUP BY r
+), in_eight AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM eight WHERE c > 1) GROUP BY r
 ), line AS (
   SELECT r, count(*) - count(DISTINCT l) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS l FROM w)
   WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY r
 ), s AS (
   SELECT w.r, doc_id, len(words)::BIGINT AS n_words, coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(line.n, 0)::BIGINT AS n_dup_lines,
-         coalesce(in_five.n, 0)::BIGINT AS n_repeat_words, coalesce(in_ten.n, 0)::BIGINT AS covered_words, long.r IS NOT NULL AS too_long
-  FROM w LEFT JOIN line ON line.r = w.r LEFT JOIN in_five ON in_five.r = w.r LEFT JOIN in_ten ON in_ten.r = w.r LEFT JOIN long ON long.r = w.r
+         coalesce(in_five.n, 0)::BIGINT AS n_repeat_words, coalesce(in_eight.n, 0)::BIGINT AS covered_words, long.r IS NOT NULL AS too_long
+  FROM w LEFT JOIN line ON line.r = w.r LEFT JOIN in_five ON in_five.r = w.r LEFT JOIN in_eight ON in_eight.r = w.r LEFT JOIN long ON long.r = w.r
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 10 * covered_words <= 3 * n_words AND NOT too_long AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * covered_words <= 15 * n_words AND NOT too_long AS kept
 FROM s
 """
 

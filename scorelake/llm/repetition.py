@@ -3,12 +3,12 @@
 The suffix array of the words of many documents is built at once by prefix
 doubling: the symbols of different documents differ, so no suffix of one equals
 one of another. The ranks of every doubling step are kept; longest common
-prefixes of neighbours follow from them by binary lifting. The larger of the two
-prefixes that a suffix shares with its neighbours is the longest repeat that
-begins there. A repeat that goes on from the word before it (the one there is
-longer) lies within that one's span and is passed over; all others, maximal to
-the right and not so continued, are united. A document fails if the united spans
-cover too much of it or if one repeat is too long.
+prefixes of neighbours follow from them by binary lifting. A pass over these
+lengths with a stack enumerates their intervals, which are the substrings that
+occur more than once and can't grow to the right. One whose occurrences do not all
+follow the same word can't grow to the left either: it is a maximal repeat. The
+spans of all maximal repeats are united. A document fails if they cover too much
+of it, or if its longest repeat is too long for it.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from . import textops
 from .common import prepare_python
 
 #: Repeats of fewer words are ordinary language.
-MIN_WORDS = 10
-#: A document fails if more of its words lie in repeats, or if one repeat has more words.
-MAX_COVERED, MAX_REPEAT = 0.3, 100
+MIN_WORDS = 8
+#: A document fails if a larger share of its words lies in repeats, or if one repeat has LONG words or more and a larger share of them.
+MAX_COVERED, MAX_REPEAT, LONG = 0.15, 0.05, 20
 #: Base rule: fewest words, window of the repeated-words rule, most words in repeated windows in a hundred.
 LEAST_WORDS, WINDOW, MAX_REPEATED = 10, 5, 20
 #: Bytes of texts whose suffixes are sorted together.
@@ -35,14 +35,14 @@ _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 _BLANKS = b" \t\n\x0b\x0c\r"
 
 
-def longest_repeats(symbols: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For each word, the length of the longest substring that begins there and occurs again in the same document.
+def suffix_array(symbols: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words in the order of the suffixes that begin there, and the common prefix of each with the one before it; 0 at both ends.
 
     symbols: 64-bit hashes of words; doc: ascending number of the document of each.
     """
     n = len(symbols)
     if n < 2:
-        return np.zeros(n, np.int64)
+        return np.arange(n), np.zeros(n + 1, np.int64)
     keys = textops.mix(symbols ^ textops.mix(doc.astype(np.uint64) + np.uint64(1)))
     _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
     rank = (np.cumsum(counts) - counts + 1)[inverse]
@@ -79,11 +79,59 @@ def longest_repeats(symbols: np.ndarray, doc: np.ndarray) -> np.ndarray:
         jump = np.int64(1 << k) * same
         left, right, length = left + jump, right + jump, length + jump
     common[near + 1] = length
-    best = np.empty(n, np.int64)
+    return suffixes, common
+
+
+def longest_repeats(symbols: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each word, the length of the longest substring that begins there and occurs again in the same document."""
+    suffixes, common = suffix_array(symbols, doc)
+    best = np.empty(len(symbols), np.int64)
     best[suffixes] = np.maximum(common[:-1], common[1:])
     return best
 
 
+def maximal_repeats(suffixes: np.ndarray, common: np.ndarray, symbols: np.ndarray, doc: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Maximal repeats of `least` words or more: begins and lengths of spans whose union is that of all their occurrences, and (words, first rank) of each.
+
+    The stack holds the open intervals from the outermost in, as [words, first
+    rank, word before all occurrences or None where they differ, ranks that lie in
+    no interval within]. An occurrence counts for the innermost interval with it:
+    if that one can grow to the left, what it covers lies in the span of the grown
+    one, and what outer ones cover lies in its own. So each rank gives one span.
+    """
+    begins, lengths, found = [], [], []
+    inside = np.flatnonzero(common >= least)
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), found
+    runs = np.split(inside, np.flatnonzero(np.diff(inside) > 1) + 1)
+    for run in runs:
+        ranks = suffixes[run[0] - 1 : run[-1] + 1]
+        opens = (ranks == 0) | (doc[ranks] != doc[ranks - 1])
+        before = [("begin",) if o else s for o, s in zip(opens.tolist(), symbols[ranks - 1].tolist(), strict=True)]  # only one suffix begins a document
+        stack: list[list] = []
+        for k, length in enumerate([*common[run].tolist(), 0]):
+            first, word, place = k, before[k], int(ranks[k])
+            waiting = True
+            while stack and stack[-1][0] > length:
+                top = stack.pop()
+                if waiting:
+                    top[3].append(place)
+                    waiting = False
+                first, word = top[1], word if top[2] == word else None
+                if word is None:
+                    found.append((top[0], int(run[0]) - 1 + first))
+                    begins += top[3]
+                    lengths += [top[0]] * len(top[3])
+            if length:
+                if stack and stack[-1][0] == length:
+                    stack[-1][2] = word if stack[-1][2] == word else None
+                else:
+                    stack.append([length, first, word, []])
+                if waiting:
+                    stack[-1][3].append(place)
+    return np.array(begins, np.int64), np.array(lengths, np.int64), found
+
+
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Which of n words lie in the union of spans."""
     edge = np.zeros(n + 1, np.int64)
@@ -107,14 +155,15 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
     buffer, begin, _, hashes, first = textops.words(texts)
     places = np.append(textops.joined(texts)[1], len(buffer))
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    best = longest_repeats(hashes, doc)
+    suffixes, common = suffix_array(hashes, doc)
+    best = np.empty(len(hashes), np.int64)
+    best[suffixes] = np.maximum(common[:-1], common[1:])
     window = np.flatnonzero(best >= WINDOW)
     repeated = covered(window, window + WINDOW, len(best))
-    previous = np.concatenate(([0], best[:-1]))
-    maximal = np.flatnonzero((best >= MIN_WORDS) & (previous <= best))
-    inside = covered(maximal, maximal + best[maximal], len(best))
+    at, size, _ = maximal_repeats(suffixes, common, hashes, doc, MIN_WORDS)
+    inside = covered(at, at + size, len(best))
     longest = np.zeros(len(texts), np.int64)
-    np.maximum.at(longest, doc, best)
+    np.maximum.at(longest, doc[at], size)
     lo, hi = textops.spans(inside & True)
     if len(inside):  # spans that touch at the border of two documents
         cuts = first[1:-1]
@@ -143,7 +192,8 @@ def _base_failed(x: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def _kept(x: dict[str, np.ndarray]) -> np.ndarray:
-    return ~_base_failed(x) & (x["covered_words"] <= MAX_COVERED * x["n_words"]) & (x["longest_repeat"] <= MAX_REPEAT)
+    long = (x["longest_repeat"] >= LONG) & (x["longest_repeat"] > MAX_REPEAT * x["n_words"])
+    return ~_base_failed(x) & (x["covered_words"] <= MAX_COVERED * x["n_words"]) & ~long
 
 
 def _judge(with_spans: bool):
@@ -169,7 +219,8 @@ def quality(docs: DataFrame, *, with_spans: bool = False) -> DataFrame:
     """Statistics and verdict of each row of docs (needs text; its other columns are passed on).
 
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words
-    (words in repeats of MIN_WORDS or more), longest_repeat, base_failed and kept.
+    (words in maximal repeats of MIN_WORDS or more), longest_repeat (words of the
+    longest of these, 0 without any), base_failed and kept.
     with_spans keeps the text and adds repeats, the united spans as word numbers;
     otherwise the text is dropped. Columns of docs with one of these names are
     replaced. A null text is taken as empty: all counts are 0 and it is rejected.

@@ -79,7 +79,7 @@ def brute_quality(text):
     text = text or ""
     w = WORD.findall(text)
     n, marks, longest = len(w), {}, 0
-    for size in (5, 10):
+    for size in (5, 8):
         seen, hit = collections.Counter(tuple(w[i : i + size]) for i in range(n - size + 1)), set()
         for i in range(n - size + 1):
             if seen[tuple(w[i : i + size])] > 1:
@@ -93,9 +93,10 @@ def brute_quality(text):
         else:
             high = mid - 1
     lines = [x for x in text.split("\n") if WORD.search(x)]
-    longest = low
+    longest = low if low >= 8 else 0
+    long = longest >= 20 and 20 * longest > n
     failed = n < 10 or 100 * marks[5] > 20 * n
-    return (n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), marks[5], marks[10], longest, failed, not failed and marks[10] <= 0.3 * n and longest <= 100)
+    return (n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), marks[5], marks[8], longest, failed, not failed and 100 * marks[8] <= 15 * n and not long)
 
 
 def test_quality_equals_brute_force(docs):
@@ -110,6 +111,51 @@ def test_quality_equals_brute_force(docs):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in rows)
 
 
+def test_the_method_rejects_what_the_base_rule_keeps(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    line, part = fresh(9), fresh(22)
+    texts = [
+        " ".join(fresh(45) + line + fresh(40) + line),  # 18 of 103 words in repeats of nine
+        " ".join(fresh(180) + part + fresh(180) + part),  # one repeat of 22 words in 404
+        " ".join(fresh(300) + part + fresh(300) + part),  # the same, too small a part of 644
+        " ".join(fresh(70) + line + fresh(70) + line),
+        " ".join(fresh(30) + line[:7] + fresh(42) + line[:7]),  # too short for a repeat
+        " ".join(fresh(100)),
+    ]
+    got = repetition.quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert not any(r.base_failed for r in got) and [r.kept for r in got] == [False, False, True, True, True, True]
+    assert [brute_quality(t)[-1] for t in texts] == [r.kept for r in got]
+
+
+def plain_maximal_repeats(words, least):
+    """Occurrences of each repeated substring that can grow neither to the left nor to the right."""
+    places = collections.defaultdict(list)
+    for i in range(len(words)):
+        for j in range(i + least, len(words) + 1):
+            places[tuple(words[i:j])].append(i)
+    grows = lambda at, step: len({words[i + step] if 0 <= i + step < len(words) else ("end", i) for i in at}) == 1
+    return {w: at for w, at in places.items() if len(at) > 1 and not grows(at, -1) and not grows(at, len(w))}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=24), min_size=1, max_size=4), st.integers(1, 4))
+def test_maximal_repeats(docs_of_numbers, least):
+    symbols = np.array([x for d in docs_of_numbers for x in d], np.uint64)
+    doc = np.array([i for i, d in enumerate(docs_of_numbers) for _ in d], np.int64)
+    suffixes, common = repetition.suffix_array(symbols, doc)
+    at, size, found = repetition.maximal_repeats(suffixes, common, symbols, doc, least)
+    first, want, union = 0, collections.Counter(), set()
+    for d in docs_of_numbers:
+        for w, places in plain_maximal_repeats(d, least).items():
+            want[len(w)] += 1
+            union |= {first + p + k for p in places for k in range(len(w))}
+        first += len(d)
+    assert collections.Counter(n for n, _ in found) == want
+    assert {p + k for p, n in zip(at.tolist(), size.tolist(), strict=True) for k in range(n)} == union
+    assert len(at) <= len(symbols)
+
+
 def test_quality_of_nothing(empty):
     assert repetition.quality(empty).count() == 0 and repetition.keep_sound(empty).count() == 0
 
