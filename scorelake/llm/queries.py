@@ -94,9 +94,8 @@ FROM s
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards of nearly equal bytes, at a target of an eighth of all bytes."""
-    docs = table(spark, sf_dir, "documents")
-    shards = sharding.kd_shards(docs, target_bytes=max(1, -(-sharding.total_bytes(docs) // 8)))
+    """Eight shards of nearly equal bytes that keep equal texts together."""
+    shards = sharding.kd_shards(table(spark, sf_dir, "documents"), 8)
     return shards.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 

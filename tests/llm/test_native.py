@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -370,42 +371,61 @@ def test_columns_of_any_name_pass(spark):
 
 def test_shards_equal_a_plain_tree(spark, docs, monkeypatch):
     monkeypatch.setattr(sharding, "TOLERANCE", 0)
-    seen, real = {}, sharding.assign
-
-    def spy(rows, dimensions, leaves):
-        seen.update(rows=rows.collect(), dimensions=dimensions)
-        out = real(rows, dimensions, leaves)
-        seen["shards"] = {r.row: r.shard for r in out.select("row", "shard").collect()}
-        return out
-
-    monkeypatch.setattr(sharding, "assign", spy)
+    parts = {f"d{i}": c for i, c in enumerate([*sharding.group_digits(), *sharding.row_digits()])}
+    rows = sharding.coordinates(docs, ("doc_id",)).cache()
+    plain = rows.select("*", *[c.alias(n) for n, c in parts.items()]).collect()
     for leaves in (2, 5, 8):
-        sharding.kd_shards(docs, leaves)
-        rows, dims = seen["rows"], seen["dimensions"]
-
-        def value(r, k, dims=dims):
-            return sum(r[c] << (12 * (len(dims[k]) - 1 - i)) for i, c in enumerate(dims[k]))
+        got = {r.row: (r.shard, r.cut) for r in sharding.assign(rows, leaves).select("row", "shard", "cut").collect()}
+        share = sum(r.size for r in plain) / leaves
 
         def width(some, k):
-            return max(value(r, k) for r in some) - min(value(r, k) for r in some)
+            return max(r[k] for r in some) - min(r[k] for r in some)
 
         want = {}
 
-        def split(some, first, n, dims=dims, rows=rows, want=want):
+        def split(some, first, n, want=want, share=share):
             if n == 1 or not some:
-                want.update({r.row: first for r in some})
+                want.update({r.row: (first, r.group_bytes > share) for r in some})
                 return
-            widest = max(dims, key=lambda k: width(some, k) / max(1, width(rows, k)))
-            some = sorted(some, key=lambda r: [r[c] for c in (*dims[widest], *sharding.TIES)])
+            widest = max(sharding.DIMENSIONS, key=lambda k: width(some, k) / max(1, width(plain, k)))
+            of = collections.defaultdict(list)
+            for r in some:
+                of[(r[widest], r.text_crc32 >> 24, *[r[f"d{i}"] for i in range(len(sharding.group_digits()))])].append(r)
+            units = []  # whole groups, or the rows of those that exceed a share
+            for _, rs in sorted(of.items()):
+                rs = sorted(rs, key=lambda r: [r[d] for d in parts])
+                units += [rs] if sum(r.size for r in rs) <= share else [[r] for r in rs]
             goal, below, at = sum(r.size for r in some) * (n // 2) / n, 0, 0
-            while below + some[at].size <= goal:
-                below, at = below + some[at].size, at + 1
-            at += 2 * (goal - below) >= some[at].size
-            split(some[:at], first, n // 2)
-            split(some[at:], first + n // 2, n - n // 2)
-
-        split(rows, 0, leaves)
-        assert want == seen["shards"]
+            size = lambda u: sum(r.size for r in u)
+            while below + size(units[at]) <= goal:
+                below, at = below + size(units[at]), at + 1
+            at += 2 * (goal - below) >= size(units[at])
+            split([r for u in units[:at] for r in u], first, n // 2)
+            split([r for u in units[at:] for r in u], first + n // 2, n - n // 2)
+
+        split(plain, 0, leaves)
+        assert want == got
+
+
+def test_equal_texts_stay_together(spark):
+    rng = random.Random(4)
+    texts = [f"text {i} " + "y" * rng.randrange(300) for i in range(150)]
+    rows = [(i, rng.choice(texts), rng.choice(["de", "en", None]), f"s{rng.randrange(30)}") for i in range(900)] + [(None, None, None, None), (3, "", "xx", None)]
+    got = sharding.kd_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 8)
+    assert got.filter("cut").count() == 0 and got.groupBy("text_crc32").agg(F.count_distinct("shard").alias("n")).filter("n > 1").count() == 0
+    sizes = [r.n for r in got.groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.25 * min(sizes)
+    copies = spark.createDataFrame([(i, "a", None, None) for i in range(9)], "doc_id long, text string, lang string, source string")
+    few = sharding.kd_shards(copies, 8).collect()
+    assert {r.shard for r in few} == set(range(8)) and all(r.cut and r.group_bytes == 18 for r in few)
+
+
+def test_ranks(spark):
+    values = spark.createDataFrame([(x,) for x in "fb a cc =z  ".split(" ")] * 3, "value string")
+    ranks, n = sharding.ranked(values)
+    assert [r.value for r in ranks.orderBy("rank").collect()] == sorted({r.value for r in values.collect()}) and n == 5
+    assert sorted(r.rank for r in ranks.collect()) == list(range(5))
+    assert sharding.ranked(values.filter("false"))[1] == 0
 
 
 def test_a_target_of_bytes_sets_the_number_of_shards(spark, docs):
