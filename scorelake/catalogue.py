@@ -10,12 +10,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import clock_seconds, event_type, person_name
-from .operators import gold, silver, timeline
+from .operators import gold, silver
 from .operators.fingerprint import fingerprint
+from .operators.scan import scan
 from .operators.teams import metadata_labels
 from .plans import pipeline, store
 from .plans.serving import Catalog
@@ -405,10 +406,21 @@ def label_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT event_id, coalesce(last_value(CASE WHEN event_id % 5 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS last_known,
   first_value(CASE WHEN event_type = 'click' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_click FROM events""")
 def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fills and look-ahead over an order."""
-    events = read(spark, sf_dir, "events").withColumn("seq", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
-    events = events.withColumns({"known": F.when(F.col("event_id") % 5 == 0, F.col("value")), "click": F.when(F.col("event_type") == "click", F.col("event_id"))})
-    return events.select("event_id", F.coalesce(timeline.fill_forward("known", 0, "user_id", order="seq"), F.lit(0.0)).alias("last_known"), timeline.look_ahead("click", "user_id", order="seq").alias("next_click"))
+    """Fills and look-ahead over an order, in blocks where a user has many events."""
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.when(F.col("event_id") % 5 == 0, F.col("value")).alias("known"), F.when(F.col("event_type") == "click", F.col("event_id")).alias("click"))
+    scanned = scan(events, ["user_id"], ["ts", "event_id"], last={"last_known": "known"}, following={"next_click": "click"})
+    return scanned.select("event_id", F.coalesce("last_known", F.lit(0.0)).alias("last_known"), "next_click")
+
+
+@query("""SELECT l_linestatus, l_orderkey, l_linenumber, row_number() OVER w AS place,
+  last_value(CASE WHEN l_quantity >= 45 THEN l_orderkey END IGNORE NULLS) OVER (PARTITION BY l_linestatus ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_large,
+  first_value(CASE WHEN l_returnflag = 'R' THEN l_orderkey END IGNORE NULLS) OVER (PARTITION BY l_linestatus ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_returned
+FROM lineitem WINDOW w AS (PARTITION BY l_linestatus ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
+def scanned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1-W5 where a key holds a large share of all rows: lines by their status, in blocks of 10,000 in the order of shipping."""
+    lines = read(spark, sf_dir, "lineitem").select("l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_quantity") >= 45, F.col("l_orderkey")).alias("large"), F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")).alias("returned"))
+    scanned = scan(lines, ["l_linestatus"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], number="place", last={"last_large": "large"}, following={"next_returned": "returned"}, block=10_000)
+    return scanned.select("l_linestatus", "l_orderkey", "l_linenumber", "place", "last_large", "next_returned")
 
 
 @query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds, count(*) AS n FROM events GROUP BY user_id HAVING n >= 40")
