@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -232,8 +233,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its personal data replaced; the key comes from spark.scorelake.surrogateKey."""
-    return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get("spark.scorelake.surrogateKey", "rotate-this-key"))
+    """Every document with its personal data replaced; the key comes from spark.scorelake.surrogateKey, and is a fresh random one where that is unset."""
+    key = spark.conf.get("spark.scorelake.surrogateKey", None) or os.urandom(32).hex()
+    return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key=key)
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,14 @@
 Entities are found by one pattern, checked by their type (octets, Luhn digit) and
 replaced by values drawn from a keyed digest (HMAC) of type and canonical value.
 Names are replaced word by word, given names by gender and surnames without, so
-`Mr. John Smith`, `Mr. Smith` and `Mrs. Smith` keep the surname that they share.
+`Mr. John Smith`, `Mr. Smith` and `Mrs. Smith` keep the surname that they share. A
+word of a name that the same text has elsewhere, without a title, is replaced there
+too. An initial becomes that of the surrogate of the given name that the text has
+for it, or else a letter drawn by initial and surname.
 All different entities of the corpus are drawn once; where two draw the same
 surrogate, or one draws a value that occurs as an original, they draw again until
 all are distinct. Later draws come from ever larger ranges, so that any number of
-entities finds its surrogates. Initials are shifted along the alphabet by the key.
+entities finds its surrogates.
 Surrogates cannot belong to anyone where a reserved range exists and has room:
 example domains, 9xx identity numbers, 240/4 addresses.
 """
@@ -15,7 +18,6 @@ example domains, 9xx identity numbers, 240/4 addresses.
 from __future__ import annotations
 
 import hashlib
-import hmac
 from collections.abc import Callable
 from functools import reduce
 
@@ -86,6 +88,8 @@ _TITLED, _NUMBERED = rf"(?:{'|'.join(t for ts in TITLES.values() for t in ts)})[
 #: Kinds of the words of names.
 WORDS = ("given m", "given f", "surname")
 ALPHABET = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ"}
+#: Parts of what is known of a text's entities: a look-up passes these, and then the entities of one part.
+BUCKETS = 512
 #: Draws of the usual size; every later one of an e-mail address, a telephone number or a name is longer by a character, digit or syllable.
 USUAL = 3
 #: Draws from the reserved range of addresses and identity numbers; later ones leave the range or get a further digit each.
@@ -196,24 +200,49 @@ def _word(hexes: Column, kind: str, value: Column, match: Column, attempt: Colum
     return F.when((match == F.upper(match)) & (F.length(match) > 1), F.upper(made)).otherwise(F.initcap(made))
 
 
-def _initial(key: str, letter: Column) -> Column:
-    """Another letter of the same alphabet, by a shift of the key; letters of no alphabet stay."""
+def _initial(key: str, letter: Column, surname: Column) -> Column:
+    """Another letter of the same alphabet, drawn by the key for an initial and a surname; letters of no alphabet stay."""
+    drawn = F.conv(F.substring(_digest(key, F.lit("initial"), F.concat_ws(":", F.lower(letter), surname), F.lit(0), 0), 1, 6), 16, 10).cast("int")
     out = letter
-    for script, alphabet in ALPHABET.items():
-        shift = 1 + hmac.digest(key.encode(), script.encode(), "sha256")[0] % (len(alphabet) - 1)
-        moved = alphabet[shift:] + alphabet[:shift]
-        out = F.translate(out, alphabet + alphabet.lower(), moved + moved.lower())
+    for alphabet in ALPHABET.values():
+        place = F.instr(F.lit(alphabet), F.upper(letter))
+        other = F.substring(F.lit(alphabet), (place + drawn % (len(alphabet) - 1)) % len(alphabet) + 1, F.lit(1))
+        out = F.when(place > 0, F.when(letter == F.upper(letter), other).otherwise(F.lower(other))).otherwise(out)
     return out
 
 
-def _person(key: str, match: Column, attempt: Callable[[Column, Column], Column]) -> Column:
-    """A mention of a person with every word replaced; attempt gives the draw of a kind and value."""
+def _told(draws: Column, kind: Column, value: Column) -> Column:
+    """What is known of a value in this text: the draw of an entity, or the letter of an initial; null if it doesn't occur."""
+    return F.try_element_at(F.try_element_at(draws, F.pmod(F.xxhash64(value), F.lit(BUCKETS))), F.concat_ws(":", kind, value))
 
-    def one(p: Column) -> Column:
-        value = canonical(p["kind"], p["word"])
-        return F.when(p["kind"].isNull(), p["word"]).when(p["kind"] == "initial", _initial(key, p["word"])).otherwise(surrogate(key, p["kind"], p["word"], attempt(p["kind"], value)))
 
-    return F.array_join(F.transform(pieces(match), one), "")
+def _person(key: str, match: Column, draws: Column) -> Column:
+    """A mention of a person with every word replaced."""
+
+    def whole(parts: Column) -> Column:
+        surname = F.lower(F.coalesce(F.try_element_at(F.filter(parts, lambda p: p["kind"] == "surname"), F.lit(-1))["word"], F.lit("")))
+
+        def one(p: Column) -> Column:
+            value = canonical(p["kind"], p["word"])
+            letter = F.coalesce(_told(draws, F.lit("initial"), F.lower(p["word"])), _initial(key, p["word"], surname))
+            drawn = F.coalesce(_told(draws, p["kind"], value).cast("int"), F.lit(0))
+            return F.when(p["kind"].isNull(), p["word"]).when(p["kind"] == "initial", letter).otherwise(surrogate(key, p["kind"], p["word"], drawn))
+
+        return F.array_join(F.transform(parts, one), "")
+
+    return F.transform(F.array(pieces(match)), whole)[0]
+
+
+def _again(key: str, gap: Column, draws: Column) -> Column:
+    """Text between mentions, with the capitalised words replaced that belong to a name elsewhere in it."""
+
+    def one(word: Column) -> Column:
+        value = F.lower(word)
+        drawn = F.coalesce(*[F.when(_told(draws, F.lit(k), value).isNotNull(), F.struct(F.lit(k).alias("kind"), _told(draws, F.lit(k), value).cast("int").alias("attempt"))) for k in reversed(WORDS)])
+        made = F.transform(F.array(drawn), lambda d: F.when(d.isNotNull(), surrogate(key, d["kind"], word, d["attempt"])))[0]
+        return F.when((F.length(word) > 1) & word.rlike(r"^\p{Lu}"), F.coalesce(made, word)).otherwise(word)
+
+    return F.array_join(F.transform(F.regexp_extract_all(gap, F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0)), one), "")
 
 
 def _digits_by_order(pattern: Column, numbers: Column) -> Column:
@@ -269,16 +298,34 @@ def _redrawn(entities: DataFrame, key: str) -> DataFrame | None:
     return later if later.count() else None
 
 
+def _known(texts: DataFrame, later: DataFrame | None, key: str) -> DataFrame:
+    """For each text (key, found) with names or redrawn entities: at, its key, and draws, from part and entity to what _told returns."""
+    named = texts.select("key", F.explode(F.transform("found", lambda m: m["match"])).alias("match")).select("key", F.explode(entities_of(F.col("match"))).alias("e")).select("key", "e.kind", "e.value").distinct()
+    named = named.withColumn("attempt", F.lit(0)) if later is None else named.join(later, ["kind", "value"], "left").fillna(0, ["attempt"])
+    part = lambda value: F.pmod(F.xxhash64(value), F.lit(BUCKETS)).alias("part")
+    words = named.filter(F.col("kind").isin(*WORDS) | (F.col("attempt") > 0)).select("key", part(F.col("value")), F.concat_ws(":", "kind", "value").alias("entity"), F.col("attempt").cast("string").alias("told"))
+    given = named.filter(F.col("kind").isin(*WORDS[:2])).groupBy("key", F.left("value", F.lit(1)).alias("letter")).agg(F.min(F.struct("value", "kind", "attempt")).alias("e"))
+    letter = F.left(surrogate(key, F.col("e.kind"), F.initcap("e.value"), F.col("e.attempt")), F.lit(1))
+    initials = given.select("key", part(F.col("letter")), F.concat_ws(":", F.lit("initial"), "letter").alias("entity"), F.upper(letter).alias("told"))
+    parts = words.unionByName(initials).groupBy("key", "part").agg(F.map_from_entries(F.collect_list(F.struct("entity", "told"))).alias("draws"))
+    return parts.groupBy(F.col("key").alias("at")).agg(F.map_from_entries(F.collect_list(F.struct("part", "draws"))).alias("draws"))
+
+
 def replace(docs: DataFrame, *, key: str) -> DataFrame:
-    """docs with every entity in text replaced, and n_email, n_ip, n_ssn, n_phone, n_card, n_name (counts of replacements).
+    """docs with every entity in text replaced, and n_email, n_ip, n_ssn, n_phone, n_card, n_name (counts of mentions; names behind a title).
 
     The same key gives the same surrogates; equal entities get equal ones and
-    different entities different ones. Null and empty texts stay as they are, with
-    counts of 0; texts without entities are not touched; repeated rows get equal
-    results; an empty table gives an empty result. Columns of docs named like the
-    counts are replaced; all others are passed on, whatever their names. The plan of
-    the result holds what the key is turned into, so plans are as secret as the key.
+    different entities different ones. An empty key raises ValueError. Null and
+    empty texts stay as they are, with counts of 0; texts without entities are not
+    touched; repeated rows get equal results; an empty table gives an empty result.
+    Columns of docs named like the counts are replaced; all others are passed on,
+    whatever their names. The plan of the result holds what the key is turned into,
+    so plans are as secret as the key. Only texts with a title are joined with what
+    is known of their names, by two checksums and the length; time follows the
+    number of words, also of one name.
     """
+    if not key:
+        raise ValueError("surrogates need a key")
     counts = [f"n_{k}" for k in KINDS]
     docs = docs.drop(*counts)
     columns = docs.columns
@@ -286,24 +333,32 @@ def replace(docs: DataFrame, *, key: str) -> DataFrame:
     entities = checkpointed(found.select(F.explode(entities_of(F.col("match"))).alias("e")).groupBy("e.kind", "e.value").agg(F.min("e.match").alias("match")))
     later = _redrawn(entities, key)
 
-    rows = docs.select(F.struct(*columns).alias("row"), "text", F.transform(mentions(F.col("text")), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"))).alias("found"))
-    if later is None:
-        attempt = lambda kind, value: F.lit(0)
-    else:  # only texts that mention such an entity are joined, by two checksums and the length
-        rows = rows.withColumn("key", F.struct(F.xxhash64("text").alias("x"), F.crc32(F.col("text").cast("binary")).alias("c"), F.length("text").alias("n")))
-        named = rows.filter(F.size("found") > 0).select("key", F.explode(F.transform("found", lambda m: m["match"])).alias("match")).select("key", F.explode(entities_of(F.col("match"))).alias("e")).select("key", "e.kind", "e.value").distinct()
-        drawn = checkpointed(named.join(later, ["kind", "value"]).groupBy(F.col("key").alias("at")).agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "value"), "attempt"))).alias("draws")))
-        size = drawn.agg(F.count("*"), F.sum(F.size("draws"))).first()
-        rows = rows.join(bounded(drawn, size[0] + (size[1] or 0), 160), F.col("key") == F.col("at"), "left")
-        attempt = lambda kind, value: F.coalesce(F.try_element_at("draws", F.concat_ws(":", kind, value)), F.lit(0))
-
-    def one(m: Column) -> Column:
-        single = surrogate(key, m["kind"], m["match"], attempt(m["kind"], canonical(m["kind"], m["match"])))
-        return F.when(m["kind"].isNull(), m["match"]).when(m["kind"] == "name", _person(key, m["match"], attempt)).otherwise(single)
-
-    gaps = _by_shape(F.col("text"), lambda p: F.split(F.col("text"), p, -1), F.array(F.col("text")))
-    text = F.array_join(F.zip_with(gaps, F.transform("found", one), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    some = F.exists("found", lambda m: m["kind"].isNotNull())
-    number = lambda k: F.coalesce(F.size(F.filter("found", lambda m: m["kind"] == k)).cast("long"), F.lit(0).cast("long")).alias(f"n_{k}")
-    clean = F.when(some, text).otherwise(F.col("text"))
-    return rows.select(*[clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in columns], *map(number, KINDS))
+    titled = F.coalesce(F.col("text").rlike(_TITLED), F.lit(False))
+    if later is not None and not later.filter(~F.col("kind").isin(*WORDS)).isEmpty():
+        titled = titled | F.coalesce(F.col("text").rlike(_NUMBERED), F.lit(False))
+    others = F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"], F.lit(0).alias("_none"))
+    rows = docs.select(others.alias("row"), "text", F.transform(mentions(F.col("text")), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"))).alias("found"))
+    joined = rows.filter(titled).withColumn("key", F.struct(F.xxhash64("text").alias("x"), F.crc32(F.col("text").cast("binary")).alias("c"), F.length("text").alias("n")))
+    known = checkpointed(_known(joined.filter(F.size("found") > 0), later, key))
+    size = known.agg(F.count("*"), F.sum(F.aggregate(F.map_values("draws"), F.lit(0), lambda n, m: n + F.size(m)))).first()
+    joined = joined.join(bounded(known, size[0] + (size[1] or 0), 160), F.col("key") == F.col("at"), "left")
+
+    def replaced(part: DataFrame, names: bool) -> DataFrame:
+        draws = F.col("draws") if names else F.lit(None).cast("map<bigint,map<string,string>>")
+
+        def one(m: Column) -> Column:
+            drawn = F.coalesce(_told(draws, m["kind"], canonical(m["kind"], m["match"])).cast("int"), F.lit(0)) if names else F.lit(0)
+            out = F.when(m["kind"].isNull(), m["match"])
+            out = out.when(m["kind"] == "name", _person(key, m["match"], draws)) if names else out
+            return out.otherwise(surrogate(key, m["kind"], m["match"], drawn))
+
+        gaps = _by_shape(F.col("text"), lambda p: F.split(F.col("text"), p, -1), F.array(F.col("text")))
+        if names:
+            gaps = F.when(draws.isNotNull(), F.transform(gaps, lambda g: _again(key, g, draws))).otherwise(gaps)
+        text = F.array_join(F.zip_with(gaps, F.transform("found", one), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+        some = F.exists("found", lambda m: m["kind"].isNotNull())
+        number = lambda k: F.coalesce(F.size(F.filter("found", lambda m: m["kind"] == k)).cast("long"), F.lit(0).cast("long")).alias(f"n_{k}")
+        clean = F.when(some, text).otherwise(F.col("text"))
+        return part.select(*[clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in columns], *map(number, KINDS))
+
+    return replaced(joined, True).unionByName(replaced(rows.filter(~titled), False))
