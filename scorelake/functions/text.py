@@ -43,6 +43,15 @@ PLAYER_ENDS = {
     "TURNOVER": (r"\s*\([^)]+\)",),
     "GROUND_BALL": (),
 }
+#: Phrases of play texts that name further players or tell details.
+GOALIE_FOR = r"^(.+?)\s+at goalie for "
+ASSISTED, ASSIST = ", Assist by ", r",\s*Assist by (.+?)(?:,\s*goal number|$)"
+SAVED, SAVE = ", SAVE ", r",\s*SAVE\s+(?:by\s+)?(.+?)\.?$"
+CAUSED_BY = r"\(caused by ([^)]+)\)"
+FACEOFF_FIRST, FACEOFF_SECOND = r"^Faceoff\s+(.+?)\s+vs\s+", r"\s+vs\s+(.+?)\s+won by\s+"
+FACEOFF_PICKUP = "^Faceoff.*Ground ball pickup by (.+)$"
+VIOLATION, EXTRA_MAN, CLEARED = "on faceoff violation", "Extra-man opportunity", " good"
+PENALTY_TERM = r"\(([^/]+)/(\d+):(\d+)\)"
 #: Endings of a person's name, and names that are no person.
 NAME_ENDINGS = ("JR", "JR.", "SR", "SR.", "II", "III", "IV", "V")
 NO_PERSON = ("TEAM", "TM", "BENCH")
