@@ -133,8 +133,15 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def lake(spark: SparkSession) -> str:
-    """A new folder in the session's warehouse, in whatever store that is."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scorelake-{uuid.uuid4().hex}"
+    """A new folder in the place that the cluster shares: spark.checkpoint.dir, or else the session's warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/scorelake-{uuid.uuid4().hex}"
+
+
+def tidy(root: str, *names: str) -> None:
+    """Delete what a result doesn't read any more."""
+    for name in names:
+        files.remove(files.place(f"{root}/{name}"))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
@@ -161,6 +168,7 @@ def stored_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = [s for s in snapshots if s[0] % 2 == 0]
     if again:
         store.replace_keys(spark, table, silver.silver_plays(spark, again), "contest_id", [c for c, _, _ in again])
+    tidy(root, "raw")
     return store.read_table(spark, table).drop("play_text")
 
 
@@ -170,6 +178,7 @@ def published_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = lake(spark)
     manifest = synth.write_folder(documents(spark, sf_dir), f"{root}/raw")
     pipeline.run(spark, manifest, f"{root}/tables")
+    tidy(root, "raw", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
     return Catalog.open(spark, f"{root}/tables/gold").fact_plays.drop("play_text")
 
 
@@ -192,6 +201,7 @@ def refreshed_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = files.text(first) + files.text(synth.write_folder(again, f"{root}/raw-again"))
     files.put(f"{root}/both.jsonl", both)
     pipeline.run(spark, f"{root}/both.jsonl", f"{root}/tables")
+    tidy(root, "raw", "raw-again", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
     found = Catalog.open(spark, f"{root}/tables/gold")
     return found.fact_plays.join(found.dim_contests.select("contest_id", "title"), "contest_id").drop("play_text", "color")
 
