@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import clock_seconds, event_type, person_name
-from .operators import gold, silver
+from .operators import gold, pages, silver
 from .operators.fingerprint import fingerprint
 from .operators.scan import scan
 from .operators.teams import metadata_labels
@@ -445,6 +445,22 @@ def orders_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").orderBy(F.col("o_orderpriority").desc_nulls_last(), F.col("o_orderkey").asc_nulls_last()).offset(100).limit(40).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey LIMIT 50 OFFSET (SELECT count(*) // 2 FROM lineitem)")
+def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page in the middle of a total order, found by order statistics; the limit is the page."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return pages.page(lines, "l_extendedprice", ["l_orderkey", "l_linenumber", "l_partkey"], descending=True, offset=lines.count() // 2, limit=50)
+
+
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays ORDER BY game_seconds_elapsed DESC NULLS LAST, contest_id, play_seq, play_id LIMIT 60 OFFSET (SELECT count(*) // 2 FROM plays)")
+def plays_page_in_the_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page at an offset of half of all plays of a published generation; the limit is the page."""
+    root = lake(spark)
+    store.publish(spark, tables(spark, sf_dir), root)
+    found = Catalog.open(spark, root)
+    return found.plays(order_by="game_seconds_elapsed", order_desc=True, limit=60, offset=found.fact_plays.count() // 2).drop("play_text", "color", "name_full")
+
+
 @query("SELECT l_returnflag, count(*) AS lines, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY ALL")
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts; the fingerprints of each group as a multiset must agree between two layouts of the table."""

@@ -64,9 +64,10 @@ def scan(rows: DataFrame, keys: list[str], order: list[str], *, number: str | No
     last, following = last or {}, following or {}
     blocked, several, blocks = with_blocks(rows, keys, order[0], block)
     by = Window.partitionBy(*keys, "_block").orderBy(*[F.asc_nulls_first(c) for c in order])
-    behind, ahead = by.rowsBetween(Window.unboundedPreceding, Window.currentRow), by.rowsBetween(1, Window.unboundedFollowing)
+    back = Window.partitionBy(*keys, "_block").orderBy(*[F.desc_nulls_last(c) for c in order])
+    behind, ahead = by.rowsBetween(Window.unboundedPreceding, Window.currentRow), back.rowsBetween(Window.unboundedPreceding, -1)  # frames that end with the partition take quadratic time
     local = {f"_at_{k}": F.last(c, ignorenulls=True).over(behind) for k, c in last.items()}
-    local |= {f"_at_{k}": F.first(c, ignorenulls=True).over(ahead) for k, c in following.items()}
+    local |= {f"_at_{k}": F.last(c, ignorenulls=True).over(ahead) for k, c in following.items()}
     local["_number"] = F.row_number().over(by).cast("long")
     within = blocked.withColumns(local)
     if not blocks:

@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import pages
 from ..operators.gold import expected_loss, shot_rates
 from ..sources import files
 from . import store
@@ -17,6 +18,8 @@ from . import store
 ROLES = ("primary_player_name", "secondary_player_name", "caused_by_player_name", "faceoff_winner_player", "faceoff_loser_player")
 SORT_KEYS = ("play_seq", "game_seconds_elapsed", "game_seconds_remaining_reg", "period_seconds_remaining", "period_number", "play_id")
 TIES = ("contest_id", "play_seq", "play_id")
+#: Offset from which on a page is found before it is sorted.
+DEEP = 5000
 #: Shot results of the retention table, in order, and the results that are shown under another name.
 RETENTION = ("SAVE", "WIDE", "HIGH", "HIT POST", "HIT CROSSBAR", "BLOCKED")
 SHOWN_AS = {"POST": "HIT POST", "CROSSBAR": "HIT CROSSBAR"}
@@ -79,9 +82,7 @@ def conditions(**arguments: Any) -> Column:
 
 def ordered(plays: DataFrame, order_by: str = "play_seq", descending: bool = False) -> DataFrame:
     """A total order by an allowed key (else play_seq), nulls last either way, ties by contest, sequence and id."""
-    key = order_by if order_by in SORT_KEYS else "play_seq"
-    first = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
-    return plays.orderBy(first, *[F.col(c).asc_nulls_last() for c in TIES if c != key])
+    return pages.in_order(plays, order_by if order_by in SORT_KEYS else "play_seq", TIES, descending)
 
 
 def rounded_ratio(top: Column, bottom: Column) -> Column:
@@ -156,12 +157,22 @@ class Catalog:
         keep = F.coalesce(short, F.lit(False)) | F.coalesce(as_text, F.lit(False)) | F.col("_is_own").isNotNull() | F.col("_is_cause").isNotNull()
         return plays.filter(keep).drop("_own", "_is_own", "_team", "_is_cause")
 
-    def plays(self, *, team: str | None = None, order_by: str = "play_seq", order_desc: bool = False, limit: int | None = 100, offset: int = 0, **filters: Any) -> DataFrame:
-        """A page of plays, or all from the offset with a limit of None; the arguments are those of CONDITIONS, and team."""
+    def plays(self, *, team: str | None = None, order_by: str = "play_seq", order_desc: bool = False, limit: int | None = 100, offset: int = 0, after: dict[str, Any] | None = None, **filters: Any) -> DataFrame:
+        """A page of plays, or all from the offset with a limit of None; the arguments are those of CONDITIONS, and team.
+
+        after: the last row of the page before (its sort key and TIES), in place of
+        an offset. From an offset of DEEP on, the place of the page is found first,
+        so that only the rows near it are sorted.
+        """
+        key = order_by if order_by in SORT_KEYS else "play_seq"
         found = self.fact_plays.filter(conditions(**filters))
         if team:
             found = self._of_team(found, team)
-        page = ordered(found, order_by, order_desc).offset(offset)
+        if after:
+            found = found.filter(pages.beyond(key, TIES, after, order_desc))
+        if limit is not None and offset >= DEEP:
+            return pages.page(found, key, TIES, descending=order_desc, offset=offset, limit=limit)
+        page = ordered(found, key, order_desc).offset(offset)
         return page if limit is None else page.limit(limit)
 
     def caused_turnovers(self, contest_id: int | None = None, defending_team_down_by: int | None = None, max_period_seconds: int | None = None, min_period: int | None = 4, limit: int = 50) -> DataFrame:
