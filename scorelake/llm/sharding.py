@@ -139,7 +139,7 @@ def coordinates(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         F.struct(*keep).alias("kept"), F.xxhash64(F.col("doc_id").cast("string")).alias("id"), size.alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
         F.xxhash64(text).alias("hash"), told("lang").alias("lang_value"), told("source").alias("source_value"), F.monotonically_increasing_id().alias("row"),
     ))
-    groups = light.groupBy("text_crc32", "hash").agg(F.sum("size").alias("group_bytes"), F.min("lang_value").alias("lang_value"), F.min("source_value").alias("source_value"))
+    groups = checkpointed(light.groupBy("text_crc32", "hash").agg(F.sum("size").alias("group_bytes"), F.min("lang_value").alias("lang_value"), F.min("source_value").alias("source_value")))  # so that both sides of the last join are dealt anew and a hot group is split
     for name in ("lang", "source"):
         ranks, n = ranked(groups.select(F.col(f"{name}_value").alias("value")))
         place = F.shiftright("rank", max(0, n.bit_length() - 2 * BITS)).alias(f"{name}_at")
