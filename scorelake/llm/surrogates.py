@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, checkpointed
+from .common import BROADCAST_BYTES, checkpointed
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Titles that tell a person's gender, by script.
@@ -300,7 +300,8 @@ def _redrawn(entities: DataFrame, key: str) -> DataFrame | None:
 
 def _known(texts: DataFrame, later: DataFrame | None, key: str) -> DataFrame:
     """For each text (key, found) with names or redrawn entities: at, its key, and draws, from part and entity to what _told returns."""
-    named = texts.select("key", F.explode(F.transform("found", lambda m: m["match"])).alias("match")).select("key", F.explode(entities_of(F.col("match"))).alias("e")).select("key", "e.kind", "e.value").distinct()
+    named = texts.select("key", F.explode(F.transform("found", lambda m: m["match"])).alias("match")).distinct()
+    named = checkpointed(named.select("key", F.explode(entities_of(F.col("match"))).alias("e")).select("key", "e.kind", "e.value").distinct())
     named = named.withColumn("attempt", F.lit(0)) if later is None else named.join(later, ["kind", "value"], "left").fillna(0, ["attempt"])
     part = lambda value: F.pmod(F.xxhash64(value), F.lit(BUCKETS)).alias("part")
     words = named.filter(F.col("kind").isin(*WORDS) | (F.col("attempt") > 0)).select("key", part(F.col("value")), F.concat_ws(":", "kind", "value").alias("entity"), F.col("attempt").cast("string").alias("told"))
@@ -338,10 +339,11 @@ def replace(docs: DataFrame, *, key: str) -> DataFrame:
         titled = titled | F.coalesce(F.col("text").rlike(_NUMBERED), F.lit(False))
     others = F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"], F.lit(0).alias("_none"))
     rows = docs.select(others.alias("row"), "text", F.transform(mentions(F.col("text")), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"))).alias("found"))
-    joined = rows.filter(titled).withColumn("key", F.struct(F.xxhash64("text").alias("x"), F.crc32(F.col("text").cast("binary")).alias("c"), F.length("text").alias("n")))
+    keyed = F.struct(F.xxhash64("text").alias("x"), F.crc32(F.col("text").cast("binary")).alias("c"), F.length("text").alias("n"))
+    joined = rows.filter(titled).withColumn("key", keyed)
     known = checkpointed(_known(joined.filter(F.size("found") > 0), later, key))
     size = known.agg(F.count("*"), F.sum(F.aggregate(F.map_values("draws"), F.lit(0), lambda n, m: n + F.size(m)))).first()
-    joined = joined.join(bounded(known, size[0] + (size[1] or 0), 160), F.col("key") == F.col("at"), "left")
+    few = (size[0] + (size[1] or 0)) * 160 <= BROADCAST_BYTES
 
     def replaced(part: DataFrame, names: bool) -> DataFrame:
         draws = F.col("draws") if names else F.lit(None).cast("map<bigint,map<string,string>>")
@@ -361,4 +363,6 @@ def replace(docs: DataFrame, *, key: str) -> DataFrame:
         clean = F.when(some, text).otherwise(F.col("text"))
         return part.select(*[clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in columns], *map(number, KINDS))
 
-    return replaced(joined, True).unionByName(replaced(rows.filter(~titled), False))
+    if few:  # one pass, and no shuffle
+        return replaced(rows.withColumn("key", F.when(titled, keyed)).join(F.broadcast(known), F.col("key") == F.col("at"), "left"), True)
+    return replaced(joined.join(known, F.col("key") == F.col("at"), "left"), True).unionByName(replaced(rows.filter(~titled), False))

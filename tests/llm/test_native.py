@@ -309,7 +309,7 @@ def test_names_that_share_words_keep_sharing_them(spark):
     assert e[0] == a[0] and i[0] != "K"  # J. is John's initial; nobody's given name begins with K
 
 
-def test_names_are_replaced_where_their_text_has_no_title(spark):
+def test_names_are_replaced_where_their_text_has_no_title(spark, monkeypatch):
     rows = [
         (1, "Herr Müller, Müller und MÜLLER; müller, Müllers"),
         (2, "Smith said so. Mr. Smith and John Smith's dog, Mr. John Jones and J. Smith, Smith-Jones"),
@@ -324,6 +324,9 @@ def test_names_are_replaced_where_their_text_has_no_title(spark):
     assert got[3].text == rows[2][1]
     vera, stone, stone2, v, stone3, q, stone4, vera2 = re.fullmatch(r"Mrs\. (\w+) (\w+) met V\. (\w+), and Mr\. (\w)\. (\w+) and Mr\. (\w)\. (\w+), and (\w+)", got[4].text).groups()
     assert len({stone, stone2, stone3, stone4}) == 1 and vera == vera2 and v == vera[0] and q != "Q"
+    monkeypatch.setattr(surrogates, "BROADCAST_BYTES", 0)  # what is known of names is joined by a shuffle
+    again = surrogates.replace(spark.createDataFrame([*rows, (5, "nobody"), (6, None)], "doc_id long, text string"), key="k").collect()
+    assert {r.doc_id: r.text for r in again} == {k: r.text for k, r in got.items()} | {5: "nobody", 6: None}
     with pytest.raises(ValueError, match="key"):
         surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), key="")
 
