@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import clock_seconds, event_type, person_name
-from .operators import gold, pages, silver
+from .operators import gold, grams, pages, silver
 from .operators.fingerprint import fingerprint
 from .operators.scan import scan
 from .operators.teams import metadata_labels
 from .plans import pipeline, store
-from .plans.serving import Catalog
+from .plans.serving import ROLES, Catalog
 from .sources import files, synth
 from .sources.documents import latest_snapshots
 
@@ -299,6 +299,26 @@ def all_plays_of_team_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog(spark, sf_dir).plays(team="club h1", limit=None).drop("play_text", "color", "name_full")
 
 
+@query(EXPECTED + f"SELECT {_PLAYS} FROM plays WHERE primary_player_name ILIKE '%im 3 a%' OR secondary_player_name ILIKE '%im 3 a%' OR caused_by_player_name ILIKE '%im 3 a%' OR faceoff_winner_player ILIKE '%im 3 a%' OR faceoff_loser_player ILIKE '%im 3 a%'")
+def plays_by_part_of_a_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All plays with a part of a player's name, by a stored index of trigrams; files of other contests aren't opened."""
+    root = lake(spark)
+    store.replace_keys(spark, f"{root}/plays", silver.plays_of(documents(spark, sf_dir)), "contest_id", None)
+    plays = store.read_table(spark, f"{root}/plays")
+    store.replace_keys(spark, f"{root}/grams", grams.index_of(plays, list(ROLES), "contest_id"), "gram", None)
+    index = store.read_table(spark, f"{root}/grams", keys=("gram", grams.wanted(plays, "im 3 a")))
+    return grams.search(plays, index, list(ROLES), "contest_id", "im 3 a").drop("play_text")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%a_n%ed%' OR p_type ILIKE '%a_n%ed%' OR p_name ILIKE '%red%' OR p_type ILIKE '%red%'")
+def parts_by_part_of_a_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by pieces of their names and types; one pattern has wildcards within, and too few letters for the index."""
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    index = grams.index_of(parts, ["p_name", "p_type"], "p_partkey")
+    found = [grams.search(parts, index, ["p_name", "p_type"], "p_partkey", x) for x in ("a_n%ed", "red")]
+    return found[0].union(found[1]).select("p_partkey", "p_name").distinct()
+
+
 @query(EXPECTED + """SELECT play_id, contest_id, play_seq, period_number, clock_display, period_seconds_remaining, primary_player_name AS turnover_committer, event_team_short AS turnover_team,
   caused_by_player_name AS caused_by_player, caused_by_team_id, running_home_score, running_visitor_score, event_team_margin AS committer_team_margin, -event_team_margin AS defending_team_margin
 FROM plays WHERE event_type = 'TURNOVER' AND caused_by_player_name IS NOT NULL AND period_number >= 4 AND event_team_margin = 1 ORDER BY play_seq, contest_id, play_id LIMIT 50""")

@@ -233,11 +233,11 @@ def _open(spark: SparkSession, root: Place, schema: str | None, files: list[str]
     return (spark.read.schema(saved) if saved else spark.read).parquet(*[str(fs.join(root, f)) for f in files])
 
 
-def read_table(spark: SparkSession, root: Place, *, number: int | None = None, where: dict[str, Any] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, root: Place, *, number: int | None = None, where: dict[str, Any] | None = None, keys: tuple[str, Iterable[int]] | None = None) -> DataFrame:
     """A table after a commit, the last one by default; a table without any is refused.
 
     where: a value, or a pair of least and greatest value (None: no bound), by
-    column. Files that the statistics rule out aren't opened; the rest is filtered
+    column. keys: the key column and the values of it that are wanted. Files that the statistics rule out aren't opened; the rest is filtered
     row by row.
     """
     root = fs.place(root)
@@ -246,7 +246,12 @@ def read_table(spark: SparkSession, root: Place, *, number: int | None = None, w
     now = state(root, number)
     bounds = {c: v if isinstance(v, tuple) else (v, v) for c, v in (where or {}).items()}
     chosen = [f for f, s in now.files.items() if all(may_hold(s, c, *b) for c, b in bounds.items())]
+    if keys:
+        column, listed = keys[0], sorted({int(k) for k in keys[1]})
+        chosen = [f for f in chosen if may_hold_any(now.files[f], column, listed)]
     rows = _open(spark, root, now.schema, chosen)
+    if keys:
+        rows = rows.join(bounded(spark.createDataFrame([(k,) for k in listed], f"{column} long"), len(listed)), column, "left_semi") if len(listed) > LISTED else rows.filter(F.col(column).isin(listed))
     for c, (low, high) in bounds.items():
         rows = rows.filter(F.col(c) == low) if low == high and low is not None else rows
         if low != high:
