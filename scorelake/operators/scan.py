@@ -28,29 +28,46 @@ def _same(keys: list[str], other: str) -> Column:
     return out
 
 
+def _places_among(rows: DataFrame, cuts: str, place: str, most: int) -> DataFrame:
+    """rows with _block, how many of the row's sorted cuts (at most `most`) lie below its place; 0 where either is null.
+
+    A binary search of one column per step: the steps grow with the logarithm of
+    the cuts, and no row takes a copy of them.
+    """
+    rows = rows.withColumn("_block", F.lit(0))
+    for k in reversed(range(most.bit_length())):
+        probe = F.get(F.col(cuts), F.col("_block") + F.lit((1 << k) - 1))
+        rows = rows.withColumn("_block", F.col("_block") + F.when(probe < F.col(place), F.lit(1 << k)).otherwise(F.lit(0)))
+    return rows
+
+
 def with_blocks(rows: DataFrame, keys: list[str], order: str, block: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
     """rows with _block, the number of the row's block within its key; the keys that have several blocks; how many these have at most.
 
     order is a number or a time; null comes first, and equal values lie in one
     block. The cuts are quantiles of the order, found by a mergeable sketch for
-    the large keys alone; there are no more of these than rows / block.
+    the large keys alone; there are no more of these than rows / block. Keys that
+    need 2^k to 2^(k+1) - 1 parts are cut alike, into the most that one of them
+    needs, so that all cuts together stay in proportion to rows / block.
     """
     spark = rows.sparkSession
     large = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > block)
-    found = large.collect()  # rows / block at most
-    if not found:
+    needed = [(tuple(r)[:-1], -(-r["_n"] // block)) for r in large.collect()]  # rows / block at most
+    if not needed:
         return rows.withColumn("_block", F.lit(0)), large, 0
-    parts = max(-(-r["_n"] // block) for r in found)
-    names = bounded(spark.createDataFrame([tuple(r)[:-1] for r in found], rows.select(*keys).schema), len(found), 256)
-    held = rows.alias("rows").join(names.alias("names"), _same(keys, "names"), "left_semi")
+    most = {parts.bit_length(): parts for parts in sorted(parts for _, parts in needed)}
+    found, sizes = [(key, most[parts.bit_length()]) for key, parts in needed], sorted(most.values())
+    blocks, schema = sum(parts for _, parts in found), rows.select(*keys).schema
+    named = bounded(spark.createDataFrame([(*key, parts) for key, parts in found], T.StructType([*schema.fields, T.StructField("_parts", T.IntegerType())])), len(found), 256)
+    names = named.drop("_parts")
     timed = dict(rows.dtypes)[order].startswith("timestamp")
     place = (F.unix_micros(F.col(order).cast("timestamp")) if timed else F.col(order)).cast("double")
-    shares = [k / parts for k in range(1, parts)]
-    cuts = held.groupBy(*keys).agg(F.percentile_approx(place, shares, ACCURACY).alias("_cuts")).collect()  # as many
-    table = bounded(spark.createDataFrame([tuple(r) for r in cuts], T.StructType([*names.schema.fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])), len(cuts), 256 + 8 * parts)
-    joined = rows.alias("rows").join(table.alias("table"), _same(keys, "table"), "left")
-    below = F.size(F.filter(F.coalesce("table._cuts", F.array().cast("array<double>")), lambda c: c < place))
-    return joined.select("rows.*", below.alias("_block")), names, parts * len(found)
+    held = rows.withColumn("_place", place).alias("rows").join(named.alias("names"), _same(keys, "names")).select("rows.*", "_parts")
+    sketches = [F.percentile_approx(F.when(F.col("_parts") == n, F.col("_place")), [k / n for k in range(1, n)], ACCURACY) for n in sizes]
+    cuts = held.groupBy(*keys).agg(F.coalesce(*sketches).alias("_cuts")).collect()  # blocks in all
+    table = bounded(spark.createDataFrame([tuple(r) for r in cuts], T.StructType([*schema.fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])), 1, 256 * len(cuts) + 8 * blocks)
+    joined = rows.withColumn("_place", place).alias("rows").join(table.alias("table"), _same(keys, "table"), "left").select("rows.*", "_cuts")
+    return _places_among(joined, "_cuts", "_place", sizes[-1] - 1).drop("_place", "_cuts"), names, blocks
 
 
 def scan(rows: DataFrame, keys: list[str], order: list[str], *, number: str | None = None, last: dict[str, str] | None = None, following: dict[str, str] | None = None, block: int = BLOCK) -> DataFrame:
@@ -78,10 +95,10 @@ def scan(rows: DataFrame, keys: list[str], order: list[str], *, number: str | No
     handed += [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_end_{k}") for k, c in following.items()]
     large = blocked.alias("rows").join(several.alias("several"), _same(keys, "several"), "left_semi")
     ends = large.groupBy(*keys, "_block").agg(F.count("*").alias("_rows"), *handed)
-    along = Window.partitionBy(*keys).orderBy("_block")  # a row per block
-    before, after = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+    along = Window.partitionBy(*keys)  # a row per block
+    before, after = (along.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc("_block"), F.desc("_block")))
     carried = {f"_carry_{k}": F.last(f"_end_{k}", ignorenulls=True).over(before) for k in last}
-    carried |= {f"_carry_{k}": F.first(f"_end_{k}", ignorenulls=True).over(after) for k in following}
+    carried |= {f"_carry_{k}": F.last(f"_end_{k}", ignorenulls=True).over(after) for k in following}
     carried["_before"] = F.sum("_rows").over(before)
     states = ends.withColumns(carried).select(*keys, "_block", *carried)
     joined = within.alias("rows").join(bounded(states, blocks, 256).alias("states"), _same([*keys, "_block"], "states"), "left")

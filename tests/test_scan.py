@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +57,27 @@ def test_no_task_holds_a_hot_key(spark):
     hot = got.filter("k = -1")
     assert hot.agg(F.max("n"), F.count_distinct("n")).first() == (sum(sizes), sum(sizes))
     assert hot.filter("id > 200 AND (known IS NULL OR id - known > 300)").count() == 0
+
+
+def test_time_follows_the_rows_and_not_the_blocks(spark):
+    """Rows times blocks would be 4e9 comparisons of a cut with a row's place."""
+    n = 400_000
+    df = spark.range(n).select((F.col("id") % 2).alias("k"), F.col("id").alias("at"), F.when(F.col("id") % 100 < 2, F.col("id")).alias("v"))
+    began = time.perf_counter()
+    scan(df.filter("id < 4000"), ["k"], ["at"], number="n", last={"known": "v"}, following={"next": "v"}, block=20).agg(F.count("*")).first()
+    few = time.perf_counter() - began
+    blocked, several, blocks = with_blocks(df, ["k"], "at", 20)
+    assert blocks == n // 20 and several.count() == 2
+    wrong = (F.col("n") != F.floor(F.col("at") / 2) + 1) | (F.col("known") != F.col("at") - F.col("at") % 100 + F.col("k")) | (F.col("next") != F.col("at") - F.col("at") % 100 + 100 + F.col("k"))
+    began = time.perf_counter()
+    got = scan(df, ["k"], ["at"], number="n", last={"known": "v"}, following={"next": "v"}, block=20).agg(F.count("*"), F.count_if(wrong), F.count_if(F.col("next").isNull())).first()
+    assert tuple(got) == (n, 0, 100)
+    assert time.perf_counter() - began < 20 + 10 * few
+
+
+def test_keys_of_many_sizes_are_cut_in_proportion(spark):
+    df = spark.range(60_000).select(F.floor(F.log2(F.col("id") + 1)).alias("k"), "id")
+    blocked, several, blocks = with_blocks(df, ["k"], "id", 100)
+    sizes = blocked.groupBy("k", "_block").count().collect()
+    assert blocks <= 2 * 600 + several.count() and max(r["count"] for r in sizes) <= 110
+    assert several.count() == 9 and len(sizes) == blocks + 7
