@@ -120,6 +120,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows from which on another task is worth its while where a row makes much work of few bytes.
+TASK_ROWS = 100_000
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """rows in a task per TASK_ROWS, where a small file would be one task's work, or a few."""
+    tasks = -(-rows.count() // TASK_ROWS)
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synth.event_documents(read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
 
@@ -430,7 +440,8 @@ def label_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that names suggest."""
     full = F.concat(F.lit("By "), F.col("c_mktsegment"), F.lit("  "), F.col("c_name"), F.lit(". "))
     labels = metadata_labels(full, F.col("c_mktsegment"), full)
-    return read(spark, sf_dir, "customer").select("c_custkey", F.array_join(F.array_sort(labels), "|").alias("labels"))
+    names = spread(read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_name"))
+    return names.select("c_custkey", F.array_join(F.sort_array(labels), "|").alias("labels"))
 
 
 @query("""SELECT event_id, coalesce(last_value(CASE WHEN event_id % 5 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS last_known,

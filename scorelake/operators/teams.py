@@ -8,6 +8,8 @@ team and to a pattern of all labels.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,12 +22,24 @@ BORDER = r"(?=[\s,.(]|$)"
 
 
 def metadata_labels(short: Column, six: Column, full: Column) -> Column:
-    """Labels that a team's names suggest: the names, their initials, and the short name cut off behind each letter from SHORTEST on."""
-    names = F.filter(F.transform(F.array(short, six, full), label), lambda n: n != "")
-    initials = F.transform(names, lambda n: F.regexp_replace(n, r"(\S)\S*\s*", "$1"))
-    name = F.coalesce(label(short), F.lit(""))
-    cut = F.transform(F.split(name, ""), lambda c, i: F.rtrim(F.substring(name, F.lit(1), i + 1)))
-    return F.array_distinct(F.concat(names, initials, F.slice(cut, SHORTEST, F.length(name))))
+    """Labels that a team's names suggest: the names, their initials, and the short name cut off behind each letter from SHORTEST on.
+
+    Each name is made a label once, however many letters it has.
+    """
+
+    def suggested(made: Column) -> Column:
+        names, name = F.filter(made, lambda n: n != ""), F.coalesce(F.get(made, F.lit(0)), F.lit(""))
+        initials = F.transform(names, lambda n: F.regexp_replace(n, r"(\S)\S*\s*", "$1"))
+        lengths = F.when(F.length(name) >= SHORTEST, F.sequence(F.lit(SHORTEST), F.length(name))).otherwise(F.array().cast("array<int>"))
+        cut = F.transform(lengths, lambda k: F.rtrim(F.substring(name, F.lit(1), k)))
+        return F.array_distinct(F.concat(names, initials, cut))
+
+    return once(F.transform(F.array(short, six, full), label), suggested)
+
+
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value evaluated once, wherever then has it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 ENTRY = "array<struct<label: string, team_id: bigint, observed: boolean>>"

@@ -3,7 +3,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from scorelake import catalogue
 from scorelake.functions.text import clock_seconds, event_type, label, person_name, shot_result
+from scorelake.operators.teams import metadata_labels
 
 NAMES = {
     "Vale, Jo": "Jo Vale",
@@ -58,3 +60,16 @@ def test_clock_without_colon_is_zero_and_bad_digits_raise(spark):
 def test_labels(spark):
     df = spark.createDataFrame([("  lake  val.. ",)], "t string").select(label(F.col("t")).alias("l"))
     assert df.first().l == "LAKE VAL"
+
+
+def test_labels_of_short_and_missing_names(spark):
+    short = spark.range(1).select(metadata_labels(F.lit(None).cast("string"), F.lit("ab"), F.lit("")).alias("a"), metadata_labels(F.lit("x"), F.lit("x"), F.lit("abc")).alias("b"), metadata_labels(F.lit(" ab  cd. "), F.lit(None).cast("string"), F.lit("Ab cd")).alias("c")).first()
+    assert short.a == ["AB", "A"] and short.b == ["X", "ABC", "A"] and short.c == ["AB CD", "AC", "AB", "AB C"]
+
+
+def test_labels_of_a_small_file_are_many_tasks_work(spark, tmp_path):
+    customers = spark.range(250_000).select(F.col("id").alias("c_custkey"), F.lit("AUTO").alias("c_mktsegment"), F.concat(F.lit("C"), F.col("id")).alias("c_name"))
+    customers.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    found = catalogue.label_candidates(spark, str(tmp_path))
+    assert catalogue.spread(spark.range(250_000).coalesce(1)).rdd.getNumPartitions() == 3
+    assert found.rdd.getNumPartitions() == 3 and found.count() == 250_000
