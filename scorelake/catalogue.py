@@ -124,6 +124,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TASK_ROWS = 100_000
 
 
+#: Rows of a part where a table is laid out anew.
+PART_ROWS = 1_000_000
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """rows in a task per TASK_ROWS, where a small file would be one task's work, or a few."""
     tasks = -(-rows.count() // TASK_ROWS)
@@ -497,7 +501,8 @@ def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts; the fingerprints of each group as a multiset must agree between two layouts of the table."""
     lines = read(spark, sf_dir, "lineitem")
     mark = fingerprint(lines.columns).alias("mark")
-    other = lines.repartition(7, "l_suppkey").groupBy("l_returnflag").agg(mark)
+    parts = max(7, -(-lines.count() // PART_ROWS))
+    other = lines.repartition(parts, "l_suppkey").groupBy("l_returnflag").agg(mark)
     return lines.groupBy("l_returnflag").agg(F.count("*").alias("lines"), F.count_distinct("l_orderkey").alias("orders"), mark).join(other, ["l_returnflag", "mark"]).drop("mark")
 
 
