@@ -19,6 +19,11 @@ def place(path: Place) -> Place:
     return str(path) if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", str(path)) else Path(path)
 
 
+def local(path: Place) -> str | None:
+    """The absolute path on local disks, None for a place in another store."""
+    return os.path.abspath(re.sub("^file:/+", "/", str(path))) if isinstance(path, Path) or path.startswith("file:") else None
+
+
 def join(root: Place, *names: str) -> Place:
     return root.joinpath(*names) if isinstance(root, Path) else "/".join((root.rstrip("/"), *names))
 

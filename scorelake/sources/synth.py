@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import files
-from .documents import bounded
+from .documents import bounded, discovery
 from .files import Place
 from .ingest import MANIFEST
 
@@ -187,6 +187,49 @@ def templated_documents(templates: DataFrame, target: int, seed: int) -> DataFra
     )
 
 
+_FILE = "contest_id long, ingest_timestamp string, sha256 string, path string"
+
+
+def _written_by_tasks(rows: DataFrame, part: str) -> DataFrame:
+    """Write each value to a file of its own below a folder that all tasks see; a row per file. A task that is repeated writes the same files again.
+
+    Spark's local file system starts a process for the rights of each file and
+    folder that it makes, which takes most of the time where files are small.
+    """
+
+    def run(batches):
+        import hashlib
+        import os
+        import struct
+        import zlib
+
+        import pyarrow as pa
+
+        shape = pa.schema([("contest_id", pa.int64()), *[(n, pa.string()) for n in ("ingest_timestamp", "sha256", "path")]])
+        for batch in batches:
+            out = []
+            for contest, stamp, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                folder, body = f"{part}/contest_id={contest}/ingest_timestamp={stamp}", f"{value}\n".encode()
+                os.makedirs(folder, exist_ok=True)
+                sums = struct.pack(">4sI", b"crc\0", 512) + b"".join(struct.pack(">I", zlib.crc32(body[k : k + 512])) for k in range(0, len(body), 512))
+                for name, content in ((".document.json.crc", sums), ("document.json", body)):  # checksums as Spark's local files have them
+                    with open(fresh := f"{folder}/.{os.getpid()}", "wb") as f:
+                        f.write(content)
+                    os.replace(fresh, f"{folder}/{name}")
+                out.append((contest, stamp, hashlib.sha256(body[:-1]).hexdigest(), f"file:{folder}/document.json"))
+            yield pa.RecordBatch.from_pylist([dict(zip(shape.names, x, strict=True)) for x in out], shape)
+
+    return rows.mapInArrow(run, _FILE)
+
+
+def _written_by_spark(rows: DataFrame, part: Place) -> DataFrame:
+    """The same by Spark's writer, in any store."""
+    rows.write.partitionBy("contest_id", "ingest_timestamp").text(str(part))
+    with discovery(rows.sparkSession):
+        written = rows.sparkSession.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(str(part)).select(F.col("_metadata.file_path").alias("path"), F.sha2("value", 256).alias("sha256"))
+    return written.select(F.regexp_extract("path", r"contest_id=(\d+)/", 1).cast("long").alias("contest_id"), F.regexp_extract("path", r"ingest_timestamp=([^/]+)/", 1).alias("ingest_timestamp"), "sha256", "path")
+
+
 def write_folder(documents: DataFrame, folder: Place) -> Place:
     """Write documents as snapshot files with a manifest, all files at once by Spark; returns the manifest's path.
 
@@ -202,9 +245,7 @@ def write_folder(documents: DataFrame, folder: Place) -> Place:
     body = F.struct(F.struct(F.struct(F.col("contest_id").alias("contestId"), *names).alias("playbyplay")).alias("data"))
     part = files.join(folder, f"part-{uuid.uuid4().hex}")
     rows = fresh.select("contest_id", "ingest_timestamp", F.to_json(body).alias("value"))
-    rows.write.partitionBy("contest_id", "ingest_timestamp").text(str(part))
-    written = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(str(part)).select(F.col("_metadata.file_path").alias("path"), F.sha2("value", 256).alias("sha256"))
-    found = written.select("path", "sha256", F.regexp_extract("path", r"contest_id=(\d+)/", 1).cast("long").alias("contest_id"), F.regexp_extract("path", r"ingest_timestamp=([^/]+)/", 1).alias("ingest_timestamp"))
-    lines = [json.dumps({**r.asDict(), "status": "STORED_NEW_VERSION", "file_path": r["path"]}) for r in found.orderBy("contest_id").select("contest_id", "ingest_timestamp", "sha256", "path").collect()]  # a line per contest
+    found = _written_by_tasks(rows, files.local(part)) if files.local(part) else _written_by_spark(rows, part)
+    lines = [json.dumps({**r.asDict(), "status": "STORED_NEW_VERSION", "file_path": r["path"]}) for r in sorted(found.collect(), key=lambda r: (r[0] is None, r[0] or 0))]  # a line per contest
     files.put(manifest, present + "".join(f"{x}\n" for x in lines))
     return manifest
