@@ -172,8 +172,9 @@ class Catalog:
             found = found.filter(pages.beyond(key, TIES, after, order_desc))
         if limit is not None and offset >= DEEP:
             return pages.page(found, key, TIES, descending=order_desc, offset=offset, limit=limit)
-        page = ordered(found, key, order_desc).offset(offset)
-        return page if limit is None else page.limit(limit)
+        if limit is None:  # a sort of all rows reads them twice, first for its ranges; so they are made once, before
+            return ordered(found.repartition("contest_id", "play_seq"), key, order_desc).offset(offset)
+        return ordered(found, key, order_desc).offset(offset).limit(limit)
 
     def caused_turnovers(self, contest_id: int | None = None, defending_team_down_by: int | None = None, max_period_seconds: int | None = None, min_period: int | None = 4, limit: int = 50) -> DataFrame:
         """Turnovers with a causer. The margin is that of the defending team; 0 for contest or period sets no condition."""

@@ -151,3 +151,18 @@ def test_team_filters_without_a_page_return_all_plays(spark, root):
         whole = [r.play_id for r in found.plays(team=team, limit=None).collect()]
         wanted = {r["play_id"] for r in root[1] if own in (r["team_id"], r["caused_by_team_id"])}
         assert set(whole) == wanted and len(whole) == len(wanted) and [r.play_id for r in found.plays(team=team, limit=7).collect()] == whole[:7]
+
+
+def test_all_plays_are_made_once_before_they_are_sorted(spark):
+    """A sort samples its rows for ranges and then reads them again; parsing must not be done twice for it."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    plays = spark.range(1000).select(F.col("id").alias("contest_id"), F.lit(1).alias("play_seq"), F.col("id").cast("string").alias("play_id"))
+    tables = {"fact_plays": plays.mapInArrow(counted, plays.schema), "agg_team_game_stats": spark.createDataFrame([], "team_short string")}
+    found = [r.contest_id for r in Catalog(spark, tables).plays(limit=None).collect()]
+    assert found == list(range(1000)) and made.value == 1000
