@@ -47,9 +47,9 @@ PLAYER_ENDS = {
 GOALIE_FOR = r"^(.+?)\s+at goalie for "
 ASSISTED, ASSIST = ", Assist by ", r",\s*Assist by (.+?)(?:,\s*goal number|$)"
 SAVED, SAVE = ", SAVE ", r",\s*SAVE\s+(?:by\s+)?(.+?)\.?$"
-CAUSED_BY = r"\(caused by ([^)]+)\)"
+CAUSED, CAUSED_BY = "(caused by ", r"\(caused by ([^)]+)\)"
 FACEOFF_FIRST, FACEOFF_SECOND = r"^Faceoff\s+(.+?)\s+vs\s+", r"\s+vs\s+(.+?)\s+won by\s+"
-FACEOFF_PICKUP = "^Faceoff.*Ground ball pickup by (.+)$"
+PICKED_UP, FACEOFF_PICKUP = "Ground ball pickup by ", "^Faceoff.*Ground ball pickup by (.+)$"
 VIOLATION, EXTRA_MAN, CLEARED = "on faceoff violation", "Extra-man opportunity", " good"
 PENALTY_TERM = r"\(([^/]+)/(\d+):(\d+)\)"
 #: Endings of a person's name, and names that are no person.
@@ -77,15 +77,14 @@ def from_label(text: Column) -> Column:
 
 
 def spoken_label(kind: Column, rest: Column) -> Column:
-    """The label, or its first word, at the beginning of rest (from_label), told without knowing any team."""
-    return chain([(kind == k, found(rest, pattern)) for k, pattern in WHOLE_LABELS.items()], found(rest, r"^(\S+)"))
+    """The label, or its first word, at the beginning of rest (from_label), told without knowing any team; empty or null without one."""
+    return chain([(kind == k, part(rest, pattern)) for k, pattern in WHOLE_LABELS.items()], part(rest, r"^(\S+)"))
 
 
 def player_behind(kind: Column, tail: Column) -> Column:
-    """The player in what follows a label, as written; TEAM for a turnover without one."""
-    ends = {k: found(tail, rf"^\s+(.+?)(?:{'|'.join((*stops, r'\.?$'))})") for k, stops in PLAYER_ENDS.items()}
-    ends["TURNOVER"] = F.coalesce(blank_to_null(ends["TURNOVER"]), F.lit("TEAM"))
-    return chain([(kind == k, v) for k, v in ends.items()] + [(kind == "PENALTY", found(tail, r"^\s+([^(]+)"))])
+    """The player in what follows a label, as written; empty or null without one."""
+    ends = {k: part(tail, rf"^\s+(.+?)(?:{'|'.join((*stops, r'\.?$'))})") for k, stops in PLAYER_ENDS.items()}
+    return chain([(kind == k, v) for k, v in ends.items()] + [(kind == "PENALTY", part(tail, r"^\s+([^(]+)"))])
 
 
 def clock_seconds(clock: Column) -> Column:
@@ -96,7 +95,8 @@ def clock_seconds(clock: Column) -> Column:
 
 def without_dots(text: Column) -> Column:
     """Text without surrounding spaces and closing dots."""
-    return F.regexp_replace(F.trim(text), r"\.+$", "")
+    bare = F.trim(text)
+    return F.when(bare.contains("."), F.regexp_replace(bare, r"\.+$", "")).otherwise(bare)
 
 
 def label(text: Column) -> Column:
@@ -119,35 +119,55 @@ _REORDERED = (
 )
 
 
-def person_name(raw: Column) -> Column:
-    """`First Last [ending]` from `Last, First` and its forms with an ending such as Jr; null without a name."""
-    name = F.regexp_replace(F.trim(raw), r"\s+", " ")
-    straight = reduce(lambda x, rule: F.regexp_replace(x, *rule), _REORDERED, name)
+def spaced(raw: Column) -> Column:
+    """A name as written, trimmed and with single spaces."""
+    return F.regexp_replace(F.trim(raw), r"\s+", " ")
+
+
+def in_order(name: Column) -> Column:
+    """`First Last [ending]` from the forms of a spaced name; null without a name. Only the patterns for its number of commas run."""
+    ordered = lambda rules: reduce(lambda x, rule: F.regexp_replace(x, *rule), rules, name)
     return chain(
         [
-            (raw.isNull() | (name == ""), F.lit(None).cast("string")),
+            (name.isNull() | (name == ""), F.lit(None).cast("string")),
             (F.upper(name).isin(*NO_PERSON), F.upper(name)),
-            (name.contains(","), straight),
+            (F.substring_index(name, ",", 2) != name, ordered(_REORDERED[:3])),
+            (name.contains(","), ordered(_REORDERED[3:])),
         ],
         name,
     )
 
 
+def person_name(raw: Column) -> Column:
+    """`First Last [ending]` from `Last, First` and its forms with an ending such as Jr; null without a name."""
+    return in_order(spaced(raw))
+
+
+def person_names(raw: Column) -> Column:
+    """The same of an array of names with closing dots; each pattern stands in the plan once, and is evaluated once for a name."""
+    return F.transform(F.transform(raw, lambda x: spaced(without_dots(x))), in_order)
+
+
 def is_person(name: Column) -> Column:
     return ~F.upper(name).isin(*NO_PERSON)
 
 
 def shot_result(text: Column) -> Column:
     """GOAL, SAVE or the ending of a shot text; null for other plays and unknown endings."""
-    bare = F.regexp_replace(text, r"\.+$", "")
+    ending = part(text, rf" ({'|'.join(SHOT_ENDINGS)})\.*\z")
     saved = text.contains(", SAVE ") | text.contains(", SAVE,") | text.contains("SAVE by")
-    shot = chain([(saved, F.lit("SAVE")), *[(bare.endswith(f" {k}"), F.lit(v)) for k, v in SHOT_ENDINGS.items()]])
+    shot = F.when(saved, F.lit("SAVE")).otherwise(F.try_element_at(F.create_map(*[F.lit(x) for pair in SHOT_ENDINGS.items() for x in pair]), ending))
     return F.when(text.startswith("GOAL by"), F.lit("GOAL")).when(text.startswith("Shot by"), shot)
 
 
+def part(text: Column, pattern: str, group: int = 1) -> Column:
+    """A group of a pattern, empty where it doesn't match."""
+    return F.regexp_extract(text, pattern, group)
+
+
 def found(text: Column, pattern: str, group: int = 1) -> Column:
-    """A group of a pattern, null where it doesn't match or is empty."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    """The same, null where it doesn't match or is empty. Within a condition's branches the pattern runs twice, so prefer part there."""
+    return F.nullif(part(text, pattern, group), F.lit(""))
 
 
 def found_by(text: Column, pattern: Column, group: int = 1) -> Column:

@@ -89,17 +89,16 @@ def once_per_contest(value: Column) -> Column:
 
 def with_teams(plays: DataFrame) -> DataFrame:
     """Plays (event_type; _rest, from the label on) with teams_by_label and team_pattern of their contest."""
-    spoken = label(spoken_label(F.col("event_type"), F.col("_rest")))
     known = (F.col("stat_team_id") == F.col("home_id")) | (F.col("stat_team_id") == F.col("away_id"))
-    said = F.when(known & (spoken != ""), F.struct(spoken.alias("label"), F.col("stat_team_id").alias("team_id"), F.lit(True).alias("observed")))
+    plays = plays.withColumn("_spoken", F.when(known, spoken_label(F.col("event_type"), F.col("_rest")))).withColumn("_spoken", label(F.col("_spoken")))
+    said = F.when(F.col("_spoken") != "", F.struct(F.col("_spoken").alias("label"), F.col("stat_team_id").alias("team_id"), F.lit(True).alias("observed")))
     plays = plays.withColumn("_said", said).withColumn("_said", F.collect_set("_said").over(Window.partitionBy("contest_id")))
     named = [entries(metadata_labels(*[F.col(f"{side}.{n}") for n in ("nameShort", "name6Char", "nameFull")]), F.col(f"{side}_id"), False) for side in ("home", "away")]
     plays = plays.withColumn("_known", F.when(F.col("play_seq") == 1, F.concat(F.col("_said").cast(ENTRY), *named)))
     maps = {"teams_by_label": once_per_contest(label_map(F.col("_known"))), "team_pattern": once_per_contest(label_pattern(F.col("_known")))}
-    return plays.withColumns(maps).drop("_said", "_known")
+    return plays.withColumns(maps).drop("_said", "_spoken", "_known")
 
 
 def lookup(code: Column) -> Column:
     """The team of a label in this row's contest, null if it is unknown or shared."""
-    key = label(code)
-    return F.when(key.isNotNull() & F.col("teams_by_label").isNotNull(), F.try_element_at("teams_by_label", F.coalesce(key, F.lit(""))))
+    return F.try_element_at("teams_by_label", F.coalesce(label(code), F.lit("")))

@@ -15,7 +15,8 @@ def unnest_plays(documents: DataFrame) -> DataFrame:
 
     documents has contest_id, ingest_timestamp, teams and periods.
     """
-    side = lambda home: F.get(F.filter("teams", lambda t: t["isHome"] == F.lit(home)), F.lit(0))
+    told = lambda t: F.struct(*[t[n].alias(n) for n in ("teamId", "nameShort", "name6Char", "nameFull")])
+    side = lambda home: F.get(F.transform(F.filter("teams", lambda t: t["isHome"] == F.lit(home)), told), F.lit(0))
     head = documents.select("contest_id", "ingest_timestamp", side(True).alias("home"), side(False).alias("away"), F.posexplode("periods").alias("period_at", "period"))
     stats = head.select("contest_id", "ingest_timestamp", "home", "away", "period_at", F.col("period.periodNumber").alias("period_number"), F.col("period.periodDisplay").alias("period_display"), F.posexplode("period.playbyplayStats").alias("stat_at", "stat"))
     plays = stats.select("*", F.posexplode("stat.plays").alias("play_at", "play"))

@@ -38,9 +38,11 @@ def event_plays(events: DataFrame) -> DataFrame:
     goal = F.col("event_type") == "purchase"
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scored = lambda home: F.sum(F.when(goal & (is_home if home else ~is_home), 1).otherwise(0)).over(upto).cast("int")
-    own, other = (F.when(is_home == flag, short_name(F.col("user_id"), True)).otherwise(short_name(F.col("user_id"), False)) for flag in (True, False))
-    player = lambda k: F.concat(F.lit(f"{k}, Kim"), F.lit(" "), (eid % 7).cast("string"))
+    named = lambda flag: F.when(is_home == flag, short_name(F.col("user_id"), True)).otherwise(short_name(F.col("user_id"), False))
     seconds = F.when(period < LAST_PERIOD, 900 - at * 50 - eid % 40).otherwise(F.greatest(F.lit(0), 240 - (F.col("seq") - 65) * 6))
+    rows = rows.withColumns({"_own": named(True), "_other": named(False), "_given": F.concat(F.lit(", Kim "), (eid % 7).cast("string")), "_seconds": seconds})
+    own, other, seconds = F.col("_own"), F.col("_other"), F.col("_seconds")
+    player = lambda k: F.concat(F.lit(k), F.col("_given"))
     shown = F.concat(F.floor(seconds / 60).cast("string"), F.lit(":"), F.lpad((seconds % 60).cast("string"), 2, "0"))
     clock = F.when(eid % 3 == 0, F.when(eid % 2 == 0, "")).otherwise(F.when(eid % 5 == 1, F.concat(F.lit(" "), shown, F.lit("  "))).otherwise(shown))
     taker = F.when(eid % 7 != 0, player("Ford")).when(is_home | (F.col("user_id") % 10 == 0), "Hale, Hal").otherwise("Ives, Ian")
