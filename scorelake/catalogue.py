@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from .functions.text import clock_seconds, event_type, person_name
 from .operators import gold, grams, pages, silver
@@ -21,7 +22,7 @@ from .operators.teams import metadata_labels
 from .plans import pipeline, store
 from .plans.serving import ROLES, Catalog
 from .sources import files, synth
-from .sources.documents import latest_snapshots
+from .sources.documents import snapshot_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -152,10 +153,13 @@ def lake(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/scorelake-{uuid.uuid4().hex}"
 
 
-def tidy(root: str, *names: str) -> None:
-    """Delete what a result doesn't read any more."""
+def tidy(spark: SparkSession, root: str, *names: str) -> None:
+    """Delete what a result doesn't read any more; raw: snapshot files."""
     for name in names:
-        files.remove(files.place(f"{root}/{name}"))
+        if name.startswith("raw"):
+            synth.remove_folder(spark, f"{root}/{name}")
+        else:
+            files.remove(files.place(f"{root}/{name}"))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
@@ -176,13 +180,14 @@ def silver_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots as JSON files, read by a manifest, stored, half of the contests replaced; the play table as it is then."""
     root = lake(spark)
-    snapshots = latest_snapshots(synth.write_folder(documents(spark, sf_dir), f"{root}/raw"))
+    snapshots = snapshot_table(spark, synth.write_parts(documents(spark, sf_dir), f"{root}/raw")).coalesce(spark.sparkContext.defaultParallelism).persist(StorageLevel.DISK_ONLY)
     table = f"{root}/silver_plays"
     store.replace_keys(spark, table, silver.silver_plays(spark, snapshots), "contest_id", None)
-    again = [s for s in snapshots if s[0] % 2 == 0]
-    if again:
-        store.replace_keys(spark, table, silver.silver_plays(spark, again), "contest_id", [c for c, _, _ in again])
-    tidy(root, "raw")
+    again = snapshots.filter("contest_id % 2 = 0")
+    if not again.isEmpty():
+        store.replace_keys(spark, table, silver.silver_plays(spark, again), "contest_id", again.select("contest_id"))
+    snapshots.unpersist()
+    tidy(spark, root, "raw")
     return store.read_table(spark, table).drop("play_text")
 
 
@@ -192,7 +197,7 @@ def published_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = lake(spark)
     manifest = synth.write_folder(documents(spark, sf_dir), f"{root}/raw")
     pipeline.run(spark, manifest, f"{root}/tables")
-    tidy(root, "raw", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
+    tidy(spark, root, "raw", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
     return Catalog.open(spark, f"{root}/tables/gold").fact_plays.drop("play_text")
 
 
@@ -215,7 +220,7 @@ def refreshed_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = files.text(first) + files.text(synth.write_folder(again, f"{root}/raw-again"))
     files.put(f"{root}/both.jsonl", both)
     pipeline.run(spark, f"{root}/both.jsonl", f"{root}/tables")
-    tidy(root, "raw", "raw-again", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
+    tidy(spark, root, "raw", "raw-again", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
     found = Catalog.open(spark, f"{root}/tables/gold")
     return found.fact_plays.join(found.dim_contests.select("contest_id", "title"), "contest_id").drop("play_text", "color")
 

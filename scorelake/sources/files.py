@@ -92,11 +92,48 @@ def put(path: Place, content: str) -> None:
         stream.hsync()
     finally:
         stream.close()
+    _move_over(store, jvm, fresh, there)
+
+
+def _move_over(store: Any, jvm: Any, fresh: str, there: Any) -> None:
+    """Rename a file onto another one."""
     overwrite = SparkSession.active().sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(there.toUri(), store.getConf()).rename(jvm.org.apache.hadoop.fs.Path(fresh), there, overwrite)
 
 
+def put_joined(path: Place, parts: list[Place]) -> None:
+    """Write the bytes of some files one behind the other in one step, a block at a time; path may be one of them."""
+    fresh = join(parent(path), f".{name(path)}.{uuid.uuid4().hex}")
+    if isinstance(path, Path):
+        path.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            with open(fresh, "xb") as f:
+                for part in parts:
+                    with open(part, "rb") as g:
+                        shutil.copyfileobj(g, f)
+                f.flush()
+                os.fsync(f.fileno())
+            os.replace(fresh, path)
+            _sync_folder(path.parent)
+        finally:
+            fresh.unlink(missing_ok=True)
+        return
+    store, there, jvm = _store(path)
+    stream = store.create(jvm.org.apache.hadoop.fs.Path(fresh), False)
+    try:
+        for part in parts:
+            source = store.open(jvm.org.apache.hadoop.fs.Path(str(part)))
+            try:
+                jvm.org.apache.commons.io.IOUtils.copyLarge(source, stream)
+            finally:
+                source.close()
+        stream.hsync()
+    finally:
+        stream.close()
+    _move_over(store, jvm, fresh, there)
+
+
 def create(path: Place, content: str) -> None:
     """Write a small file that isn't there yet, whole or not at all; FileExistsError if somebody else was first.
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import json
 import random
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import files
-from .documents import bounded, discovery
+from .documents import discovery, manifest_lines
 from .files import Place
 from .ingest import MANIFEST
 
@@ -189,6 +189,8 @@ def templated_documents(templates: DataFrame, target: int, seed: int) -> DataFra
     )
 
 
+#: Folders over which the contests of a folder are dealt, so that no listing holds them all.
+BUCKETS = 256
 _FILE = "contest_id long, ingest_timestamp string, sha256 string, path string"
 
 
@@ -198,6 +200,7 @@ def _written_by_tasks(rows: DataFrame, part: str) -> DataFrame:
     Spark's local file system starts a process for the rights of each file and
     folder that it makes, which takes most of the time where files are small.
     """
+    buckets = BUCKETS
 
     def run(batches):
         import hashlib
@@ -211,7 +214,7 @@ def _written_by_tasks(rows: DataFrame, part: str) -> DataFrame:
         for batch in batches:
             out = []
             for contest, stamp, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                folder, body = f"{part}/contest_id={contest}/ingest_timestamp={stamp}", f"{value}\n".encode()
+                folder, body = f"{part}/{(contest or 0) % buckets:04d}/contest_id={contest}/ingest_timestamp={stamp}", f"{value}\n".encode()
                 os.makedirs(folder, exist_ok=True)
                 sums = struct.pack(">4sI", b"crc\0", 512) + b"".join(struct.pack(">I", zlib.crc32(body[k : k + 512])) for k in range(0, len(body), 512))
                 for name, content in ((".document.json.crc", sums), ("document.json", body)):  # checksums as Spark's local files have them
@@ -232,22 +235,66 @@ def _written_by_spark(rows: DataFrame, part: Place) -> DataFrame:
     return written.select(F.regexp_extract("path", r"contest_id=(\d+)/", 1).cast("long").alias("contest_id"), F.regexp_extract("path", r"ingest_timestamp=([^/]+)/", 1).alias("ingest_timestamp"), "sha256", "path")
 
 
+def _write_lines(documents: DataFrame, folder: Place, lines: Place) -> None:
+    """Write documents as snapshot files below folder, and the manifest's lines as a folder of parts, sorted by contest; neither passes through the driver."""
+    spark = documents.sparkSession
+    names = [c for c in documents.columns if c not in ("contest_id", "ingest_timestamp")]
+    body = F.struct(F.struct(F.struct(F.col("contest_id").alias("contestId"), *names).alias("playbyplay")).alias("data"))
+    tag = uuid.uuid4().hex
+    part, done = files.join(folder, f"part-{tag}"), files.join(folder, f".written-{tag}")
+    rows = documents.select("contest_id", "ingest_timestamp", F.to_json(body).alias("value"))
+    found = _written_by_tasks(rows, files.local(part)) if files.local(part) else _written_by_spark(rows, part)
+    try:
+        found.write.parquet(str(done))  # sorting would write the files a second time
+        entry = F.struct("contest_id", "ingest_timestamp", "sha256", "path", F.lit("STORED_NEW_VERSION").alias("status"), F.col("path").alias("file_path"))
+        told = spark.read.schema(_FILE).parquet(str(done)).orderBy(F.col("contest_id").asc_nulls_last())
+        told.select(F.to_json(entry, {"ignoreNullFields": "false"}).alias("value")).write.text(str(lines))
+    finally:
+        files.remove(done)
+
+
+def write_parts(documents: DataFrame, folder: Place) -> Place:
+    """Write documents as snapshot files into a new folder, with a manifest in parts; returns the manifest's path."""
+    folder = files.place(folder)
+    manifest = files.join(folder, MANIFEST)
+    _write_lines(documents, folder, manifest)
+    return manifest
+
+
 def write_folder(documents: DataFrame, folder: Place) -> Place:
-    """Write documents as snapshot files with a manifest, all files at once by Spark; returns the manifest's path.
+    """The same with a manifest of one file, to which others may append; returns its path.
 
     Contests that the manifest lists already are left as they are, so a run that
     was broken off goes on where it stood.
     """
     spark, folder = documents.sparkSession, files.place(folder)
-    manifest = files.join(folder, MANIFEST)
-    present = files.text(manifest) if files.exists(manifest) else ""
-    known = [(int(json.loads(x)["contest_id"]),) for x in present.splitlines() if x.strip()]
-    fresh = documents.join(bounded(spark.createDataFrame(known, "contest_id long"), len(known)), "contest_id", "left_anti") if known else documents
-    names = [c for c in fresh.columns if c not in ("contest_id", "ingest_timestamp")]
-    body = F.struct(F.struct(F.struct(F.col("contest_id").alias("contestId"), *names).alias("playbyplay")).alias("data"))
-    part = files.join(folder, f"part-{uuid.uuid4().hex}")
-    rows = fresh.select("contest_id", "ingest_timestamp", F.to_json(body).alias("value"))
-    found = _written_by_tasks(rows, files.local(part)) if files.local(part) else _written_by_spark(rows, part)
-    lines = [json.dumps({**r.asDict(), "status": "STORED_NEW_VERSION", "file_path": r["path"]}) for r in sorted(found.collect(), key=lambda r: (r[0] is None, r[0] or 0))]  # a line per contest
-    files.put(manifest, present + "".join(f"{x}\n" for x in lines))
+    manifest, lines = files.join(folder, MANIFEST), files.join(folder, f".lines-{uuid.uuid4().hex}")
+    present = [manifest] if files.exists(manifest) else []
+    if present:
+        known = manifest_lines(spark, manifest).select(F.from_json("value", "contest_id string")["contest_id"].cast("long").alias("contest_id"))
+        documents = documents.join(known, "contest_id", "left_anti")
+    try:
+        _write_lines(documents, folder, lines)
+        files.put_joined(manifest, [*present, *(files.join(lines, n) for n in files.names(lines) if n.startswith("part-"))])
+    finally:
+        files.remove(lines)
     return manifest
+
+
+def remove_folder(spark: SparkSession, folder: Place) -> None:
+    """Delete a folder of snapshot files. On local disks that the cluster shares, tasks delete the contests of a bucket each; the driver lists buckets."""
+    folder = files.place(folder)
+    if there := files.local(folder):
+        buckets = [(f"{there}/{p}/{b}",) for p in files.names(Path(there)) if p.startswith("part-") for b in files.names(Path(there, p))]  # BUCKETS for a part
+
+        def run(batches):
+            import shutil
+
+            for batch in batches:
+                for bucket in batch.column(0).to_pylist():
+                    shutil.rmtree(bucket, ignore_errors=True)
+                yield batch
+
+        if buckets:
+            spark.createDataFrame(buckets, "path string").repartition(min(len(buckets), 4 * spark.sparkContext.defaultParallelism)).mapInArrow(run, "path string").count()
+    files.remove(folder)
