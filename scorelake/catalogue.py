@@ -195,7 +195,7 @@ def stored_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch plan over JSON snapshots; facts of the published generation."""
     root = lake(spark)
-    manifest = synth.write_folder(documents(spark, sf_dir), f"{root}/raw")
+    manifest = synth.write_parts(documents(spark, sf_dir), f"{root}/raw")
     pipeline.run(spark, manifest, f"{root}/tables")
     tidy(spark, root, "raw", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
     return Catalog.open(spark, f"{root}/tables/gold").fact_plays.drop("play_text")
