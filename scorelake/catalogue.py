@@ -214,12 +214,10 @@ def stored_contest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refreshed_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch plan twice; between its runs a third of the contests get a second snapshot with another title."""
     root, docs = lake(spark), documents(spark, sf_dir)
-    first = synth.write_folder(docs, f"{root}/raw")
+    first = synth.write_parts(docs, f"{root}/raw")
     pipeline.run(spark, first, f"{root}/tables")
     again = docs.filter("contest_id % 3 = 0").withColumns({"ingest_timestamp": F.lit("20260202T000000Z"), "title": F.concat("title", F.lit(" (again)"))})
-    both = files.text(first) + files.text(synth.write_folder(again, f"{root}/raw-again"))
-    files.put(f"{root}/both.jsonl", both)
-    pipeline.run(spark, f"{root}/both.jsonl", f"{root}/tables")
+    pipeline.run(spark, [first, synth.write_parts(again, f"{root}/raw-again")], f"{root}/tables")
     tidy(spark, root, "raw", "raw-again", "tables/silver_plays", "tables/silver_contests", "tables/play_counts")
     found = Catalog.open(spark, f"{root}/tables/gold")
     return found.fact_plays.join(found.dim_contests.select("contest_id", "title"), "contest_id").drop("play_text", "color")

@@ -33,8 +33,8 @@ HEADER = _struct(data=_struct(playbyplay=_struct(**_head)))
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: (contest_id, ingest_timestamp, path)
 Snapshot = tuple[int, str, str]
-#: Bytes of the driver for each snapshot that is broadcast, so that no more than some 260,000 are.
-TIME_BYTES = 256
+#: Bytes counted for each snapshot of a broadcast, so that more than 65,536 are sent only where Spark finds them small.
+TIME_BYTES = 1024
 #: Snapshots that a task reads, and bytes of texts that it hands on together.
 READ_AT_ONCE, BATCH_BYTES = 1000, 4 * 1024 * 1024
 

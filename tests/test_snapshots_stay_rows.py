@@ -49,7 +49,7 @@ def seen(monkeypatch, spark):
     return most
 
 
-@pytest.mark.parametrize("name", ["stored_plays", "published_plays"])
+@pytest.mark.parametrize("name", ["stored_plays", "published_plays", "refreshed_plays"])
 def test_no_list_of_all_contests_reaches_the_driver(spark, events, seen, monkeypatch, name):
     monkeypatch.setattr(store, "INLINE", 10, raising=False)
     monkeypatch.setattr(store, "LISTED", 10)
